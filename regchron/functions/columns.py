@@ -7,10 +7,12 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, functions as F
 
-from regchron.schema import STATUS_LABEL_DEFAULT, STATUS_LABELS, WHITESPACE
+from regchron.schema import NORMAL_FORMS, STATUS_LABEL_DEFAULT, STATUS_LABELS, WHITESPACE
 
-# Forms Java reads as a number but the registry does not: 1.5d, 2f, 0x1p3.
-_JAVA_ONLY_NUMBER = r"(?i)([0-9.][df]|^\s*[+-]?0x.*)\s*$"
+# Java also reads 1.5d, 2f and 0x1p3 as numbers, the registry does not. Of the texts with one of
+# these letters only the infinities are numbers.
+_JAVA_LETTERS = "dDfFxX"
+_INFINITIES = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
 
 def _col(c: Column | str) -> Column:
@@ -34,17 +36,17 @@ def blank_to_null(c: Column | str) -> Column:
 
 
 def to_int(c: Column | str, kind: str = "int", strict: bool = False) -> Column:
-    """Whole number, NULL for anything else; with ``strict`` a bad value fails the job."""
-    text = blank_to_null(c)
-    return text.cast(kind) if strict else text.try_cast(kind)
+    """Whole number, NULL for anything else; with ``strict`` bad text fails the job."""
+    return blank_to_null(c).cast(kind) if strict else strip(c).try_cast(kind)
 
 
 def to_double(c: Column | str, strict: bool = False) -> Column:
     """Floating point number, NULL for anything else; ``strict`` as in :func:`to_int`."""
-    text = blank_to_null(c)
     if strict:
-        return text.cast("double")
-    return F.when(~text.rlike(_JAVA_ONLY_NUMBER), text.try_cast("double"))
+        return blank_to_null(c).cast("double")
+    text = strip(c)
+    plain = F.translate(text, _JAVA_LETTERS, "") == text
+    return F.when(plain | F.lower(text).isin(_INFINITIES), text.try_cast("double"))
 
 
 def to_type(c: Column | str, kind: str, strict: bool = False) -> Column:
@@ -65,9 +67,9 @@ def norm_text(c: Column | str) -> Column:
     Lower case, stripped, umlauts written out, hyphens as blanks, full stops and commas gone.
     """
     text = strip(F.lower(_col(c).cast("string")))
-    for umlaut, written in (("ä", "ae"), ("ö", "oe"), ("ü", "ue")):
-        text = F.replace(text, F.lit(umlaut), F.lit(written))
-    return F.translate(text, "-.,", " ")
+    for sign, written in NORMAL_FORMS.items():
+        text = F.replace(text, F.lit(sign), F.lit(written))
+    return text
 
 
 def row_hash(columns: Iterable[str], strict: bool = False) -> Column:

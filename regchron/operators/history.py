@@ -44,19 +44,18 @@ def _joined(
     delete_scope: str | Column | None,
     compare: Sequence[str] | None,
 ) -> DataFrame:
-    """Full outer join of current and staged rows (structs ``_cur``, ``_stg``) with ``action``.
+    """Full outer join of current (``_cur_``) and staged (``_stg_``) rows, with ``action``.
 
     Both sides have at most one row per key, so no key can weigh more than any other.
     """
 
-    def side(df: DataFrame, name: str, *extra: Column) -> DataFrame:
+    def side(df: DataFrame, prefix: str, *extra: Column) -> DataFrame:
         mark = row_hash(compare) if compare else F.col("record_hash")
-        return df.select(
-            *keys, F.struct(*df.columns).alias(name), mark.alias(f"{name}_mark"), *extra
-        )
+        renamed = [F.col(c).alias(prefix + c) for c in df.columns if c not in keys]
+        return df.select(*keys, *renamed, mark.alias(f"{prefix}mark"), *extra)
 
     in_scope = F.coalesce(_scope(delete_scope), F.lit(False)).alias("_in_scope")
-    joined = side(current, "_cur", in_scope).join(side(staging, "_stg"), list(keys), "full_outer")
+    joined = side(current, "_cur_", in_scope).join(side(staging, "_stg_"), list(keys), "full_outer")
     action = (
         F.when(F.col("_cur_mark").isNull(), NEW)
         .when(F.col("_stg_mark").isNull(), F.when(F.col("_in_scope"), DELETED).otherwise(KEPT))
@@ -95,12 +94,19 @@ def scd2_merge(
     otherwise the stored fingerprints are compared. Merging the same rows again changes nothing.
     """
     moment = timestamp(now)
-    columns = current.columns
     types = {f.name: f.dataType for f in current.schema}
     staged = set(staging.columns)
     action = F.col("action")
     ends = action.isin(CHANGED, DELETED)
+    joined = _joined(current, staging, keys, delete_scope, compare)
 
+    # A changed key yields two rows, its closed and its new version, any other key one.
+    versions = (
+        F.when(action == NEW, F.array(F.lit("new")))
+        .when(action == CHANGED, F.array(F.lit("old"), F.lit("new")))
+        .otherwise(F.array(F.lit("old")))
+    )
+    is_new = F.col("_version") == "new"
     on_close = {
         "valid_to": moment,
         "is_current": F.lit(False),
@@ -115,27 +121,21 @@ def scd2_merge(
         "_silver_loaded": moment,
     }
 
-    def old(name: str) -> Column:
-        value = F.col(f"_cur.{name}")
+    def value(name: str) -> Column:
+        if name in keys:
+            return F.col(name)
+        old = F.col(f"_cur_{name}")
         if name in on_close:
-            value = F.when(ends, on_close[name]).otherwise(value)
-        return value.cast(types[name]).alias(name)
-
-    def new(name: str) -> Column:
+            old = F.when(ends, on_close[name]).otherwise(old)
         if name in on_open:
-            value = on_open[name]
+            new = on_open[name]
         else:
-            value = F.col(f"_stg.{name}") if name in staged else F.lit(None)
-        return value.cast(types[name]).alias(name)
-
-    before, after = F.struct(*map(old, columns)), F.struct(*map(new, columns))
-    rows = (
-        F.when(action == NEW, F.array(after))
-        .when(action == CHANGED, F.array(before, after))
-        .otherwise(F.array(before))
+            new = F.col(f"_stg_{name}").cast(types[name]) if name in staged else F.lit(None)
+        return F.when(is_new, new).otherwise(old).cast(types[name])
+
+    return joined.withColumn("_version", F.explode(versions)).select(
+        *[value(name).alias(name) for name in current.columns]
     )
-    joined = _joined(current, staging, keys, delete_scope, compare)
-    return joined.select(F.explode(rows).alias("_row")).select("_row.*")
 
 
 def scd2_apply(

@@ -18,9 +18,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     per task, and the group that arrives in one place is no larger than the number of tasks.
     """
     window = Window.partitionBy(*keys).orderBy(*order_by)
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
     return (
-        df.dropna(subset=list(keys))
-        .withColumn("_rank", F.row_number().over(window))
+        df.withColumn("_rank", F.row_number().over(window))
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )

@@ -433,6 +433,14 @@ def merge_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select(*VERSION_COLUMNS)
 
 
+@query
+def merge_last_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the last run's merge closed, inserted and deleted."""
+    history, staged, at = _before_last(spark, sf_dir)
+    merged = H.scd2_apply(history, staged, at, delete_scope="all", staging_empty=False)
+    return H.merge_counts(merged, at)
+
+
 @query
 def merge_some_cantons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last run merged, absence counting in three cantons only."""
@@ -718,17 +726,17 @@ def full_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict]]:
-    """The whole chain for two loads: everything up to 1999 in full, then what changed since."""
+    """The whole chain for two loads: everything up to the middle of 2000 in full, then what changed since."""
     base = scratch_path(spark, "jobs")
     rows = S.registry_rows(S.table(spark, sf_dir, "orders"))
     newest = latest_per_key(
-        rows.filter(F.col("gdat") < "2000-01-01"), ["egid"], [F.desc("gdat"), F.desc("o_orderkey")]
+        rows.filter(F.col("gdat") < "2000-07-01"), ["egid"], [F.desc("gdat"), F.desc("o_orderkey")]
     ).drop("o_orderkey", "o_orderdate")
     later = latest_per_key(rows, ["egid"], [F.desc("gdat"), F.desc("o_orderkey")]).drop(
         "o_orderkey", "o_orderdate"
     )
     first = jobs.refresh(
-        spark, base, newest, datetime(2000, 1, 1), full_load=True, run_id="00000001"
+        spark, base, newest, datetime(2000, 7, 1), full_load=True, run_id="00000001"
     )
     second = jobs.refresh(spark, base, later, datetime(2001, 9, 1), run_id="00000002")
     return base, [first, second]

@@ -378,6 +378,10 @@ _ACTIONS = f"""{HISTORY}, act AS (SELECT coalesce(s.egid, t.egid) AS egid,
   FROM (SELECT * FROM {_PREVIOUS} WHERE is_current) s FULL JOIN st{_LAST} t ON s.egid = t.egid)"""
 ORACLE["classify_keys"] = f"WITH {_ACTIONS} SELECT egid, action FROM act"
 ORACLE["merge_last_run"] = ORACLE["history_replay"]
+ORACLE["merge_last_counts"] = f"""WITH {HISTORY} SELECT
+  count(*) FILTER (NOT is_current AND NOT dqa_deleted AND valid_to = TIMESTAMP '{_LAST + 1}-01-01') AS records_closed,
+  count(*) FILTER (valid_from = TIMESTAMP '{_LAST + 1}-01-01') AS records_inserted,
+  count(*) FILTER (NOT is_current AND dqa_deleted AND valid_to = TIMESTAMP '{_LAST + 1}-01-01') AS records_deleted FROM h"""
 _THREE = "s.gdekt IN ('ZH', 'BE', 'AG')"
 ORACLE["merge_some_cantons"] = f"WITH {_chain(RUNS, last_scope=_THREE)} SELECT {VERSION} FROM h"
 ORACLE["vanished_keys"] = f"WITH {_ACTIONS} SELECT egid FROM act WHERE action = 'deleted'"
@@ -475,11 +479,11 @@ ORACLE["full_load_rows"] = "SELECT CAST(year(o_orderdate) AS VARCHAR) AS _run_id
 # ---- jobs -----------------------------------------------------------------------------------
 
 _NEWEST = "row_number() OVER (PARTITION BY egid ORDER BY gdat DESC, _batch_id DESC)"
-_SINCE = "(SELECT strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d') FROM log WHERE gdat < '2000-01-01')"
+_SINCE = "(SELECT greatest(strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d'), '2000-01-01') FROM log WHERE gdat < '2000-07-01')"
 _REFRESH = f"""{LOG}, {EMPTY},
-one AS (SELECT * EXCLUDE (rn), {HASH} AS record_hash FROM (SELECT *, {_NEWEST} AS rn FROM log WHERE gdat < '2000-01-01') WHERE rn = 1),
+one AS (SELECT * EXCLUDE (rn), {HASH} AS record_hash FROM (SELECT *, {_NEWEST} AS rn FROM log WHERE gdat < '2000-07-01') WHERE rn = 1),
 two AS (SELECT * EXCLUDE (rn), {HASH} AS record_hash FROM (SELECT *, {_NEWEST} AS rn FROM log) WHERE rn = 1 AND gdat > {_SINCE}),
-{_merge('hone', 'h_none', 'one', "TIMESTAMP '2000-01-01'", 'true')},
+{_merge('hone', 'h_none', 'one', "TIMESTAMP '2000-07-01'", 'true')},
 {_merge('h', 'hone', 'two', "TIMESTAMP '2001-09-01'", 'false')}"""
 _REFRESH_CURRENT = f"""{_REFRESH}, cur AS (SELECT *, gdat AS last_mutation_date, {_label('gstat')} AS gstat_label
   FROM h WHERE is_current AND NOT dqa_deleted)"""

@@ -96,6 +96,9 @@ STATUS_LABEL_DEFAULT = "Unbekannt"
 # Planned, approved, under construction - in the short and in the four-digit code list.
 UNFINISHED_STATES = [1, 2, 3, 1001, 1002, 1003]
 
+# How street names are compared.
+NORMAL_FORMS = {"ä": "ae", "ö": "oe", "ü": "ue", "-": " ", ".": "", ",": ""}
+
 OPEN_END = "9999-12-31 23:59:59"
 INITIAL_WATERMARK = "2000-01-01"
 WATERMARK_SOURCE = "gwr_buildings"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from regchron.functions.columns import to_int, to_type
 from regchron.schema import CANTONS, KEY, RECORD_SCHEMA, REGISTRY_SCHEMA, tsv_name
@@ -21,8 +22,6 @@ TSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
-    "ignoreCorruptFiles": "true",
-    "ignoreMissingFiles": "true",
 }
 
 
@@ -57,32 +56,53 @@ def canton_paths(
     return [f"{base.rstrip('/')}/{layout.format(canton=c.lower())}" for c in cantons]
 
 
+def _headers(spark: SparkSession, paths: Sequence[str], skip_failing: bool) -> dict[str, list[str]]:
+    """Column names of each part, from the first line of one of its files."""
+
+    def header(path: str) -> tuple[str, list[str] | None]:
+        try:
+            return path, spark.read.options(**TSV_OPTIONS).csv(path).columns
+        except AnalysisException as error:
+            if not skip_failing:
+                raise
+            log.error("extract %s skipped: %s", path, error)
+            return path, None
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        found = dict(pool.map(header, paths))
+    return {path: names for path, names in found.items() if names is not None}
+
+
 def read_registry_tsv(
     spark: SparkSession,
     paths: str | Sequence[str],
     strict: bool = False,
     skip_failing: bool = True,
+    skip_corrupt: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
     """Extract files as registry rows.
 
-    Each path is one part (a canton's folder or file) with a header of its own; parts are
-    united by column name. A part that is not there is logged and left out if others are, so
-    a later merge must limit its deletions to the parts loaded. Values with line breaks need
-    ``multi_line``, at the price of files that cannot be split.
+    Each path is one part (a canton's folder or file). Parts with the same header are one scan,
+    others are united by column name; a file whose header differs from its part's fails the
+    job. A part that is not there is logged and left out if others are, so a later merge must
+    limit its deletions to the parts loaded. ``skip_corrupt`` leaves out what cannot be read of
+    damaged files. Values with line breaks need ``multi_line``, at the price of files that
+    cannot be split.
     """
-    parts = []
-    for path in [paths] if isinstance(paths, str) else paths:
-        try:
-            parts.append(
-                spark.read.options(**TSV_OPTIONS).option("multiLine", multi_line).csv(path)
-            )
-        except AnalysisException as error:
-            if not skip_failing:
-                raise
-            log.error("extract %s skipped: %s", path, error)
-    if not parts:
+    headers = _headers(spark, [paths] if isinstance(paths, str) else paths, skip_failing)
+    if not headers:
         raise FileNotFoundError(f"none of the extracts could be read: {paths}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in headers.items():
+        groups.setdefault(tuple(names), []).append(path)
+    reader = spark.read.options(
+        **TSV_OPTIONS, enforceSchema=False, multiLine=multi_line, ignoreCorruptFiles=skip_corrupt
+    )
+    parts = []
+    for names, members in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        parts.append(reader.schema(schema).csv(members))
     raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return coerce_registry(raw, strict=strict)
 

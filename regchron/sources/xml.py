@@ -67,9 +67,8 @@ def dwelling_count(item: Column) -> Column:
     )
 
 
-def street_name(street: Column) -> Column:
-    """The first non-empty German name, else the first name of any language."""
-    names = _all(street, "streetName")
+def street_name(names: Column) -> Column:
+    """Of a street's name elements the first non-empty German one, else the first of all."""
     german = F.filter(names, lambda n: (n["language"] == GERMAN) & (n["descriptionLong"] != ""))
     described = F.filter(names, lambda n: n["descriptionLong"].isNotNull())
     return F.coalesce(
@@ -77,15 +76,6 @@ def street_name(street: Column) -> Column:
     )
 
 
-def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Add a column that is computed once per row.
-
-    A plain column may be copied by the optimizer into every filter and field that uses it, and
-    here that would be the parsing of the document. An unfolded one-element array is not.
-    """
-    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
-
-
 def parse_responses(df: DataFrame, column: str = "response", schema: str = RESPONSE_SCHEMA) -> DataFrame:
     """``df`` without the document and with ``_item``, its first building item.
 
@@ -93,10 +83,17 @@ def parse_responses(df: DataFrame, column: str = "response", schema: str = RESPO
     no row, as they hold no building.
     """
     options = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
-    parsed = _once(df, F.from_xml(F.col(column), schema, options), "_parsed").drop(column)
-    answered = parsed.filter(F.col("_parsed.status.code") == STATUS_OK)
-    items = _once(answered, _first(F.col("_parsed"), "building"), "_item").drop("_parsed")
-    return items.filter(F.col("_item").isNotNull())
+    others = [c for c in df.columns if c != column]
+    # Unfolded from a one-element array, as the optimizer would copy a plain column, and with it
+    # the parsing, into every filter that uses it.
+    document = F.explode(F.array(F.from_xml(F.col(column), schema, options)))
+    return (
+        df.select(*others, document.alias("_parsed"))
+        .filter(F.col("_parsed.status.code") == STATUS_OK)
+        .withColumn("_item", _first(F.col("_parsed"), "building"))
+        .filter(F.col("_item").isNotNull())
+        .drop("_parsed")
+    )
 
 
 def read_registry_xml(
@@ -106,29 +103,30 @@ def read_registry_xml(
     others = [c for c in df.columns if c != column]
     item = F.col("_item")
     entrances = F.transform(_all(item, "buildingEntrance"), lambda e: e["buildingEntrance"])
-    rows = _once(parse_responses(df, column, schema), entrances, "_entrances")
 
     def first_with(part: str) -> Column:
         return F.get(F.filter("_entrances", lambda e: e[part].isNotNull()), 0)[part]
 
-    rows = _once(rows, F.struct(
-        F.get(F.filter("_entrances", lambda e: e.isNotNull()), 0).alias("entrance"),
-        first_with("street").alias("street"),
-        first_with("locality").alias("locality"),
-    ), "_address")
+    rows = (
+        parse_responses(df, column, schema)
+        .withColumn("_entrances", entrances)
+        .withColumns({"_street": first_with("street"), "_locality": first_with("locality")})
+        .withColumn("_names", _all(F.col("_street"), "streetName"))
+    )
+    entrance = F.get(F.filter("_entrances", lambda e: e.isNotNull()), 0)
+    locality = F.col("_locality")
     building, municipality = item["building"], item["municipality"]
     built, changed = building["dateOfConstruction"], building["recordModification"]
-    address = F.col("_address")
     values = {
         "egid": to_int(item["EGID"], "bigint"),
         "egrid": _first(item, "realestateIdentification")["EGRID"],
         "gdekt": municipality["cantonAbbreviation"],
         "ggdenr": to_int(municipality["municipalityId"]),
         "ggdename": municipality["municipalityName"],
-        "strname": street_name(address["street"]),
-        "deinr": address["entrance"]["buildingEntranceNo"],
-        "plz4": address["locality"]["swissZipCode"],
-        "plzname": address["locality"]["placeName"],
+        "strname": street_name(F.col("_names")),
+        "deinr": entrance["buildingEntranceNo"],
+        "plz4": locality["swissZipCode"],
+        "plzname": locality["placeName"],
         "gstat": to_int(building["buildingStatus"]),
         "gkat": to_int(building["buildingCategory"]),
         "gklas": to_int(building["buildingClass"]),
