@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -19,9 +19,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc(value: datetime) -> datetime:
+    """A moment as UTC without a zone, the form in which all times are stored."""
+    return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 def timestamp(value: datetime | str) -> Column:
     """A time-zone free timestamp literal."""
-    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
+    text = utc(value).isoformat(sep=" ") if isinstance(value, datetime) else value
     return F.lit(text).cast("timestamp_ntz")
 
 

@@ -7,6 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from regchron.functions.columns import utc
+
 
 def new_run_id() -> str:
     """Eight random hexadecimal digits."""
@@ -35,6 +37,7 @@ def stamp_lineage(
     batch_label: str | None = None,
 ) -> DataFrame:
     """Add the six lineage columns; ``batch_label`` replaces the block number (bulk loads)."""
+    now = utc(now)
     if batch_label is None:
         batch = F.format_string("%s_%04d", F.lit(run_id), batch_number(batch_size))
     else:

@@ -77,6 +77,27 @@ def scd2_classify(
     return joined.select(*keys, "action")
 
 
+def _on_close(moment: Column, deleted: Column) -> dict[str, Column]:
+    """What ends with a version."""
+    return {
+        "valid_to": moment,
+        "is_current": F.lit(False),
+        "dqa_deleted": deleted,
+        "_silver_loaded": moment,
+    }
+
+
+def _on_open(moment: Column) -> dict[str, Column]:
+    """What begins with a version."""
+    return {
+        "valid_from": moment,
+        "valid_to": timestamp(OPEN_END),
+        "is_current": F.lit(True),
+        "dqa_deleted": F.lit(False),
+        "_silver_loaded": moment,
+    }
+
+
 def scd2_merge(
     current: DataFrame,
     staging: DataFrame,
@@ -97,7 +118,6 @@ def scd2_merge(
     types = {f.name: f.dataType for f in current.schema}
     staged = set(staging.columns)
     action = F.col("action")
-    ends = action.isin(CHANGED, DELETED)
     joined = _joined(current, staging, keys, delete_scope, compare)
 
     # A changed key yields two rows, its closed and its new version, any other key one.
@@ -107,19 +127,8 @@ def scd2_merge(
         .otherwise(F.array(F.lit("old")))
     )
     is_new = F.col("_version") == "new"
-    on_close = {
-        "valid_to": moment,
-        "is_current": F.lit(False),
-        "dqa_deleted": action == DELETED,
-        "_silver_loaded": moment,
-    }
-    on_open = {
-        "valid_from": moment,
-        "valid_to": timestamp(OPEN_END),
-        "is_current": F.lit(True),
-        "dqa_deleted": F.lit(False),
-        "_silver_loaded": moment,
-    }
+    ends = action.isin(CHANGED, DELETED)
+    on_close, on_open = _on_close(moment, action == DELETED), _on_open(moment)
 
     def value(name: str) -> Column:
         if name in keys:
@@ -138,6 +147,57 @@ def scd2_merge(
     )
 
 
+# Key and fingerprint of this many rows take about 0.1 GB as a broadcast table.
+SMALL_STAGING_ROWS = 1_000_000
+
+
+def scd2_merge_small(
+    current: DataFrame,
+    staging: DataFrame,
+    now: datetime | str,
+    keys: Sequence[str] = (KEY,),
+    compare: Sequence[str] | None = None,
+) -> DataFrame:
+    """The same result without deletions, for at most ``SMALL_STAGING_ROWS`` staged rows.
+
+    Only key and fingerprint of the staged rows are broadcast, so the current rows are neither
+    shuffled nor sorted. A second look at the current rows reads their keys and fingerprints
+    only and finds the staged rows that change nothing; the others begin a version.
+    """
+    moment = timestamp(now)
+    types = {f.name: f.dataType for f in current.schema}
+    mark = row_hash(compare) if compare else F.col("record_hash")
+    marks = F.broadcast(staging.select(*keys, mark.alias("_stg_mark")))
+
+    compared = current.withColumn("_cur_mark", mark).join(marks, list(keys), "left")
+    ends = F.coalesce(F.col("_cur_mark") != F.col("_stg_mark"), F.lit(False))
+    on_close = _on_close(moment, F.lit(False))
+    kept = compared.select(
+        *[
+            F.when(ends, on_close[c]).otherwise(F.col(c)).cast(types[c]).alias(c)
+            if c in on_close
+            else F.col(c)
+            for c in current.columns
+        ]
+    )
+
+    unchanged = (
+        current.select(*keys, mark.alias("_cur_mark"))
+        .join(marks, list(keys))
+        .filter(F.col("_cur_mark") == F.col("_stg_mark"))
+        .select(*keys)
+    )
+    on_open = _on_open(moment)
+    begun = staging.join(unchanged, list(keys), "left_anti")
+    opened = begun.select(
+        *[
+            on_open.get(c, F.col(c) if c in begun.columns else F.lit(None)).cast(types[c]).alias(c)
+            for c in current.columns
+        ]
+    )
+    return kept.unionByName(opened)
+
+
 def scd2_apply(
     history: DataFrame,
     staging: DataFrame,

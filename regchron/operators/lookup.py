@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+_KEYLESS_SALTS = 1 << 20
+
+
 def splits_skewed_joins(spark: SparkSession) -> bool:
     """Whether the session splits oversized join partitions at run time."""
     return all(
@@ -35,10 +38,12 @@ def salted_left_join(
         )
     )
     salts = F.coalesce(F.col("_salts"), F.lit(1).cast("long"))
+    # Records without a key match nothing, wherever they go.
+    dealt_salts = F.when(F.col(key).isNull(), F.lit(_KEYLESS_SALTS)).otherwise(salts)
     spread = F.xxhash64(*records.columns, F.spark_partition_id())
     dealt = (
         records.join(hot, F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.pmod(spread, salts))
+        .withColumn("_salt", F.pmod(spread, dealt_salts))
         .drop("_hot_key", "_salts")
     )
     repeated = (

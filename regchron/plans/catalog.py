@@ -433,6 +433,17 @@ def merge_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select(*VERSION_COLUMNS)
 
 
+@query
+def merge_last_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run merged as a small increment: its marks broadcast, nothing deleted."""
+    history, staged, at = _before_last(spark, sf_dir)
+    if staged.count() > H.SMALL_STAGING_ROWS:
+        merged = H.scd2_merge(H.current_rows(history), staged, at)
+    else:
+        merged = H.scd2_merge_small(H.current_rows(history), staged, at)
+    return H.closed_rows(history).unionByName(merged).select(*VERSION_COLUMNS)
+
+
 @query
 def merge_last_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the last run's merge closed, inserted and deleted."""

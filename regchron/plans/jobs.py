@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from regchron.functions.columns import utc
 from regchron.functions.lineage import new_run_id, stamp_lineage
 from regchron.operators.quality import report, report_by_check, run_checks
 from regchron.operators.replay import list_runs, scd2_replay
@@ -147,11 +148,11 @@ def silver(
     spark: SparkSession,
     base: str,
     now: datetime,
-    run_id: str | None = None,
+    run_id: str,
     delete_scope: str | None = "auto",
     compare: Sequence[str] | None = None,
 ) -> dict:
-    """Merge a run of the log (the newest by default) into the history.
+    """Merge one run of the log into the history.
 
     ``delete_scope`` decides what a key's absence means: ``"all"`` closes every current row
     that was not staged, ``"none"`` closes nothing, and a condition such as
@@ -159,11 +160,8 @@ def silver(
     cantons that were loaded, and after an incremental load nothing.
     """
     began = time.monotonic()
-    log = open_bronze(spark, base)
-    if run_id is None:
-        newest = profile.latest_run(log).first()
-        run_id = newest["_run_id"]
-    rows = log.filter((F.col("_run_id") == run_id) & F.col(KEY).isNotNull())
+    loaded = open_bronze(spark, base).filter(F.col("_run_id") == run_id)
+    rows = loaded.filter(F.col(KEY).isNotNull())
     if delete_scope == "auto":
         delete_scope = _loaded_cantons(rows)
     counts = open_history(spark, base).merge(
@@ -171,12 +169,33 @@ def silver(
         now,
         delete_scope,
         compare,
-        staging_empty=run_id is None or rows.isEmpty(),
+        staging_empty=rows.isEmpty(),
+        # The run is a partition, so its rows are counted from the files' footers.
+        staging_rows=loaded.count(),
         run_id=run_id,
     )
     return counts | {"run_id": run_id, "elapsed_s": round(time.monotonic() - began, 1)}
 
 
+def silver_pending(spark: SparkSession, base: str, now: datetime, **options) -> list[dict]:
+    """Merge all runs that are in the log and not in the history yet, oldest first.
+
+    The last one is merged as of ``now``, those before as of their load, and each later than
+    the one before.
+    """
+    store = open_history(spark, base)
+    commits = store.commits()
+    done = store.merged_runs()
+    last = datetime.fromisoformat(commits[-1]["now"]) if commits else datetime.min
+    pending = [run for run in list_runs(open_bronze(spark, base)) if run[0] not in done]
+    merged = []
+    for position, (run_id, loaded_at) in enumerate(pending):
+        moment = utc(now) if position == len(pending) - 1 else loaded_at
+        last = max(moment, last + timedelta(microseconds=1))
+        merged.append(silver(spark, base, last, run_id, **options))
+    return merged
+
+
 def _loaded_cantons(rows: DataFrame) -> str:
     """Deletion scope of a run: the cantons of a full load (a few dozen codes), else none."""
     loaded = rows.filter("_is_full_load").select("gdekt").distinct().collect()
@@ -187,13 +206,18 @@ def _loaded_cantons(rows: DataFrame) -> str:
     return f"gdekt in ({quoted})"
 
 
-def rebuild_history(spark: SparkSession, base: str, now: datetime, delete_missing: bool = True) -> None:
-    """First build of the history from all runs of the log, in one pass."""
+def rebuild_history(
+    spark: SparkSession, base: str, now: datetime, delete_missing: bool = True
+) -> None:
+    """First build of the history from all runs of the log, in one pass.
+
+    With ``delete_missing`` every run counts as a full load of everything.
+    """
     log = open_bronze(spark, base)
     staged = build_staging(log, hash_columns=HASH_COLUMNS, per_run=True)
     runs = list_runs(log)
     history = scd2_replay(staged, runs, columns=REGISTRY_COLUMNS, delete_missing=delete_missing)
-    open_history(spark, base).replace(history, now)
+    open_history(spark, base).replace(history, now, [run_id for run_id, _ in runs])
 
 
 def gold_views(spark: SparkSession, base: str) -> dict:

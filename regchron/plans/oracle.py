@@ -378,6 +378,7 @@ _ACTIONS = f"""{HISTORY}, act AS (SELECT coalesce(s.egid, t.egid) AS egid,
   FROM (SELECT * FROM {_PREVIOUS} WHERE is_current) s FULL JOIN st{_LAST} t ON s.egid = t.egid)"""
 ORACLE["classify_keys"] = f"WITH {_ACTIONS} SELECT egid, action FROM act"
 ORACLE["merge_last_run"] = ORACLE["history_replay"]
+ORACLE["merge_last_small"] = f"WITH {_chain(RUNS, last_scope='false')} SELECT {VERSION} FROM h"
 ORACLE["merge_last_counts"] = f"""WITH {HISTORY} SELECT
   count(*) FILTER (NOT is_current AND NOT dqa_deleted AND valid_to = TIMESTAMP '{_LAST + 1}-01-01') AS records_closed,
   count(*) FILTER (valid_from = TIMESTAMP '{_LAST + 1}-01-01') AS records_inserted,

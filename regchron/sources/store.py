@@ -17,7 +17,14 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from regchron.operators.history import deletes, merge_measures, scd2_merge
+from regchron.functions.columns import utc
+from regchron.operators.history import (
+    SMALL_STAGING_ROWS,
+    deletes,
+    merge_measures,
+    scd2_merge,
+    scd2_merge_small,
+)
 from regchron.schema import KEY, SILVER_SCHEMA
 from regchron.sources.tables import require_not_null
 
@@ -109,9 +116,14 @@ class HistoryStore:
         delete_scope: str | Column | None = None,
         compare: Sequence[str] | None = None,
         staging_empty: bool | None = None,
+        staging_rows: int | None = None,
         run_id: str | None = None,
     ) -> dict:
-        """Merge staged rows, publish the result as a new version and return the counts."""
+        """Merge staged rows, publish the result as a new version and return the counts.
+
+        ``staging_rows`` is an upper bound of the staged rows. If it is known and small, and
+        nothing can be deleted, the current rows are not shuffled.
+        """
         if deletes(delete_scope):
             if staging_empty is None:
                 staging_empty = staging.isEmpty()
@@ -120,7 +132,11 @@ class HistoryStore:
         commits = self.commits()
         version = commits[-1]["version"] + 1 if commits else 0
         current = self._read(self._current_folders(commits))
-        merged = scd2_merge(current, staging, now, self.keys, delete_scope, compare)
+        small = staging_rows is not None and staging_rows <= SMALL_STAGING_ROWS
+        if small and not deletes(delete_scope):
+            merged = scd2_merge_small(current, staging, now, self.keys, compare)
+        else:
+            merged = scd2_merge(current, staging, now, self.keys, delete_scope, compare)
         target = f"{self.base}/data/v={version}"
         written = require_not_null(merged, self.schema)
         written.write.mode("overwrite").partitionBy("is_current").parquet(target)
@@ -134,8 +150,8 @@ class HistoryStore:
         self._commit(
             {
                 "version": version,
-                "now": now.isoformat(),
-                "run_id": run_id,
+                "now": utc(now).isoformat(),
+                "runs": [run_id] if run_id else [],
                 "current": current_count,
                 "closed": found["records_closed"],
                 "deleted": found["records_deleted"],
@@ -144,7 +160,11 @@ class HistoryStore:
         )
         return found
 
-    def replace(self, history: DataFrame, now: datetime, run_id: str | None = None) -> None:
+    def merged_runs(self) -> set[str]:
+        """Ids of the runs that are in the history."""
+        return {run for c in self.commits() for run in c["runs"]}
+
+    def replace(self, history: DataFrame, now: datetime, runs: Sequence[str] = ()) -> None:
         """Publish a complete history (of a replay) as the first version of an empty table."""
         if self.commits():
             raise RuntimeError(f"{self.base} holds a history already")
@@ -163,7 +183,7 @@ class HistoryStore:
             .first()
             .asDict()
         )
-        self._commit({"version": 0, "now": now.isoformat(), "run_id": run_id, **totals})
+        self._commit({"version": 0, "now": utc(now).isoformat(), "runs": list(runs), **totals})
 
     def drop_old_currents(self, keep: int = 2) -> list[str]:
         """Remove the current rows of superseded versions but for the newest ``keep``."""
