@@ -55,10 +55,11 @@ def run_checks(
         **parameters,
     )
     # The structs are computed in a projection of their own, where shared parts of them are
-    # evaluated once, and only then unfolded.
+    # evaluated once, and only then unfolded. The outer form, as for the plain one Spark infers
+    # a filter on the array's size, for which it would compute all checks a second time.
     results = paired.select(
         F.col(key), F.array(*[check(subject) for check in checks.values()]).alias("_results")
-    ).select(key, F.inline("_results"))
+    ).select(key, F.inline_outer("_results"))
     stamp = F.lit((checked_at or datetime.combine(as_of, datetime.min.time())).isoformat())
     return results.select(
         "check_id", "check_name", key, "passed", "severity", "detail", "expected", "actual",

@@ -26,12 +26,11 @@ def latest_run(bronze: DataFrame) -> DataFrame:
 def latest_run_counts(bronze: DataFrame, by: str = "gdekt") -> DataFrame:
     """Records of the newest run per canton.
 
-    The newest run is a single row, so it is broadcast; as date and run are the partition
-    columns of the log, the scan behind the join opens the files of that run only.
+    The newest run is looked up first, as a scalar; where the run is a partition of the log the
+    scan then opens the files of that run only.
     """
-    newest = F.broadcast(latest_run(bronze))
-    rows = bronze.join(newest, ["_ingestion_date", "_run_id"])
-    return rows.groupBy(by).agg(F.count("*").alias("count"))
+    newest = latest_run(bronze).select("_run_id").scalar()
+    return bronze.filter(F.col("_run_id") == newest).groupBy(by).agg(F.count("*").alias("count"))
 
 
 def row_counts(history: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ def read_bronze(spark: SparkSession, *paths: str, merge: bool = False) -> DataFr
             rows = spark.read.option("mergeSchema", "true").parquet(path)
             logs.append(rows.withColumns({c: F.col(c).cast(types[c]) for c in BRONZE_PARTITIONS}))
         else:
-            logs.append(spark.read.schema(BRONZE_SCHEMA).parquet(path))
+            rows = spark.read.schema(BRONZE_SCHEMA).parquet(path)
+            logs.append(rows.select(*BRONZE_SCHEMA.fieldNames()))
     if not logs:
         return spark.createDataFrame([], BRONZE_SCHEMA)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
