@@ -24,10 +24,15 @@ def utc(value: datetime) -> datetime:
     return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
 
 
+def sql_timestamp(value: datetime | str) -> str:
+    """A time-zone free timestamp literal as SQL text."""
+    text = utc(value).isoformat(sep=" ") if isinstance(value, datetime) else value
+    return f"timestamp_ntz'{text}'"
+
+
 def timestamp(value: datetime | str) -> Column:
     """A time-zone free timestamp literal."""
-    text = utc(value).isoformat(sep=" ") if isinstance(value, datetime) else value
-    return F.lit(text).cast("timestamp_ntz")
+    return F.expr(sql_timestamp(value))
 
 
 def strip(c: Column | str) -> Column:
@@ -86,11 +91,12 @@ def row_hash(columns: Iterable[str], strict: bool = False) -> Column:
     """
     parts = []
     for name in columns:
-        text = F.col(name).cast("string")
+        text = f"cast(`{name}` as string)"
         if strict:
-            text = F.concat(F.length(text).cast("string"), F.lit(":"), text)
-        parts.append(F.coalesce(text, F.lit("~" if strict else "")))
-    return F.sha2(F.concat_ws("|", *parts), 256)
+            parts.append(f"coalesce(length({text}) || ':' || {text}, '~')")
+        else:
+            parts.append(f"coalesce({text}, '')")
+    return F.expr(f"sha2(concat_ws('|', {', '.join(parts)}), 256)")
 
 
 def status_label(

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from regchron.functions.columns import row_hash, timestamp
+from regchron.functions.columns import row_hash, sql_timestamp, timestamp
 from regchron.schema import KEY, OPEN_END
 
 NEW, CHANGED, UNCHANGED, DELETED = "new", "changed", "unchanged", "deleted"
@@ -51,18 +51,17 @@ def _joined(
 
     def side(df: DataFrame, prefix: str, *extra: Column) -> DataFrame:
         mark = row_hash(compare) if compare else F.col("record_hash")
-        renamed = [F.col(c).alias(prefix + c) for c in df.columns if c not in keys]
+        renamed = [F.expr(f"`{c}` as `{prefix}{c}`") for c in df.columns if c not in keys]
         return df.select(*keys, *renamed, mark.alias(f"{prefix}mark"), *extra)
 
     in_scope = F.coalesce(_scope(delete_scope), F.lit(False)).alias("_in_scope")
     joined = side(current, "_cur_", in_scope).join(side(staging, "_stg_"), list(keys), "full_outer")
-    action = (
-        F.when(F.col("_cur_mark").isNull(), NEW)
-        .when(F.col("_stg_mark").isNull(), F.when(F.col("_in_scope"), DELETED).otherwise(KEPT))
-        .when(F.col("_cur_mark") == F.col("_stg_mark"), UNCHANGED)
-        .otherwise(CHANGED)
-    )
-    return joined.withColumn("action", action)
+    action = f"""case
+        when _cur_mark is null then '{NEW}'
+        when _stg_mark is null then if(_in_scope, '{DELETED}', '{KEPT}')
+        when _cur_mark = _stg_mark then '{UNCHANGED}'
+        else '{CHANGED}' end"""
+    return joined.withColumn("action", F.expr(action))
 
 
 def scd2_classify(
@@ -77,23 +76,23 @@ def scd2_classify(
     return joined.select(*keys, "action")
 
 
-def _on_close(moment: Column, deleted: Column) -> dict[str, Column]:
-    """What ends with a version."""
+def _on_close(moment: str, deleted: str) -> dict[str, str]:
+    """What ends with a version, as SQL."""
     return {
         "valid_to": moment,
-        "is_current": F.lit(False),
+        "is_current": "false",
         "dqa_deleted": deleted,
         "_silver_loaded": moment,
     }
 
 
-def _on_open(moment: Column) -> dict[str, Column]:
-    """What begins with a version."""
+def _on_open(moment: str) -> dict[str, str]:
+    """What begins with a version, as SQL."""
     return {
         "valid_from": moment,
-        "valid_to": timestamp(OPEN_END),
-        "is_current": F.lit(True),
-        "dqa_deleted": F.lit(False),
+        "valid_to": sql_timestamp(OPEN_END),
+        "is_current": "true",
+        "dqa_deleted": "false",
         "_silver_loaded": moment,
     }
 
@@ -114,36 +113,29 @@ def scd2_merge(
     ``compare`` limits the comparison to those columns (for a source that fills only some);
     otherwise the stored fingerprints are compared. Merging the same rows again changes nothing.
     """
-    moment = timestamp(now)
-    types = {f.name: f.dataType for f in current.schema}
+    moment = sql_timestamp(now)
     staged = set(staging.columns)
-    action = F.col("action")
     joined = _joined(current, staging, keys, delete_scope, compare)
 
     # A changed key yields two rows, its closed and its new version, any other key one.
-    versions = (
-        F.when(action == NEW, F.array(F.lit("new")))
-        .when(action == CHANGED, F.array(F.lit("old"), F.lit("new")))
-        .otherwise(F.array(F.lit("old")))
-    )
-    is_new = F.col("_version") == "new"
-    ends = action.isin(CHANGED, DELETED)
-    on_close, on_open = _on_close(moment, action == DELETED), _on_open(moment)
-
-    def value(name: str) -> Column:
+    versions = f"""case action
+        when '{NEW}' then array('new')
+        when '{CHANGED}' then array('old', 'new')
+        else array('old') end"""
+    ends = f"action in ('{CHANGED}', '{DELETED}')"
+    on_close, on_open = _on_close(moment, f"action = '{DELETED}'"), _on_open(moment)
+
+    def value(name: str, kind: str) -> str:
         if name in keys:
-            return F.col(name)
-        old = F.col(f"_cur_{name}")
+            return f"`{name}`"
+        old = f"`_cur_{name}`"
         if name in on_close:
-            old = F.when(ends, on_close[name]).otherwise(old)
-        if name in on_open:
-            new = on_open[name]
-        else:
-            new = F.col(f"_stg_{name}").cast(types[name]) if name in staged else F.lit(None)
-        return F.when(is_new, new).otherwise(old).cast(types[name])
-
-    return joined.withColumn("_version", F.explode(versions)).select(
-        *[value(name).alias(name) for name in current.columns]
+            old = f"if({ends}, {on_close[name]}, {old})"
+        new = on_open.get(name, f"`_stg_{name}`" if name in staged else "null")
+        return f"if(_version = 'new', cast({new} as {kind}), {old}) as `{name}`"
+
+    return joined.withColumn("_version", F.explode(F.expr(versions))).selectExpr(
+        *[value(name, kind) for name, kind in current.dtypes]
     )
 
 
@@ -164,19 +156,16 @@ def scd2_merge_small(
     shuffled nor sorted. A second look at the current rows reads their keys and fingerprints
     only and finds the staged rows that change nothing; the others begin a version.
     """
-    moment = timestamp(now)
-    types = {f.name: f.dataType for f in current.schema}
+    moment = sql_timestamp(now)
     mark = row_hash(compare) if compare else F.col("record_hash")
     marks = F.broadcast(staging.select(*keys, mark.alias("_stg_mark")))
 
     compared = current.withColumn("_cur_mark", mark).join(marks, list(keys), "left")
-    ends = F.coalesce(F.col("_cur_mark") != F.col("_stg_mark"), F.lit(False))
-    on_close = _on_close(moment, F.lit(False))
-    kept = compared.select(
+    ends = "coalesce(_cur_mark != _stg_mark, false)"
+    on_close = _on_close(moment, "false")
+    kept = compared.selectExpr(
         *[
-            F.when(ends, on_close[c]).otherwise(F.col(c)).cast(types[c]).alias(c)
-            if c in on_close
-            else F.col(c)
+            f"if({ends}, {on_close[c]}, `{c}`) as `{c}`" if c in on_close else f"`{c}`"
             for c in current.columns
         ]
     )
@@ -187,12 +176,11 @@ def scd2_merge_small(
         .filter(F.col("_cur_mark") == F.col("_stg_mark"))
         .select(*keys)
     )
-    on_open = _on_open(moment)
-    begun = staging.join(unchanged, list(keys), "left_anti")
-    opened = begun.select(
+    on_open, staged = _on_open(moment), set(staging.columns)
+    opened = staging.join(unchanged, list(keys), "left_anti").selectExpr(
         *[
-            on_open.get(c, F.col(c) if c in begun.columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in current.columns
+            f"cast({on_open.get(c, f'`{c}`' if c in staged else 'null')} as {kind}) as `{c}`"
+            for c, kind in current.dtypes
         ]
     )
     return kept.unionByName(opened)

@@ -19,9 +19,15 @@ Run = tuple[str, datetime]
 
 
 def list_runs(bronze: DataFrame) -> list[Run]:
-    """Run ids with their load time, oldest first: one row per run reaches the driver."""
+    """Run ids with their load time, oldest first: one row per run reaches the driver.
+
+    All rows of a run carry the same time. They are made distinct first, as a greatest text per
+    run would be found by sorting the log.
+    """
     rows = (
-        bronze.groupBy("_run_id")
+        bronze.select("_run_id", "_ingested_at")
+        .distinct()
+        .groupBy("_run_id")
         .agg(F.max("_ingested_at").alias("at"))
         .orderBy("at", "_run_id")
         .collect()

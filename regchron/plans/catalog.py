@@ -154,7 +154,7 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("_run_id", "_ingestion_date", "_is_full_load").agg(
         F.count("*").alias("records"),
         F.count_distinct("egid").alias("buildings"),
-        F.max("gdat").alias("max_gdat"),
+        F.max(C.iso_date("gdat")).alias("max_gdat"),
         F.count("plz4").alias("with_postcode"),
     )
 
@@ -675,7 +675,7 @@ def check_report_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A watermark log: one mark per run and canton as source."""
     return S.bronze_log(spark, sf_dir).groupBy(F.col("gdekt").alias("source"), "_run_id").agg(
-        C.iso_date(F.max("gdat")).alias("watermark_date")
+        F.max(C.iso_date("gdat")).alias("watermark_date")
     )
 
 

@@ -308,7 +308,7 @@ ORACLE["bulk_load_once"] = f"""WITH {_EXTRACT} SELECT {_BULK}, 'first' AS _run_i
 ORACLE["records_csv"] = f"""WITH {RECORDS} SELECT egid, plz, strasse, baujahr, anzahl_wohnungen, nutzungsart FROM rec"""
 ORACLE["table_scan"] = "SELECT * FROM orders"
 ORACLE["bronze_append"] = f"""WITH {LOG} SELECT _run_id, _ingestion_date, _is_full_load, count(*) AS records,
-  count(DISTINCT egid) AS buildings, max(gdat) AS max_gdat, count(plz4) AS with_postcode FROM log GROUP BY ALL"""
+  count(DISTINCT egid) AS buildings, max(CAST(gdat AS DATE)) AS max_gdat, count(plz4) AS with_postcode FROM log GROUP BY ALL"""
 ORACLE["bronze_schema_merge"] = f"""WITH {LOG} SELECT egid, _run_id, _batch_id,
   CASE WHEN _run_id >= '1998' THEN gkat + 1 END AS gwaerzh1 FROM log"""
 ORACLE["table_write"] = """SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1

@@ -92,11 +92,11 @@ def ensure_tables(spark: SparkSession, base: str, database: str | None = None) -
 
 def require_not_null(df: DataFrame, schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
     """Fail the job on a NULL in a required column, as a NOT NULL constraint does."""
-    checked = {}
-    for f in schema:
-        if not f.nullable:
-            message = F.lit(f"NULL in required column {f.name}")
-            checked[f.name] = F.when(F.col(f.name).isNotNull(), F.col(f.name)).otherwise(
-                F.raise_error(message).cast(f.dataType)
-            )
+    checked = {
+        f.name: F.expr(
+            f"if(`{f.name}` is null, raise_error('NULL in required column {f.name}'), `{f.name}`)"
+        )
+        for f in schema
+        if not f.nullable
+    }
     return df.withColumns(checked)
