@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from regchron.functions.columns import timestamp
+from regchron.functions.columns import sql_timestamp
 from regchron.schema import KEY, OPEN_END, REGISTRY_COLUMNS
 
 Run = tuple[str, datetime]
@@ -75,31 +75,23 @@ def scd2_replay(
     key_order = Window.partitionBy(*keys).orderBy("_run_no")
     rows = staged.select(*columns, "record_hash", "_run_id").join(calendar, "_run_id")
 
-    def neighbour(name: str, step: int):
-        return F.lag(name, step).over(key_order)
-
     marked = rows.withColumns(
         {
-            "_hash_before": neighbour("record_hash", 1),
-            "_hash_after": neighbour("record_hash", -1),
-            "_run_before": neighbour("_run_no", 1),
-            "_run_after": neighbour("_run_no", -1),
+            "_hash_before": F.lag("record_hash").over(key_order),
+            "_hash_after": F.lead("record_hash").over(key_order),
+            "_run_before": F.lag("_run_no").over(key_order),
+            "_run_after": F.lead("_run_no").over(key_order),
         }
     )
-    gap_before = gap_after = F.lit(False)
+    gap_before = gap_after = "false"
     if delete_missing:
-        gap_before = F.col("_run_before") != F.col("_run_no") - 1
-        gap_after = F.coalesce(F.col("_run_after") != F.col("_run_no") + 1, F.lit(True))
-    last_run = F.col("_next_now").isNull()
-    changes_after = F.coalesce(F.col("_hash_after") != F.col("record_hash"), F.lit(False))
-    edges = marked.withColumns(
-        {
-            "_begins": F.col("_run_before").isNull()
-            | (F.col("_hash_before") != F.col("record_hash"))
-            | gap_before,
-            "_ends": changes_after | gap_after | F.col("_run_after").isNull(),
-            "_gone": gap_after & ~last_run,
-        }
+        gap_before = "_run_before != _run_no - 1"
+        gap_after = "coalesce(_run_after != _run_no + 1, true)"
+    edges = marked.selectExpr(
+        "*",
+        f"_run_before is null or _hash_before != record_hash or {gap_before} as _begins",
+        f"_run_after is null or _hash_after != record_hash or {gap_after} as _ends",
+        f"{gap_after} and _next_now is not null as _gone",
     ).filter("_begins or _ends")
 
     # After the filter the row behind a beginning is its end, unless it is its own end. A
@@ -116,13 +108,13 @@ def scd2_replay(
         end = F.when(F.col("_ends"), next_begin).otherwise(F.lead("_now", 2).over(key_order))
     spans = edges.withColumns({"_end": end, "_deleted": end_gone}).filter("_begins")
 
-    closed = F.col("_end").isNotNull()
-    return spans.select(
-        *columns,
-        F.col("_now").alias("valid_from"),
-        F.coalesce(F.col("_end"), timestamp(OPEN_END)).alias("valid_to"),
-        (~closed).alias("is_current"),
+    data = [f"`{c}`" for c in columns]
+    return spans.selectExpr(
+        *data,
+        "_now as valid_from",
+        f"coalesce(_end, {sql_timestamp(OPEN_END)}) as valid_to",
+        "_end is null as is_current",
         "record_hash",
-        (closed & F.col("_deleted")).alias("dqa_deleted"),
-        F.coalesce(F.col("_end"), F.col("_now")).alias("_silver_loaded"),
+        "_end is not null and _deleted as dqa_deleted",
+        "coalesce(_end, _now) as _silver_loaded",
     )

@@ -14,6 +14,9 @@ from regchron.plans.gold import current_view
 from regchron.schema import CANTONS, REGISTRY_COLUMNS, REGISTRY_SCHEMA, tsv_name
 
 
+_KINDS = {f.name: f.dataType.simpleString() for f in REGISTRY_SCHEMA}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,39 +34,37 @@ def _key_mod(divisor: int) -> Column:
 
 def registry_rows(orders: DataFrame) -> DataFrame:
     """The 25 registry columns for every order; ``o_orderkey`` and ``o_orderdate`` stay."""
-    key = F.col("o_custkey")
-    number = 1 + _key_mod(2000)
-    postcode = F.when(_key_mod(17) != 0, (1000 + _key_mod(9000)).cast("string"))
-    status = F.col("o_orderstatus")
+    cantons = ", ".join(f"'{c.upper()}'" for c in CANTONS)
+    postcode = "if(o_custkey % 17 != 0, cast(1000 + o_custkey % 9000 as string), null)"
     values = {
-        "egid": key,
-        "egrid": F.concat(F.lit("CH"), F.lpad(key.cast("string"), 12, "0")),
-        "gdekt": F.upper(F.get(F.array(*map(F.lit, CANTONS)), _key_mod(26).cast("int"))),
-        "ggdenr": number,
-        "ggdename": F.concat(F.lit("Gemeinde "), number.cast("string")),
-        "strname": F.col("o_orderpriority"),
-        "deinr": 1 + _key_mod(120),
+        "egid": "o_custkey",
+        "egrid": "'CH' || lpad(cast(o_custkey as string), 12, '0')",
+        "gdekt": f"array({cantons})[cast(o_custkey % 26 as int)]",
+        "ggdenr": "1 + o_custkey % 2000",
+        "ggdename": "'Gemeinde ' || cast(1 + o_custkey % 2000 as string)",
+        "strname": "o_orderpriority",
+        "deinr": "1 + o_custkey % 120",
         "plz4": postcode,
-        "plzname": F.concat(F.lit("Ort "), postcode),
-        "gstat": F.when(status == "O", 1003).when(status == "F", 1004).when(status == "P", 1001).otherwise(1006),
-        "gkat": 1010 + 10 * _key_mod(5),
-        "gklas": 1110 + _key_mod(10),
-        "gbauj": F.when(_key_mod(11) != 0, 1850 + _key_mod(170)),
-        "gbaum": 1 + _key_mod(12),
-        "gbaup": 8011 + _key_mod(13),
-        "gabbj": F.when(_key_mod(19) == 0, 1990 + _key_mod(30)),
-        "garea": _key_mod(500) + F.lit(0.5),
-        "gvol": F.when(_key_mod(7) != 0, _key_mod(900) * F.lit(2.0)),
-        "ganzwhg": F.floor(F.col("o_totalprice") / 250000),
-        "gazzi": _key_mod(3),
-        "gkode": F.when(_key_mod(13) != 0, _key_mod(50000) + F.lit(2600000.25)),
-        "gkodn": F.when(_key_mod(13) != 0, _key_mod(50000) + F.lit(1200000.75)),
-        "gschutzr": _key_mod(2),
-        "gdatns": F.lit("2000-01-01"),
-        "gdat": F.col("o_orderdate").cast("date"),
+        "plzname": f"'Ort ' || {postcode}",
+        "gstat": "case o_orderstatus when 'O' then 1003 when 'F' then 1004 when 'P' then 1001 else 1006 end",
+        "gkat": "1010 + 10 * (o_custkey % 5)",
+        "gklas": "1110 + o_custkey % 10",
+        "gbauj": "if(o_custkey % 11 != 0, 1850 + o_custkey % 170, null)",
+        "gbaum": "1 + o_custkey % 12",
+        "gbaup": "8011 + o_custkey % 13",
+        "gabbj": "if(o_custkey % 19 = 0, 1990 + o_custkey % 30, null)",
+        "garea": "o_custkey % 500 + 0.5D",
+        "gvol": "if(o_custkey % 7 != 0, o_custkey % 900 * 2.0D, null)",
+        "ganzwhg": "floor(o_totalprice / 250000)",
+        "gazzi": "o_custkey % 3",
+        "gkode": "if(o_custkey % 13 != 0, o_custkey % 50000 + 2600000.25D, null)",
+        "gkodn": "if(o_custkey % 13 != 0, o_custkey % 50000 + 1200000.75D, null)",
+        "gschutzr": "o_custkey % 2",
+        "gdatns": "'2000-01-01'",
+        "gdat": "cast(o_orderdate as date)",
     }
-    return orders.select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in REGISTRY_SCHEMA],
+    return orders.selectExpr(
+        *[f"cast({values[n]} as {kind}) as {n}" for n, kind in _KINDS.items()],
         "o_orderkey",
         "o_orderdate",
     )
@@ -71,16 +72,15 @@ def registry_rows(orders: DataFrame) -> DataFrame:
 
 def bronze_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log: all orders with lineage; run = year, loaded on the first day of the next one."""
-    year = F.year("o_orderdate")
-    loaded = F.format_string("%04d-01-01", year + 1)
-    return registry_rows(dealt_out(table(spark, sf_dir, "orders"))).select(
+    loaded = "cast(year(o_orderdate) + 1 as string) || '-01-01'"
+    return registry_rows(dealt_out(table(spark, sf_dir, "orders"))).selectExpr(
         *REGISTRY_COLUMNS,
-        F.concat(loaded, F.lit("T00:00:00")).alias("_ingested_at"),
-        loaded.alias("_ingestion_date"),
-        year.cast("string").alias("_run_id"),
-        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("_batch_id"),
-        F.lit("orders").alias("_source"),
-        F.lit(True).alias("_is_full_load"),
+        f"{loaded} || 'T00:00:00' as _ingested_at",
+        f"{loaded} as _ingestion_date",
+        "cast(year(o_orderdate) as string) as _run_id",
+        "lpad(cast(o_orderkey as string), 12, '0') as _batch_id",
+        "'orders' as _source",
+        "true as _is_full_load",
     )
 
 
