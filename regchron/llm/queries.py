@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from regchron.llm import decontaminate
+from regchron.llm import chat, decontaminate, pii, secrets
 
 QUERIES = {
+    "op1_secrets": secrets.op1,
+    "op3_pii": pii.op3,
+    "op6_chat": chat.op6,
     "op8_decontaminate": decontaminate.op8,
 }
 
 ORACLE = {
+    "op1_secrets": secrets.SQL,
+    "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
 }
