@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from regchron.llm import chat, decontaminate, pii, secrets
+from regchron.llm import chat, decontaminate, pii, secrets, sentencepieces
 
 QUERIES = {
     "op1_secrets": secrets.op1,
+    "op2_sentencepieces": sentencepieces.op2,
     "op3_pii": pii.op3,
     "op6_chat": chat.op6,
     "op8_decontaminate": decontaminate.op8,
