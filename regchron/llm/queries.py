@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from regchron.llm import chat, decontaminate, pii, secrets, sentencepieces
+from regchron.llm import chat, decontaminate, pii, quality, secrets, sentencepieces
 
 QUERIES = {
     "op1_secrets": secrets.op1,
     "op2_sentencepieces": sentencepieces.op2,
     "op3_pii": pii.op3,
     "op6_chat": chat.op6,
+    "op7_quality": quality.op7,
     "op8_decontaminate": decontaminate.op8,
 }
 
