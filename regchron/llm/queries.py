@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from regchron.llm import chat, decontaminate, pii, quality, secrets, sentencepieces
+from regchron.llm import chat, decontaminate, near_text, pii, quality, secrets, sentencepieces
 
 QUERIES = {
     "op1_secrets": secrets.op1,
     "op2_sentencepieces": sentencepieces.op2,
     "op3_pii": pii.op3,
+    "op4_near_text": near_text.op4,
     "op6_chat": chat.op6,
     "op7_quality": quality.op7,
     "op8_decontaminate": decontaminate.op8,
