@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from regchron.llm import chat, decontaminate, near_text, pii, quality, secrets, sentencepieces
+from regchron.llm import chat, decontaminate, near_text, near_vectors, pii, quality, secrets, sentencepieces
 
 QUERIES = {
     "op1_secrets": secrets.op1,
     "op2_sentencepieces": sentencepieces.op2,
     "op3_pii": pii.op3,
     "op4_near_text": near_text.op4,
+    "op5_near_vectors": near_vectors.op5,
     "op6_chat": chat.op6,
     "op7_quality": quality.op7,
     "op8_decontaminate": decontaminate.op8,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_secrets": secrets.SQL,
+    "op5_near_vectors": near_vectors.SQL,
     "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
 }
