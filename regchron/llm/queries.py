@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from regchron.llm import chat, decontaminate, lm, near_text, near_vectors, pii, quality, secrets, sentencepieces
+from regchron.llm import chat, decontaminate, lm, near_text, near_vectors, pii, quality, repeats, secrets, sentencepieces
 
 QUERIES = {
     "op1_secrets": secrets.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_chat": chat.op6,
     "op7_quality": quality.op7,
     "op8_decontaminate": decontaminate.op8,
+    "op9_repeats": repeats.op9,
     "op10_lm": lm.op10,
 }
 
