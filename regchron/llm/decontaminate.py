@@ -264,3 +264,9 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN found USING (r)
 """
+
+
+def pipeline_stage(spark, documents: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no window of a benchmark item."""
+    marked = decontaminate(documents, read_table(spark, sf_dir, "benchmark"))
+    return marked.where(F.size("hits") == 0).select("doc_id", "text", "lang", "source", "n_chars")
