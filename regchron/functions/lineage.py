@@ -15,16 +15,19 @@ def new_run_id() -> str:
     return uuid.uuid4().hex[:8]
 
 
-def batch_number(batch_size: int) -> Column:
-    """Number of a row's block of ``batch_size`` rows.
+def batch_name(run_id: str, batch_size: int) -> Column:
+    """Name of a row's block of ``batch_size`` rows: run, partition and number within it.
 
     Blocks are counted within a partition, as a count over the whole input would need one task
-    or another pass; partition p starts at p million. Input in one partition gets 0, 1, 2, ...
+    or another pass. The first partition's blocks carry no partition: input in one partition
+    gets run_0000, run_0001, ...
     """
     row_id = F.monotonically_increasing_id()
     partition = F.shiftright(row_id, 33)
-    row = row_id.bitwiseAND(F.lit((1 << 33) - 1))
-    return partition * 1_000_000 + F.floor(row / batch_size)
+    block = F.floor(row_id.bitwiseAND(F.lit((1 << 33) - 1)) / batch_size)
+    return F.when(partition == 0, F.format_string("%s_%04d", F.lit(run_id), block)).otherwise(
+        F.format_string("%s_%d_%04d", F.lit(run_id), partition, block)
+    )
 
 
 def stamp_lineage(
@@ -39,7 +42,7 @@ def stamp_lineage(
     """Add the six lineage columns; ``batch_label`` replaces the block number (bulk loads)."""
     now = utc(now)
     if batch_label is None:
-        batch = F.format_string("%s_%04d", F.lit(run_id), batch_number(batch_size))
+        batch = batch_name(run_id, batch_size)
     else:
         batch = F.lit(f"{run_id}_{batch_label}")
     return df.withColumns(

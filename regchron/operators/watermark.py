@@ -25,14 +25,22 @@ def read_watermark(log: DataFrame, source: str = WATERMARK_SOURCE) -> str:
 
 
 def safe_watermark(
-    df: DataFrame, column: str = "gdat", buffer_days: int = 1, previous: str = INITIAL_WATERMARK
+    df: DataFrame,
+    column: str = "gdat",
+    buffer_days: int = 1,
+    previous: str = INITIAL_WATERMARK,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """One row: greatest mutation date less the buffer, or the previous mark.
 
     The greatest is taken over the text, as ISO dates sort like text; if it is no date, or
-    there is none, the previous mark stays.
+    there is none, the previous mark stays. With ``skip_unreadable`` text that is no date is
+    left out, so that one such value does not hold the mark back.
     """
-    greatest = F.max(F.when(F.col(column) != "", F.col(column)))
+    usable = F.col(column) != ""
+    if skip_unreadable:
+        usable = usable & iso_date(F.col(column)).isNotNull()
+    greatest = F.max(F.when(usable, F.col(column)))
     return df.agg(
         F.coalesce(
             F.date_sub(iso_date(greatest), buffer_days), F.lit(previous).cast("date")
@@ -71,13 +79,14 @@ def changed_since(df: DataFrame, watermark: date | str | None, column: str = "gd
     """Rows mutated after the watermark; all rows for a full load (``None``).
 
     A date held as text is compared as text, which the Parquet scan can evaluate. Text that is
-    no date sorts behind and stays in rather than being lost.
+    no date sorts behind and stays in, and so do rows without a date, rather than being lost.
     """
     if watermark is None:
         return df
     kind = dict(df.dtypes)[column]
     mark = F.lit(str(watermark))
-    return df.filter(F.col(column) > (mark if kind == "string" else mark.cast(kind)))
+    newer = F.col(column) > (mark if kind == "string" else mark.cast(kind))
+    return df.filter(newer | F.col(column).isNull())
 
 
 def in_cantons(df: DataFrame, cantons: str | list[str] | None, column: str = "gdekt") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -621,13 +622,13 @@ def label_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks for every business record."""
     records = S.business_records(spark, sf_dir)
-    return Q.run_checks(records, S.current(spark, sf_dir), AS_OF, checked_at=LOADED_AT)
+    return Q.run_checks(records, S.stored_current(spark, sf_dir), AS_OF, checked_at=LOADED_AT)
 
 
 def _one_check(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = S.business_records(spark, sf_dir)
-        results = Q.run_checks(records, S.current(spark, sf_dir), AS_OF, checks=[name])
+        results = Q.run_checks(records, S.stored_current(spark, sf_dir), AS_OF, checks=[name])
         return Q.with_status(results).select(
             "check_id", "check_name", "egid", "status", "severity", "detail", "expected", "actual"
         )
@@ -645,7 +646,7 @@ def check_results_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks with the salted join, every building with two or more records being salted."""
     records = S.business_records(spark, sf_dir)
     return Q.run_checks(
-        records, S.current(spark, sf_dir), AS_OF, checked_at=LOADED_AT, salted=True, rows_per_salt=2
+        records, S.stored_current(spark, sf_dir), AS_OF, checked_at=LOADED_AT, salted=True, rows_per_salt=2
     )
 
 
@@ -653,7 +654,7 @@ def check_results_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with the reference row of its key."""
     records = S.business_records(spark, sf_dir).select("o_orderkey", "egid")
-    reference = S.current(spark, sf_dir).select(F.col("egid").alias("ref_egid"), "gstat", "plz4")
+    reference = S.stored_current(spark, sf_dir).select(F.col("egid").alias("ref_egid"), "gstat", "plz4")
     return Q.lookup_join(records, reference, "egid", "ref_egid")
 
 
@@ -736,20 +737,18 @@ def full_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- jobs -----------------------------------------------------------------------------------
 
 
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a registry row: all states of a building, several in a load."""
+    return S.registry_rows(S.dealt_out(S.table(spark, sf_dir, "orders"))).drop("o_orderkey", "o_orderdate")
+
+
 def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict]]:
     """The whole chain for two loads: everything up to the middle of 2000 in full, then what changed since."""
     base = scratch_path(spark, "jobs")
-    rows = S.registry_rows(S.table(spark, sf_dir, "orders"))
-    newest = latest_per_key(
-        rows.filter(F.col("gdat") < "2000-07-01"), ["egid"], [F.desc("gdat"), F.desc("o_orderkey")]
-    ).drop("o_orderkey", "o_orderdate")
-    later = latest_per_key(rows, ["egid"], [F.desc("gdat"), F.desc("o_orderkey")]).drop(
-        "o_orderkey", "o_orderdate"
-    )
-    first = jobs.refresh(
-        spark, base, newest, datetime(2000, 7, 1), full_load=True, run_id="00000001"
-    )
-    second = jobs.refresh(spark, base, later, datetime(2001, 9, 1), run_id="00000002")
+    rows = _states(spark, sf_dir)
+    early = rows.filter(F.col("gdat") < "2000-07-01")
+    first = jobs.refresh(spark, base, early, datetime(2000, 7, 1), full_load=True, run_id="00000001")
+    second = jobs.refresh(spark, base, rows, datetime(2001, 9, 1), run_id="00000002")
     return base, [first, second]
 
 
@@ -760,18 +759,196 @@ def refresh_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.open_history(spark, base).read().select(*VERSION_COLUMNS)
 
 
+@query
+def refresh_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both runs report: rows written, mark used, versions closed, inserted and deleted."""
+    _, steps = _refreshed(spark, sf_dir)
+    rows = [
+        (
+            step["bronze"]["run_id"], step["bronze"]["since_date"], step["bronze"]["total_written"],
+            step["bronze"]["batch_count"] > 0, step["silver"]["records_closed"],
+            step["silver"]["records_inserted"], step["silver"]["records_deleted"],
+        )
+        for step in steps
+    ]
+    return spark.createDataFrame(
+        rows,
+        "run_id string, since_date string, total_written bigint, has_batches boolean,"
+        " records_closed bigint, records_inserted bigint, records_deleted bigint",
+    )
+
+
 @query
 def status_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Summary after both runs, from the stored history."""
+    """Summary after both runs, as the job reports it."""
     base, _ = _refreshed(spark, sf_dir)
-    return gold.summary(gold.current_view(jobs.open_history(spark, base).current()))
+    schema = gold.summary(gold.current_view(jobs.open_history(spark, base).current())).schema
+    found = jobs.status(spark, base)
+    return spark.createDataFrame([tuple(found[name] for name in schema.fieldNames())], schema)
 
 
 @query
 def explore_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status transitions of the exploration reports after both runs."""
+    """All nine exploration reports after both runs, as rows of report, key and value."""
     base, _ = _refreshed(spark, sf_dir)
-    return jobs.explore(spark, base)["transitions"]
+    found = jobs.explore(spark, base)
+    keyed = {
+        "runs": ("_run_id", "records"),
+        "latest_run": ("gdekt", "count"),
+        "versions": ("egid", "versionen"),
+        "status": ("gstat", "count"),
+        "cantons": ("gdekt", "gebaeude"),
+        "mutation_years": ("mutation_jahr", "count"),
+        "transitions": ("concat_ws('>', prev_gstat, gstat)", "anzahl"),
+    }
+    rows = [
+        found[name].selectExpr(f"'{name}' AS report", f"cast({key} AS string) AS key", f"cast(`{value}` AS bigint) AS value")
+        for name, (key, value) in keyed.items()
+    ]
+    for name in ("row_counts", "gaps"):
+        one = found[name]
+        pairs = ", ".join(f"'{c}', `{c}`" for c in one.columns)
+        rows.append(one.selectExpr(f"'{name}' AS report", f"stack({len(one.columns)}, {pairs}) AS (key, value)"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def watermark_cantons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of one canton between two of all: the other cantons' changes arrive all the same."""
+    base = scratch_path(spark, "jobs")
+    rows = _states(spark, sf_dir)
+    early = rows.filter(F.col("gdat") < "2000-07-01")
+    jobs.bronze_ingest(spark, base, early, datetime(2000, 7, 1), full_load=True, run_id="00000001")
+    jobs.bronze_ingest(spark, base, rows, datetime(2001, 8, 1), cantons="zh", run_id="00000002")
+    jobs.bronze_ingest(spark, base, rows, datetime(2001, 9, 1), run_id="00000003")
+    later = jobs.open_bronze(spark, base).filter("_run_id > '00000001'")
+    return later.select("egid", "gdekt", "gdat", "_run_id")
+
+
+@query
+def increment_without_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows an increment takes if every fifth building has no mutation date."""
+    base = scratch_path(spark, "jobs")
+    rows = _states(spark, sf_dir)
+    rows = rows.withColumn("gdat", F.when(F.col("egid") % 5 != 0, F.col("gdat")))
+    early = rows.filter(F.col("gdat") < "2000-07-01")
+    jobs.bronze_ingest(spark, base, early, datetime(2000, 7, 1), full_load=True, run_id="00000001")
+    jobs.bronze_ingest(spark, base, rows, datetime(2001, 9, 1), run_id="00000002")
+    return jobs.open_bronze(spark, base).filter("_run_id = '00000002'").select("egid", "gstat", "gdat")
+
+
+@query
+def refresh_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load of all columns, then responses with 20 of them: what they lack stays."""
+    base = scratch_path(spark, "jobs")
+    jobs.refresh(
+        spark, base, _states(spark, sf_dir), datetime(2001, 9, 1), source="gwr_zip", full_load=True,
+        move_watermark=False, run_id="00000001",
+    )
+    answers = xml.read_registry_xml(S.responses(spark, sf_dir)).drop("requested")
+    jobs.refresh(spark, base, answers, datetime(2001, 10, 1), run_id="00000002")
+    return jobs.open_history(spark, base).read().select(*VERSION_COLUMNS, "gbaum", "gabbj", "gvol", "gazzi", "gschutzr")
+
+
+@query
+def rebuild_mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History rebuilt in one pass from a full load, one of two cantons, and an increment."""
+    base = scratch_path(spark, "jobs")
+    rows = _states(spark, sf_dir)
+    first, then = rows.filter("gdat < '1998-01-01'"), rows.filter("gdat >= '1998-01-01' and gdat < '1999-06-01'")
+    jobs.bronze_ingest(spark, base, first, datetime(1998, 1, 1), full_load=True, run_id="00000001")
+    jobs.bronze_ingest(spark, base, then, datetime(1999, 6, 1), full_load=True, cantons=["zh", "be"], run_id="00000002")
+    jobs.bronze_ingest(spark, base, rows, datetime(2001, 9, 1), run_id="00000003")
+    jobs.rebuild_history(spark, base, datetime(2001, 9, 1))
+    return jobs.open_history(spark, base).read().select(*VERSION_COLUMNS)
+
+
+def _write_clean_extract(spark: SparkSession, sf_dir: str, condition: str, path: str) -> None:
+    """Extract files of the orders that meet a condition, without unreadable numbers."""
+    raw = S.raw_extract(spark, sf_dir).withColumn("_day", F.to_date("GEXPDAT")).filter(condition).drop("_day")
+    clean = raw.withColumns({"GBAUJ": F.nullif("GBAUJ", F.lit("n/a")), "GVOL": F.trim("GVOL")})
+    clean.write.mode("append").partitionBy("kanton").csv(path, sep="\t", **AS_IS)
+
+
+@query
+def bulk_second_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk loads of a canton, the second one with new files only: it deletes nothing."""
+    base = scratch_path(spark, "bulk")
+    for month, condition in ((7, "_day < '1998-07-01'"), (8, "_day >= '1998-07-01'")):
+        _write_clean_extract(spark, sf_dir, condition, f"{base}/src")
+        jobs.bronze_bulk(
+            spark, base, f"{base}/src", datetime(2001, month, 1), "AG", layout="kanton={canton}", run_id=f"0000000{month}"
+        )
+    jobs.silver_pending(spark, base, datetime(2001, 9, 1))
+    return jobs.open_history(spark, base).read().select("egid", "gstat", "ganzwhg", "is_current", "dqa_deleted")
+
+
+@query
+def bulk_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bulk job reports for a canton, run twice over the same files."""
+    base = scratch_path(spark, "bulk")
+    _write_clean_extract(spark, sf_dir, "true", f"{base}/src")
+    rows = []
+    for month in (7, 8):
+        out = jobs.bronze_bulk(
+            spark, base, f"{base}/src", datetime(2001, month, 1), "ZH", layout="kanton={canton}", run_id=f"0000000{month}"
+        )
+        rows.append((out["run_id"], out["kanton"], out["records"]))
+    return spark.createDataFrame(rows, "run_id string, kanton string, records bigint")
+
+
+@query
+def extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the extract job reports for all cantons, and the mark it leaves."""
+    base = scratch_path(spark, "jobs")
+    out = jobs.bronze_from_tsv(
+        spark, base, _write_extract(spark, sf_dir), LOADED_AT, layout="kanton={canton}", run_id="00000001"
+    )
+    mark = M.read_watermark(jobs.open_watermark(spark, base))
+    row = (out["run_id"], out["since_date"], out["total_written"], out["batch_count"] > 0, out["dry_run"], mark)
+    return spark.createDataFrame(
+        [row],
+        "run_id string, since_date string, total_written bigint, has_batches boolean, dry_run boolean, watermark string",
+    )
+
+
+@query
+def responses_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the response job reports, and the mark it leaves."""
+    base = scratch_path(spark, "jobs")
+    S.responses(spark, sf_dir).select("response").write.text(f"{base}/responses")
+    out = jobs.bronze_from_responses(
+        spark, base, f"{base}/responses", LOADED_AT, by_line=True, run_id="00000001"
+    )
+    mark = M.read_watermark(jobs.open_watermark(spark, base))
+    row = (out["run_id"], out["since_date"], out["total_written"], out["batch_count"] > 0, out["dry_run"], mark)
+    return spark.createDataFrame(
+        [row],
+        "run_id string, since_date string, total_written bigint, has_batches boolean, dry_run boolean, watermark string",
+    )
+
+
+@query
+def merge_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each merge of the stored history reports."""
+    _, counts = _merge_runs(spark, sf_dir)
+    rows = [(c["run"], c["records_closed"], c["records_inserted"], c["records_deleted"]) for c in counts]
+    return spark.createDataFrame(
+        rows, "run string, records_closed bigint, records_inserted bigint, records_deleted bigint"
+    )
+
+
+@query
+def ensured_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the tables after they were ensured twice, and rows that meet the NOT NULL columns."""
+    base = scratch_path(spark, "tables")
+    tables.ensure_tables(spark, base)
+    tables.append_bronze(S.bronze_log(spark, sf_dir), f"{base}/bronze")
+    paths = tables.ensure_tables(spark, base)
+    log = tables.read_bronze(spark, paths["bronze"]).agg(F.count("*").alias("n")).withColumn("name", F.lit("bronze"))
+    marks = jobs.open_watermark(spark, base).agg(F.count("*").alias("n")).withColumn("name", F.lit("watermark"))
+    complete = tables.require_not_null(S.history(spark, sf_dir)).agg(F.count("valid_from").alias("n"))
+    return log.unionByName(marks).unionByName(complete.withColumn("name", F.lit("silver")))
 
 
 @query

@@ -101,27 +101,23 @@ def most_changed_key(history: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFr
 def summary(current: DataFrame) -> DataFrame:
     """One row of totals over the current view.
 
-    Counted per canton and municipality first, so that the distinct counts run over those few
-    rows and not over the buildings. The dates are text, for whose least and greatest value per
-    group Spark would have to sort; they are taken over everything instead, which needs no sort.
+    Counted per canton, municipality and date first, in one pass without a sort, so that the
+    distinct counts and the least and greatest date (text, for which Spark would sort groups) run
+    over those rows and not over the buildings.
     """
     codes = (("bestehende", 1004), ("im_bau", 1003), ("geplant", 1001))
-    small = current.groupBy("gdekt", "ggdenr").agg(
+    dates = "last_mutation_date"
+    small = current.groupBy("gdekt", "ggdenr", dates).agg(
         F.count("*").alias("n"),
         *[F.count_if(F.col("gstat") == code).alias(name) for name, code in codes],
     )
-    totals = small.agg(
+    return small.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_buildings"),
         F.count_distinct("gdekt").alias("kantone"),
         F.count_distinct("ggdenr").alias("gemeinden"),
         *[F.sum(name).alias(name) for name, _ in codes],
-    )
-    dates = "last_mutation_date"
-    return totals.withColumns(
-        {
-            "oldest_mutation": current.agg(F.min(dates)).scalar(),
-            "latest_mutation": current.agg(F.max(dates)).scalar(),
-        }
+        F.min(dates).alias("oldest_mutation"),
+        F.max(dates).alias("latest_mutation"),
     )
 
 

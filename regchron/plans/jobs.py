@@ -2,7 +2,7 @@
 reads counts.
 
 ``base`` is a folder that holds the tables ``bronze`` (log of the batch jobs), ``bronze_bulk``
-(log of the bulk loader), ``silver`` (history) and ``watermark``.
+(log of the bulk loader), ``runs`` (one row per load), ``silver`` (history) and ``watermark``.
 """
 
 from __future__ import annotations
@@ -10,14 +10,15 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from regchron.functions.columns import utc
 from regchron.functions.lineage import new_run_id, stamp_lineage
 from regchron.operators.quality import report, report_by_check, run_checks
-from regchron.operators.replay import list_runs, scd2_replay
-from regchron.operators.staging import build_staging
+from regchron.operators.replay import scd2_replay
+from regchron.operators.staging import build_staging, carry_forward, newest_state
 from regchron.operators.watermark import (
     advance_watermark,
     changed_since,
@@ -27,10 +28,18 @@ from regchron.operators.watermark import (
     safe_watermark,
 )
 from regchron.plans import gold, profile
-from regchron.schema import HASH_COLUMNS, KEY, REGISTRY_COLUMNS, WATERMARK_SCHEMA
+from regchron.schema import (
+    CANTONS,
+    HASH_COLUMNS,
+    KEY,
+    REGISTRY_COLUMNS,
+    RUN_SCHEMA,
+    WATERMARK_SCHEMA,
+    bulk_columns,
+)
 from regchron.sources.delimited import canton_paths, read_records_csv, read_registry_tsv
 from regchron.sources.store import HistoryStore
-from regchron.sources.tables import append_bronze, ensure_tables, read_bronze, write_table
+from regchron.sources.tables import append_bronze, ensure_tables, path_exists, read_bronze, write_table
 from regchron.sources.xml import read_registry_xml, read_response_files
 from regchron.streaming.load_once import load_files_once
 
@@ -50,6 +59,64 @@ def open_watermark(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(WATERMARK_SCHEMA).parquet(f"{base}/watermark")
 
 
+class Load(NamedTuple):
+    """A load of the log: when, from where, the cantons it holds in full, the columns it fills."""
+
+    run_id: str
+    loaded_at: datetime
+    source: str | None
+    full_load: bool
+    cantons: tuple[str, ...]
+    columns: tuple[str, ...]
+
+
+def _known_cantons(rows: DataFrame) -> list[str]:
+    """Cantons among the rows: of a fixed set of codes, so that unclean values cannot add up."""
+    known = rows.filter(F.col("gdekt").isin([c.upper() for c in CANTONS]))
+    return sorted(r["gdekt"] for r in known.select("gdekt").distinct().collect())
+
+
+def _note_run(spark: SparkSession, base: str, load: Load) -> None:
+    row = (
+        load.run_id, load.loaded_at.isoformat(), load.source, load.full_load,
+        ",".join(load.cantons), ",".join(load.columns),
+    )
+    write_table(spark.createDataFrame([row], RUN_SCHEMA), f"{base}/runs")
+
+
+def open_runs(spark: SparkSession, base: str) -> list[Load]:
+    """All loads, oldest first, from the small table written at each load.
+
+    A log that was put there in another way has none; its loads are listed from the log, by
+    canton, and count as filling all columns.
+    """
+    if path_exists(spark, f"{base}/runs"):
+        rows = spark.read.schema(RUN_SCHEMA).parquet(f"{base}/runs").collect()
+        loads = [
+            Load(
+                r["run_id"], datetime.fromisoformat(r["loaded_at"]), r["source"], r["full_load"],
+                tuple(filter(None, (r["cantons"] or "").split(","))), tuple(r["columns"].split(",")),
+            )
+            for r in rows
+        ]
+    else:
+        log = open_bronze(spark, base)
+        known = F.when(F.col("gdekt").isin([c.upper() for c in CANTONS]), F.col("gdekt"))
+        found = log.groupBy("_run_id", "_ingested_at", "_source", "_is_full_load", known.alias("gdekt")).count()
+        loads_by: dict[str, Load] = {}
+        for r in found.collect():
+            at = datetime.fromisoformat(r["_ingested_at"])
+            old = loads_by.get(r["_run_id"], Load(r["_run_id"], at, r["_source"], False, (), tuple(REGISTRY_COLUMNS)))
+            new = (r["gdekt"],) if r["_is_full_load"] and r["gdekt"] else ()
+            loads_by[r["_run_id"]] = old._replace(
+                loaded_at=max(at, old.loaded_at),
+                full_load=old.full_load or bool(r["_is_full_load"]),
+                cantons=tuple(sorted({*old.cantons, *new})),
+            )
+        loads = list(loads_by.values())
+    return sorted(loads, key=lambda x: (x.loaded_at, x.run_id))
+
+
 def bronze_ingest(
     spark: SparkSession,
     base: str,
@@ -62,12 +129,15 @@ def bronze_ingest(
     buffer_days: int = 1,
     run_id: str | None = None,
     batch_size: int = 1000,
+    move_watermark: bool = True,
+    skip_unreadable: bool = False,
 ) -> dict:
     """Append the registry rows that changed since the watermark, and move the watermark.
 
     A full load takes all rows. The new mark is the greatest mutation date written less
     ``buffer_days``, so that the last, possibly incomplete day is read again; it moves only
-    forward and only if rows were written.
+    forward and only if rows were written. A load of some ``cantons`` leaves it where it is, as
+    the other cantons' changes up to that day are still to come.
     """
     began = time.monotonic()
     run_id = run_id or new_run_id()
@@ -82,7 +152,11 @@ def bronze_ingest(
         F.count("*").alias("written"), F.count_distinct("_batch_id").alias("batches")
     ).first()
     if counted["written"] and not dry_run:
-        _move_watermark(spark, base, target, now, since, buffer_days)
+        filled = tuple(c for c in REGISTRY_COLUMNS if c in rows.columns)
+        loaded = tuple(_known_cantons(target)) if full_load else ()
+        _note_run(spark, base, Load(run_id, utc(now), source, full_load, loaded, filled))
+        if move_watermark and not cantons:
+            _move_watermark(spark, base, target, now, since, buffer_days, skip_unreadable)
     return {
         "run_id": run_id,
         "since_date": since,
@@ -100,20 +174,26 @@ def _move_watermark(
     now: datetime,
     since: str | None,
     buffer_days: int,
+    skip_unreadable: bool,
 ) -> None:
     log = open_watermark(spark, base)
     previous = since or read_watermark(log)
-    mark = safe_watermark(written, "gdat", buffer_days, previous).first()["watermark_date"]
+    mark = safe_watermark(written, "gdat", buffer_days, previous, skip_unreadable).first()["watermark_date"]
     row = advance_watermark(log, mark, now).collect()
     if row:
         write_table(spark.createDataFrame(row, WATERMARK_SCHEMA), f"{base}/watermark")
 
 
 def bronze_from_responses(
-    spark: SparkSession, base: str, paths: str | list[str], now: datetime, **options
+    spark: SparkSession,
+    base: str,
+    paths: str | list[str],
+    now: datetime,
+    by_line: bool = False,
+    **options,
 ) -> dict:
-    """Ingest landed XML response files."""
-    rows = read_registry_xml(read_response_files(spark, paths))
+    """Ingest landed XML responses, one per file or one per line."""
+    rows = read_registry_xml(read_response_files(spark, paths, by_line))
     return bronze_ingest(spark, base, rows, now, source="gwr_api", **options)
 
 
@@ -123,24 +203,45 @@ def bronze_from_tsv(
     extracts: str,
     now: datetime,
     cantons: str | Sequence[str] = "all",
+    layout: str = "{canton}",
     **options,
 ) -> dict:
-    """Ingest the full extract of one canton, several, or all."""
-    rows = read_registry_tsv(spark, canton_paths(extracts, cantons))
-    options = {"source": "gwr_zip", "full_load": True} | options
+    """Ingest the full extract of one canton, several, or all.
+
+    Extracts leave the watermark of the incremental loads alone: a canton whose extract is
+    missing is skipped, so none can be sure to hold everything up to its newest date.
+    """
+    rows = read_registry_tsv(spark, canton_paths(extracts, cantons, layout))
+    options = {"source": "gwr_zip", "full_load": True, "move_watermark": False} | options
     return bronze_ingest(spark, base, rows, now, **options)
 
 
 def bronze_bulk(
-    spark: SparkSession, base: str, extracts: str, now: datetime, canton: str, **options
+    spark: SparkSession,
+    base: str,
+    extracts: str,
+    now: datetime,
+    canton: str,
+    layout: str = "{canton}",
+    **options,
 ) -> dict:
-    """Bulk load of a canton's extract files that were not loaded before."""
+    """Bulk load of a canton's extract files that were not loaded before.
+
+    Such a load is partial; ``full_load=True`` says that the new files are the whole canton.
+    """
     began = time.monotonic()
     name = canton.lower()
-    src = canton_paths(extracts, name)[0]
+    src = canton_paths(extracts, name, layout)[0]
     loaded = load_files_once(
         spark, src, f"{base}/bronze_bulk", f"{base}/checkpoints/bulk-{name}", now, **options
     )
+    if loaded["records"]:
+        full = options.get("full_load", False)
+        mine = read_bronze(spark, f"{base}/bronze_bulk").filter(F.col("_run_id") == loaded["run_id"])
+        cantons = tuple(_known_cantons(mine)) if full else ()
+        filled = tuple(options.get("names") or bulk_columns())
+        source = options.get("source", "gwr_zip")
+        _note_run(spark, base, Load(loaded["run_id"], utc(now), source, full, cantons, filled))
     return loaded | {"kanton": name.upper(), "elapsed_s": round(time.monotonic() - began, 1)}
 
 
@@ -151,21 +252,31 @@ def silver(
     run_id: str,
     delete_scope: str | None = "auto",
     compare: Sequence[str] | None = None,
+    tie_break: Sequence[Column] | None = None,
+    load: Load | None = None,
 ) -> dict:
     """Merge one run of the log into the history.
 
     ``delete_scope`` decides what a key's absence means: ``"all"`` closes every current row
     that was not staged, ``"none"`` closes nothing, and a condition such as
     ``"gdekt in ('AG','ZH')"`` limits it. ``"auto"`` closes, after a full load, within the
-    cantons that were loaded, and after an incremental load nothing.
+    cantons that were loaded, and after an incremental load nothing. Several states of a key in
+    the run are decided by ``tie_break``, by default the latest mutation. Columns that the
+    run's source does not fill keep the values the history has.
     """
     began = time.monotonic()
     loaded = open_bronze(spark, base).filter(F.col("_run_id") == run_id)
     rows = loaded.filter(F.col(KEY).isNotNull())
+    if load is None:
+        load = next((x for x in open_runs(spark, base) if x.run_id == run_id), None)
     if delete_scope == "auto":
-        delete_scope = _loaded_cantons(rows)
-    counts = open_history(spark, base).merge(
-        build_staging(rows),
+        delete_scope = _in_cantons(load.cantons if load and load.full_load else ())
+    store = open_history(spark, base)
+    staging = build_staging(rows, tie_break=newest_state() if tie_break is None else tie_break)
+    if load is not None:
+        staging = carry_forward(staging, store.current(), load.columns)
+    counts = store.merge(
+        staging,
         now,
         delete_scope,
         compare,
@@ -187,19 +298,17 @@ def silver_pending(spark: SparkSession, base: str, now: datetime, **options) ->
     commits = store.commits()
     done = store.merged_runs()
     last = datetime.fromisoformat(commits[-1]["now"]) if commits else datetime.min
-    pending = [run for run in list_runs(open_bronze(spark, base)) if run[0] not in done]
+    pending = [load for load in open_runs(spark, base) if load.run_id not in done]
     merged = []
-    for position, (run_id, loaded_at) in enumerate(pending):
-        moment = utc(now) if position == len(pending) - 1 else loaded_at
+    for position, load in enumerate(pending):
+        moment = utc(now) if position == len(pending) - 1 else load.loaded_at
         last = max(moment, last + timedelta(microseconds=1))
-        merged.append(silver(spark, base, last, run_id, **options))
+        merged.append(silver(spark, base, last, load.run_id, load=load, **options))
     return merged
 
 
-def _loaded_cantons(rows: DataFrame) -> str:
-    """Deletion scope of a run: the cantons of a full load (a few dozen codes), else none."""
-    loaded = rows.filter("_is_full_load").select("gdekt").distinct().collect()
-    names = sorted(r["gdekt"] for r in loaded if r["gdekt"] is not None)
+def _in_cantons(names: Sequence[str]) -> str:
+    """Deletion scope of the cantons a run holds in full, a few dozen codes at most."""
     if not names:
         return "none"
     quoted = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
@@ -207,17 +316,37 @@ def _loaded_cantons(rows: DataFrame) -> str:
 
 
 def rebuild_history(
-    spark: SparkSession, base: str, now: datetime, delete_missing: bool = True
+    spark: SparkSession,
+    base: str,
+    now: datetime,
+    delete_missing: bool | None = None,
+    tie_break: Sequence[Column] | None = None,
 ) -> None:
     """First build of the history from all runs of the log, in one pass.
 
-    With ``delete_missing`` every run counts as a full load of everything.
+    By default the history is the one that merging the runs in order gives: a key's absence
+    counts in full loads and in the cantons they hold. ``delete_missing`` overrides this: every
+    run counts as a full load of everything, or as none. If a run's source fills only some
+    columns, a row depends on the versions before it, and the runs are merged one by one.
     """
-    log = open_bronze(spark, base)
-    staged = build_staging(log, hash_columns=HASH_COLUMNS, per_run=True)
-    runs = list_runs(log)
-    history = scd2_replay(staged, runs, columns=REGISTRY_COLUMNS, delete_missing=delete_missing)
-    open_history(spark, base).replace(history, now, [run_id for run_id, _ in runs])
+    loads = open_runs(spark, base)
+    if any(set(REGISTRY_COLUMNS) - set(load.columns) for load in loads):
+        scope = {None: "auto", True: "all", False: "none"}[delete_missing]
+        silver_pending(spark, base, now, delete_scope=scope, tie_break=tie_break)
+        return
+    order = newest_state() if tie_break is None else tie_break
+    staged = build_staging(open_bronze(spark, base), hash_columns=HASH_COLUMNS, tie_break=order, per_run=True)
+    scopes = None
+    if delete_missing is None:
+        scopes = {load.run_id: load.cantons if load.full_load else () for load in loads}
+    history = scd2_replay(
+        staged,
+        [(load.run_id, load.loaded_at) for load in loads],
+        columns=REGISTRY_COLUMNS,
+        delete_missing=bool(delete_missing),
+        scopes=scopes,
+    )
+    open_history(spark, base).replace(history, now, [load.run_id for load in loads])
 
 
 def gold_views(spark: SparkSession, base: str) -> dict:
@@ -233,13 +362,18 @@ def status(spark: SparkSession, base: str) -> dict:
 
 
 def refresh(
-    spark: SparkSession, base: str, rows: DataFrame, now: datetime, **options
+    spark: SparkSession,
+    base: str,
+    rows: DataFrame,
+    now: datetime,
+    tie_break: Sequence[Column] | None = None,
+    **options,
 ) -> dict[str, dict]:
     """Ingest, merge that run, publish the views."""
     bronze = bronze_ingest(spark, base, rows, now, **options)
     merged = {}
     if not bronze["dry_run"] and bronze["total_written"]:
-        merged = silver(spark, base, now, run_id=bronze["run_id"])
+        merged = silver(spark, base, now, run_id=bronze["run_id"], tie_break=tie_break)
     return {"bronze": bronze, "silver": merged, "gold": gold_views(spark, base)}
 
 
@@ -279,22 +413,22 @@ def dqa(
     return totals.first().asDict() | {"by_check": [r.asDict() for r in by_check]}
 
 
-def explore(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The exploration reports, by name."""
+def explore(spark: SparkSession, base: str, k: int | None = None) -> dict[str, DataFrame]:
+    """The exploration reports, by name: whole, or the first ``k`` rows of each."""
     bronze, store = open_bronze(spark, base), open_history(spark, base)
     history = store.read()
     current = gold.current_view(store.current())
     desc = F.desc
     return {
-        "runs": profile.top(profile.run_overview(bronze), [desc("_ingestion_date"), F.col("_run_id")], 10),
-        "latest_run": profile.top(profile.latest_run_counts(bronze), [desc("count"), F.col("gdekt")], 30),
+        "runs": profile.top(profile.run_overview(bronze), [desc("_ingestion_date"), F.col("_run_id")], k),
+        "latest_run": profile.top(profile.latest_run_counts(bronze), [desc("count"), F.col("gdekt")], k),
         "row_counts": profile.row_counts(history),
-        "versions": profile.top(profile.version_counts(history), [desc("versionen"), F.col(KEY)], 20),
+        "versions": profile.top(profile.version_counts(history), [desc("versionen"), F.col(KEY)], k),
         "status": profile.status_counts(current).orderBy("gstat"),
-        "cantons": profile.top(profile.region_overview(current), [desc("gebaeude"), F.col("gdekt")], 30),
-        "mutation_years": profile.top(profile.mutation_years(current), [desc("mutation_jahr")], 20),
+        "cantons": profile.top(profile.region_overview(current), [desc("gebaeude"), F.col("gdekt")], k),
+        "mutation_years": profile.top(profile.mutation_years(current), [desc("mutation_jahr")], k),
         "transitions": profile.top(
-            profile.transitions(history), [desc("anzahl"), F.col("prev_gstat"), F.col("gstat")], 20
+            profile.transitions(history), [desc("anzahl"), F.col("prev_gstat"), F.col("gstat")], k
         ),
         "gaps": profile.null_profile(current),
     }

@@ -304,7 +304,7 @@ _BULK = COLS
 for _c in ("strname", "deinr", "plz4", "plzname", "gdatns"):
     _BULK = _BULK.replace(f" {_c},", f" CAST(NULL AS VARCHAR) AS {_c},")
 ORACLE["bulk_load_once"] = f"""WITH {_EXTRACT} SELECT {_BULK}, 'first' AS _run_id, 'first_bulk' AS _batch_id,
-  'gwr_zip' AS _source, true AS _is_full_load FROM ext"""
+  'gwr_zip' AS _source, false AS _is_full_load FROM ext"""
 ORACLE["records_csv"] = f"""WITH {RECORDS} SELECT egid, plz, strasse, baujahr, anzahl_wohnungen, nutzungsart FROM rec"""
 ORACLE["table_scan"] = "SELECT * FROM orders"
 ORACLE["bronze_append"] = f"""WITH {LOG} SELECT _run_id, _ingestion_date, _is_full_load, count(*) AS records,
@@ -479,18 +479,105 @@ ORACLE["full_load_rows"] = "SELECT CAST(year(o_orderdate) AS VARCHAR) AS _run_id
 
 # ---- jobs -----------------------------------------------------------------------------------
 
-_NEWEST = "row_number() OVER (PARTITION BY egid ORDER BY gdat DESC, _batch_id DESC)"
+_STATE_ORDER = ", ".join(["gdat DESC NULLS LAST", *[f"{c} DESC NULLS LAST" for c in HASH_COLUMNS]])
+_NEWEST = f"row_number() OVER (PARTITION BY egid ORDER BY {_STATE_ORDER})"
 _SINCE = "(SELECT greatest(strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d'), '2000-01-01') FROM log WHERE gdat < '2000-07-01')"
-_REFRESH = f"""{LOG}, {EMPTY},
-one AS (SELECT * EXCLUDE (rn), {HASH} AS record_hash FROM (SELECT *, {_NEWEST} AS rn FROM log WHERE gdat < '2000-07-01') WHERE rn = 1),
-two AS (SELECT * EXCLUDE (rn), {HASH} AS record_hash FROM (SELECT *, {_NEWEST} AS rn FROM log) WHERE rn = 1 AND gdat > {_SINCE}),
+
+
+def _newest(name: str, source: str, condition: str) -> str:
+    """CTE of the newest state of each building among the rows of a load."""
+    return f"""{name} AS MATERIALIZED (SELECT * EXCLUDE (rn), {HASH} AS record_hash FROM (
+  SELECT *, {_NEWEST} AS rn FROM {source} WHERE egid IS NOT NULL AND ({condition})) WHERE rn = 1)"""
+
+
+_LATER = f"(gdat > {_SINCE} OR gdat IS NULL)"
+_REFRESH = f"""{LOG}, {EMPTY}, {_newest('one', 'log', "gdat < '2000-07-01'")}, {_newest('two', 'log', _LATER)},
 {_merge('hone', 'h_none', 'one', "TIMESTAMP '2000-07-01'", 'true')},
 {_merge('h', 'hone', 'two', "TIMESTAMP '2001-09-01'", 'false')}"""
 _REFRESH_CURRENT = f"""{_REFRESH}, cur AS (SELECT *, gdat AS last_mutation_date, {_label('gstat')} AS gstat_label
   FROM h WHERE is_current AND NOT dqa_deleted)"""
 ORACLE["refresh_job"] = f"WITH {_REFRESH} SELECT {VERSION} FROM h"
+
+
+def _merged(history: str, moment: str) -> str:
+    return f"""(SELECT count(*) FROM {history} WHERE NOT is_current AND valid_to = {moment} AND NOT dqa_deleted) AS records_closed,
+  (SELECT count(*) FROM {history} WHERE valid_from = {moment}) AS records_inserted,
+  (SELECT count(*) FROM {history} WHERE NOT is_current AND valid_to = {moment} AND dqa_deleted) AS records_deleted"""
+
+
+ORACLE["refresh_stats"] = f"""WITH {_REFRESH}
+SELECT '00000001' AS run_id, CAST(NULL AS VARCHAR) AS since_date, (SELECT count(*) FROM log WHERE gdat < '2000-07-01') AS total_written,
+  true AS has_batches, {_merged('hone', "TIMESTAMP '2000-07-01'")}
+UNION ALL SELECT '00000002', {_SINCE}, (SELECT count(*) FROM log WHERE {_LATER}), true, {_merged('h', "TIMESTAMP '2001-09-01'")}"""
 ORACLE["status_job"] = f"WITH {_REFRESH_CURRENT} {_SUMMARY}"
-ORACLE["explore_job"] = f"""WITH {_REFRESH}, prev AS (SELECT egid, valid_from,
+ORACLE["explore_job"] = f"""WITH {_REFRESH_CURRENT}, prev AS (SELECT egid, valid_from,
   lag(gstat) OVER (PARTITION BY egid ORDER BY valid_from) AS prev_gstat, gstat FROM h)
-{_TRANSITIONS} ORDER BY anzahl DESC, prev_gstat, gstat LIMIT 20"""
+SELECT 'runs' AS report, '00000001' AS key, (SELECT count(*) FROM log WHERE gdat < '2000-07-01') AS value
+UNION ALL SELECT 'runs', '00000002', (SELECT count(*) FROM log WHERE {_LATER})
+UNION ALL SELECT 'latest_run', gdekt, count(*) FROM log WHERE {_LATER} GROUP BY ALL
+UNION ALL SELECT 'versions', CAST(egid AS VARCHAR), count(*) FROM h GROUP BY egid HAVING count(*) > 1
+UNION ALL SELECT 'status', CAST(gstat AS VARCHAR), count(*) FROM cur GROUP BY gstat
+UNION ALL SELECT 'cantons', gdekt, count(*) FROM cur GROUP BY gdekt
+UNION ALL SELECT 'mutation_years', substr(gdat, 1, 4), count(*) FROM cur GROUP BY ALL
+UNION ALL SELECT 'transitions', prev_gstat || '>' || gstat, count(*) FROM prev WHERE prev_gstat IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'row_counts', 'total', count(*) FROM h
+UNION ALL SELECT 'row_counts', 'current', count(*) FROM h WHERE is_current
+UNION ALL SELECT 'row_counts', 'historic', count(*) FROM h WHERE NOT is_current
+UNION ALL SELECT 'row_counts', 'deleted', count(*) FROM h WHERE dqa_deleted
+UNION ALL SELECT 'gaps', 'ohne_koordinaten', count(*) FROM cur WHERE gkode IS NULL OR gkodn IS NULL
+UNION ALL SELECT 'gaps', 'ohne_baujahr', count(*) FROM cur WHERE ganzwhg > 0 AND gbauj IS NULL
+UNION ALL SELECT 'gaps', 'ohne_plz', count(*) FROM cur WHERE plz4 IS NULL"""
 ORACLE["dqa_job"] = f"WITH {_checks(_REFRESH_CURRENT)} {BY_CHECK}"
+
+# The mark after the first load stays where it is while one canton is loaded.
+ORACLE["watermark_cantons"] = f"""WITH {LOG} SELECT egid, gdekt, gdat, '00000002' AS _run_id FROM log
+  WHERE gdat > {_SINCE} AND gdekt = 'ZH'
+  UNION ALL SELECT egid, gdekt, gdat, '00000003' FROM log WHERE gdat > {_SINCE}"""
+ORACLE["increment_without_date"] = f"""WITH {LOG} SELECT egid, gstat, CASE WHEN egid % 5 <> 0 THEN gdat END AS gdat FROM log
+  WHERE egid % 5 = 0 OR gdat > (SELECT greatest(strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d'), '2000-01-01')
+    FROM log WHERE gdat < '2000-07-01' AND egid % 5 <> 0)"""
+
+_XML_LACKS = [c for c in REGISTRY_COLUMNS if c in ("gbaum", "gabbj", "gvol", "gazzi", "gschutzr")]
+_XML_HAS = [c for c in REGISTRY_COLUMNS if c not in _XML_LACKS]
+_FROM_XML = ", ".join(
+    f"h1.{c}" if c in _XML_LACKS else f"a.{c}" for c in REGISTRY_COLUMNS
+)
+ORACLE["refresh_two_sources"] = f"""WITH {LOG}, {EMPTY}, {_newest('one', 'log', 'true')},
+{_merge('hone', 'h_none', 'one', "TIMESTAMP '2001-09-01'", 'true')},
+answers AS (SELECT o_orderkey AS egid, egrid, gdekt, ggdenr, ggdename, {_STREET} AS strname, deinr, plz4, plzname, gstat,
+  gkat, gklas, gbauj, gbaup, garea, CAST({_DWELLINGS} AS INTEGER) AS ganzwhg, gkode, gkodn, gdatns, gdat
+  FROM reg WHERE {_ANSWERED} AND gdat > '2000-01-01'),
+completed AS (SELECT {_FROM_XML} FROM answers a LEFT JOIN (SELECT * FROM hone WHERE is_current) h1 ON h1.egid = a.egid),
+{_newest('two', 'completed', 'true')},
+{_merge('h', 'hone', 'two', "TIMESTAMP '2001-10-01'", 'false')}
+SELECT {VERSION}, {", ".join(_XML_LACKS)} FROM h"""
+
+_MIXED_SINCE = "(SELECT greatest(strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d'), '2000-01-01') FROM log WHERE gdat < '1998-01-01')"
+ORACLE["rebuild_mixed_log"] = f"""WITH {LOG}, {EMPTY}, {_newest('one', 'log', "gdat < '1998-01-01'")},
+{_newest('two', 'log', "gdat >= '1998-01-01' AND gdat < '1999-06-01' AND gdekt IN ('ZH', 'BE')")},
+{_newest('three', 'log', f"gdat > {_MIXED_SINCE}")},
+{_merge('hone', 'h_none', 'one', "TIMESTAMP '1998-01-01'", 'true')},
+{_merge('htwo', 'hone', 'two', "TIMESTAMP '1999-06-01'", "s.gdekt IN ('ZH', 'BE')")},
+{_merge('h', 'htwo', 'three', "TIMESTAMP '2001-09-01'", 'false')}
+SELECT {VERSION} FROM h"""
+
+_BULK_LOG = f"{_EXTRACT}, log AS (SELECT {_BULK} FROM ext WHERE gdekt = 'AG')"
+ORACLE["bulk_second_file"] = f"""WITH {_BULK_LOG}, {EMPTY}, {_newest('one', 'log', "gdat < '1998-07-01'")},
+{_newest('two', 'log', "gdat >= '1998-07-01'")},
+{_merge('hone', 'h_none', 'one', "TIMESTAMP '2001-07-01'", 'false')},
+{_merge('h', 'hone', 'two', "TIMESTAMP '2001-09-01'", 'false')}
+SELECT egid, gstat, ganzwhg, is_current, dqa_deleted FROM h"""
+ORACLE["bulk_job"] = f"""WITH {_EXTRACT} SELECT '00000007' AS run_id, 'ZH' AS kanton,
+  (SELECT count(*) FROM ext WHERE gdekt = 'ZH') AS records
+  UNION ALL SELECT '00000008', 'ZH', 0"""
+_NEW_MARK = "SELECT strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d')"
+ORACLE["extract_job"] = f"""WITH {_EXTRACT} SELECT '00000001' AS run_id, CAST(NULL AS VARCHAR) AS since_date,
+  count(*) AS total_written, true AS has_batches, false AS dry_run, '2000-01-01' AS watermark FROM ext"""
+ORACLE["responses_job"] = f"""WITH {REG}, hit AS (SELECT * FROM reg WHERE {_ANSWERED} AND gdat > '2000-01-01')
+  SELECT '00000001' AS run_id, '2000-01-01' AS since_date, count(*) AS total_written, true AS has_batches,
+  false AS dry_run, ({_NEW_MARK} FROM hit) AS watermark FROM hit"""
+ORACLE["merge_reports"] = f"WITH {HISTORY} " + " UNION ALL ".join(
+    f"SELECT '{run}' AS run, " + _merged(f"h{run}", f"TIMESTAMP '{run + 1}-01-01'") for run in RUNS
+)
+ORACLE["ensured_tables"] = f"""WITH {HISTORY} SELECT 'bronze' AS name, (SELECT count(*) FROM log) AS n
+  UNION ALL SELECT 'watermark', 0 UNION ALL SELECT 'silver', (SELECT count(*) FROM h)"""

@@ -113,6 +113,7 @@ def null_profile(current: DataFrame, gaps: Mapping[str, Column] | None = None) -
     return current.agg(*[F.count_if(test).alias(name) for name, test in gaps.items()])
 
 
-def top(df: DataFrame, order_by: Sequence[Column], k: int) -> DataFrame:
-    """The first ``k`` rows of a report; the order must not leave ties open."""
-    return df.orderBy(*order_by).limit(k)
+def top(df: DataFrame, order_by: Sequence[Column], k: int | None = None) -> DataFrame:
+    """A report in order, all of it or its first ``k`` rows; the order must not leave ties open."""
+    ordered = df.orderBy(*order_by)
+    return ordered if k is None else ordered.limit(k)

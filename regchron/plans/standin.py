@@ -12,6 +12,7 @@ from regchron.operators.replay import list_runs, scd2_replay
 from regchron.operators.staging import build_staging
 from regchron.plans.gold import current_view
 from regchron.schema import CANTONS, REGISTRY_COLUMNS, REGISTRY_SCHEMA, tsv_name
+from regchron.session import scratch_path
 
 
 _KINDS = {f.name: f.dataType.simpleString() for f in REGISTRY_SCHEMA}
@@ -111,6 +112,18 @@ def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_view(history(spark, sf_dir))
 
 
+def stored_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current view as a stored table, which is how the checks meet it.
+
+    On a plain scan both sides of the join with the records are shuffled for that join, so
+    that adaptive execution can split a key with very many records.
+    """
+    path = scratch_path(spark, "current")
+    view = current(spark, sf_dir)
+    view.write.parquet(path)
+    return spark.read.schema(view.schema).parquet(path)
+
+
 def business_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One business record per order, with the usual flaws: gaps, other spellings, other values."""
 

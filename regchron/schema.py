@@ -53,6 +53,10 @@ SILVER_SCHEMA = T.StructType(REGISTRY_SCHEMA.fields + SCD2_SCHEMA.fields)
 
 WATERMARK_SCHEMA = _struct("source string, watermark_date date, recorded_at timestamp_ntz")
 
+RUN_SCHEMA = _struct(
+    "run_id string, loaded_at string, source string, full_load boolean, cantons string, columns string"
+)
+
 RECORD_SCHEMA = _struct(
     "egid bigint, plz string, strasse string, baujahr int, anzahl_wohnungen int, nutzungsart string"
 )

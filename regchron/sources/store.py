@@ -65,15 +65,16 @@ class HistoryStore:
         return sorted(entries, key=lambda e: e["version"])
 
     def _commit(self, entry: dict) -> None:
-        draft = self._path(f"{self.base}/commits/_draft-{entry['version']}")
+        # Created, never replaced: of two writers of one version the second one fails, also on
+        # object stores, which have no rename of that kind.
         final = self._path(f"{self.base}/commits/{entry['version']}")
-        out = self._fs.create(draft, True)
+        if self._fs.exists(final):
+            raise RuntimeError(f"version {entry['version']} of {self.base} exists already")
+        out = self._fs.create(final, False)
         try:
             out.write(bytearray(json.dumps(entry).encode("utf-8")))
         finally:
             out.close()
-        if not self._fs.rename(draft, final):
-            raise RuntimeError(f"version {entry['version']} of {self.base} exists already")
 
     # -- reading ------------------------------------------------------------------------------
 
@@ -130,6 +131,8 @@ class HistoryStore:
             if staging_empty:
                 delete_scope = None
         commits = self.commits()
+        if commits and utc(now) < datetime.fromisoformat(commits[-1]["now"]):
+            raise ValueError(f"the last merge was as of {commits[-1]['now']}, after {now}")
         version = commits[-1]["version"] + 1 if commits else 0
         current = self._read(self._current_folders(commits))
         small = staging_rows is not None and staging_rows <= SMALL_STAGING_ROWS

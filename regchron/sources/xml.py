@@ -142,11 +142,13 @@ def read_registry_xml(
     return rows.select(*others, *[v.alias(name) for name, v in values.items()])
 
 
-def read_response_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Landed response files, one document per file, as the column ``response``."""
+def read_response_files(
+    spark: SparkSession, paths: str | list[str], by_line: bool = False
+) -> DataFrame:
+    """Landed responses as the column ``response``: one document per file, or one per line."""
     return (
         spark.read.option("ignoreMissingFiles", "true")
-        .text(paths, wholetext=True)
+        .text(paths, wholetext=not by_line)
         .withColumnRenamed("value", "response")
     )
 

@@ -20,7 +20,7 @@ def load_files_once(
     now: datetime,
     run_id: str | None = None,
     source: str = "gwr_zip",
-    full_load: bool = True,
+    full_load: bool = False,
     strict: bool = True,
     names: dict[str, str] | None = None,
 ) -> dict:
@@ -30,7 +30,8 @@ def load_files_once(
     read, and the sink lists the files of finished batches only, so a load that is repeated
     after a failure adds nothing twice. ``dst`` belongs to this loader: it is read as a log of
     its own next to the one of the batch jobs. With ``strict`` a value of the wrong type fails
-    the load.
+    the load. As only new files are read, a load counts as full (what it lacks is gone) only if
+    the caller knows the set of files to be complete and says so.
     """
     run_id = run_id or new_run_id()
     header = spark.read.options(**TSV_OPTIONS).csv(src).schema

@@ -54,7 +54,8 @@ def test_changed_since_reaches_the_scan(spark):
     path = scratch_path(spark, "rows")
     spark.createDataFrame([("2024-01-01",), ("2024-06-02",), (None,)], "gdat string").write.parquet(path)
     changed = M.changed_since(spark.read.parquet(path), "2024-06-01")
-    assert [r[0] for r in changed.collect()] == ["2024-06-02"]
+    # A row without a date is new for all one knows.
+    assert sorted(map(str, (r[0] for r in changed.collect()))) == ["2024-06-02", "None"]
     assert "GreaterThan(gdat,2024-06-01)" in changed._jdf.queryExecution().executedPlan().toString()
     assert M.changed_since(spark.read.parquet(path), None).count() == 3
 
@@ -169,3 +170,93 @@ def test_published_views_can_be_extended(spark):
     history = jobs.open_history(spark, base).read()
     names = gold.publish_views(history, gold.VIEWS | {"own_view": lambda h: h.select(F.count("*").alias("n"))})
     assert "own_view" in names and spark.table("own_view").first()["n"] == 1
+
+
+def test_a_canton_load_leaves_the_mark(spark):
+    base = scratch_path(spark, "base")
+    first = registry(spark, dict(egid=1, gdat="2024-01-10"), dict(egid=2, gdat="2024-01-10", gdekt="ZH"))
+    jobs.refresh(spark, base, first, datetime(2024, 2, 1), full_load=True)
+    second = registry(
+        spark, dict(egid=1, gdat="2024-04-20", gstat=1003), dict(egid=2, gdat="2024-03-10", gdekt="ZH", gstat=1003)
+    )
+    jobs.refresh(spark, base, second, datetime(2024, 5, 1), cantons="ag")
+    assert M.read_watermark(jobs.open_watermark(spark, base)) == "2024-01-09"
+    jobs.refresh(spark, base, second, datetime(2024, 5, 2))
+    assert {r["egid"]: r["gstat"] for r in jobs.open_history(spark, base).current().collect()} == {1: 1003, 2: 1003}
+
+
+def test_the_latest_state_of_a_run_wins(spark):
+    for older in (1001, 1003, 1004, 1007):
+        base = scratch_path(spark, "base")
+        rows = registry(
+            spark, dict(egid=1, gdat="2024-01-01", gstat=older), dict(egid=1, gdat="2024-03-01", gstat=1002), dict(egid=1, gstat=1006)
+        )
+        jobs.refresh(spark, base, rows, datetime(2024, 4, 1), full_load=True)
+        assert jobs.open_history(spark, base).current().first()["gstat"] == 1002
+
+
+def test_a_source_with_fewer_columns_keeps_the_others(spark):
+    base = scratch_path(spark, "base")
+    jobs.refresh(spark, base, registry(spark, dict(egid=1, gdat="2024-01-01", gvol=10.0, gazzi=3)), datetime(2024, 2, 1), full_load=True)
+    fewer = registry(spark, dict(egid=1, gdat="2024-01-01"), dict(egid=2, gdat="2024-03-01")).drop("gvol", "gazzi")
+    out = jobs.refresh(spark, base, fewer, datetime(2024, 4, 1))
+    assert (out["silver"]["records_closed"], out["silver"]["records_inserted"]) == (0, 1)
+    moved = registry(spark, dict(egid=1, gdat="2024-05-01", gstat=1007)).drop("gvol", "gazzi")
+    jobs.refresh(spark, base, moved, datetime(2024, 6, 1))
+    row = jobs.open_history(spark, base).current().filter("egid = 1").first()
+    assert (row["gstat"], row["gvol"], row["gazzi"]) == (1007, 10.0, 3)
+    # The one-pass rebuild falls back to merging for such a log and gives the same.
+    again = scratch_path(spark, "again")
+    spark.read.parquet(f"{base}/bronze").write.partitionBy("_ingestion_date", "_run_id").parquet(f"{again}/bronze")
+    spark.read.parquet(f"{base}/runs").write.parquet(f"{again}/runs")
+    jobs.rebuild_history(spark, again, datetime(2024, 6, 1))
+    columns = ["egid", "gstat", "gvol", "record_hash", "is_current"]
+    one, two = (sorted(map(tuple, jobs.open_history(spark, b).read().select(*columns).collect()), key=str) for b in (base, again))
+    assert one == two
+
+
+def test_a_second_bulk_file_deletes_nothing(spark, tmp_path):
+    base = scratch_path(spark, "base")
+    header = "EGID\tGDEKT\tGSTAT\tGEXPDAT\n"
+    (tmp_path / "ag").mkdir()
+    (tmp_path / "ag" / "one.csv").write_text(header + "1\tAG\t1004\t2024-12-31\n2\tAG\t1004\t2024-12-31\n")
+    jobs.bronze_bulk(spark, base, str(tmp_path), datetime(2025, 1, 1), "AG")
+    (tmp_path / "ag" / "two.csv").write_text(header + "3\tAG\t1004\t2024-12-31\n")
+    jobs.bronze_bulk(spark, base, str(tmp_path), datetime(2025, 2, 1), "AG")
+    jobs.silver_pending(spark, base, datetime(2025, 3, 1))
+    assert sorted(r["egid"] for r in jobs.open_history(spark, base).current().collect()) == [1, 2, 3]
+
+
+def test_rebuild_equals_merging_one_by_one(spark):
+    base = scratch_path(spark, "base")
+    loads = [
+        ([dict(egid=i, gdat="2024-01-01", gdekt="AG" if i < 3 else "ZH") for i in (1, 2, 3, 4)], True, None),
+        ([dict(egid=2, gdat="2024-02-01", gstat=1003)], False, None),
+        ([dict(egid=3, gdat="2024-02-02", gdekt="ZH")], True, "zh"),
+        ([dict(egid=4, gdat="2024-04-01", gdekt="ZH"), dict(egid=1, gdat="2024-04-01", gstat=1007)], False, None),
+        ([dict(egid=1, gdat="2024-05-01", gstat=1007)], True, "ag"),
+    ]
+    for month, (rows, full, cantons) in enumerate(loads, 1):
+        jobs.bronze_ingest(spark, base, registry(spark, *rows), datetime(2024, month, 9), full_load=full, cantons=cantons)
+    again = scratch_path(spark, "again")
+    spark.read.parquet(f"{base}/bronze").write.partitionBy("_ingestion_date", "_run_id").parquet(f"{again}/bronze")
+    spark.read.parquet(f"{base}/runs").write.parquet(f"{again}/runs")
+    jobs.silver_pending(spark, base, datetime(2024, 5, 9))
+    jobs.rebuild_history(spark, again, datetime(2024, 5, 9))
+    one, two = (
+        sorted((tuple(r) for r in jobs.open_history(spark, b).read().drop("_silver_loaded").collect()), key=str)
+        for b in (base, again)
+    )
+    assert one == two and any(r[-1] for r in one)
+
+
+def test_a_merge_cannot_go_back_in_time(spark):
+    base = scratch_path(spark, "base")
+    jobs.refresh(spark, base, registry(spark, dict(egid=1)), datetime(2024, 4, 1), full_load=True)
+    with pytest.raises(ValueError, match="after"):
+        jobs.refresh(spark, base, registry(spark, dict(egid=1, gstat=1001)), datetime(2024, 3, 1), full_load=True)
+
+
+def test_one_bad_date_can_be_left_out_of_the_mark(spark):
+    df = spark.createDataFrame([("2024-08-22",), ("unbekannt",)], "gdat string")
+    assert M.safe_watermark(df, skip_unreadable=True).first()["watermark_date"] == date(2024, 8, 21)
