@@ -211,3 +211,23 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     nodes = current.groupBy("src").agg(F.min("dst").alias("component")).select(F.col("src").alias("node"), "component")
     roots = current.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()
     return nodes.union(roots)
+
+
+def groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal integer keys as one table each; rows come ordered by the keys."""
+    pending: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
+        cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+        bounds = [0, *cuts.tolist(), batch.num_rows]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if last is not None and tuple(marks[a]) != last:
+                yield pa.Table.from_batches(pending)
+                pending = []
+            pending.append(batch.slice(a, b - a))
+            last = tuple(marks[a])
+    if pending:
+        yield pa.Table.from_batches(pending)

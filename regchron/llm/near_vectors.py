@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regchron.llm.common import components, parts, read_table, stored
+from regchron.llm.common import components, groups, parts, read_table, stored
 
 THRESHOLD = 0.98
 PIVOTS = 256
@@ -153,25 +153,9 @@ def _join_lists(threshold: float):
             key, one, two = (batch.column(c)[0].as_py() for c in ("key", "one", "two"))
             return _group_links(key, one, two, batch, threshold)
 
-        pending: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            marks = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
-            cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
-            found = []
-            bounds = [0, *cuts.tolist(), batch.num_rows]
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                if last is not None and tuple(marks[a]) != last:
-                    if sum(p.num_rows for p in pending) > 1:
-                        found.append(solve(pa.Table.from_batches(pending)))
-                    pending = []
-                pending.append(batch.slice(a, b - a))
-                last = tuple(marks[a])
-            yield out(found)
-        if sum(p.num_rows for p in pending) > 1:
-            yield out([solve(pa.Table.from_batches(pending))])
+        for group in groups(batches, names):
+            if group.num_rows > 1:
+                yield out([solve(group)])
 
     return run
 
