@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from regchron.functions.columns import days_valid, status_label
 from regchron.schema import KEY
 
+# ---- fixed values: output columns of the views --------------------------------------------
 _HISTORY_COLUMNS = [
     "egid", "egrid", "gdekt", "ggdenr", "ggdename", "strname", "deinr", "plz4", "plzname",
     "gstat", "gkat", "gklas", "gbauj", "gabbj", "garea", "gvol", "ganzwhg",
@@ -21,6 +22,7 @@ _CURRENT_COLUMNS = [
     "ganzwhg", "gazzi", "gkode", "gkodn", "gschutzr", "gdatns", "last_mutation_date",
     "valid_from", "record_hash", "_silver_loaded",
 ]
+# ---- end of fixed values ------------------------------------------------------------------
 
 
 def current_view(history: DataFrame) -> DataFrame:

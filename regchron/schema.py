@@ -24,6 +24,8 @@ def _struct(spec: str, required: tuple[str, ...] = ()) -> T.StructType:
     return T.StructType(fields)
 
 
+# ---- fixed values -------------------------------------------------------------------------
+# Column names and types of the tables, code tables and the names that results have to show.
 KEY = "egid"
 
 REGISTRY_SCHEMA = _struct(
@@ -66,7 +68,6 @@ RESULT_SCHEMA = _struct(
     "detail string, expected string, actual string, checked_at string"
 )
 
-# ---- fixed values -------------------------------------------------------------------------
 # Columns whose change opens a new version, in hashing order.
 HASH_COLUMNS = [
     "gstat", "gkat", "gklas", "gbauj", "gbaum", "gbaup", "gabbj", "garea", "gvol", "ganzwhg",
@@ -77,9 +78,13 @@ HASH_COLUMNS = [
 # Extract column name where it is not simply the registry name in upper case.
 TSV_NAMES = {"plz4": "DPLZ4", "plzname": "DPLZNAME"}
 
-# Columns of the bulk load; its gdat is the export date GEXPDAT.
-BULK_MISSING = ["strname", "deinr", "plz4", "plzname", "gdatns"]
-BULK_NAMES = {"gdat": "GEXPDAT"}
+# Columns of the bulk load and their header names; its gdat is the export date.
+BULK_COLUMNS = {
+    "egid": "EGID", "egrid": "EGRID", "gdekt": "GDEKT", "ggdenr": "GGDENR", "ggdename": "GGDENAME",
+    "gstat": "GSTAT", "gkat": "GKAT", "gklas": "GKLAS", "gbauj": "GBAUJ", "gbaum": "GBAUM",
+    "gbaup": "GBAUP", "gabbj": "GABBJ", "garea": "GAREA", "gvol": "GVOL", "ganzwhg": "GANZWHG",
+    "gazzi": "GAZZI", "gkode": "GKODE", "gkodn": "GKODN", "gschutzr": "GSCHUTZR", "gdat": "GEXPDAT",
+}
 
 CANTONS = [
     "ag", "ai", "ar", "be", "bl", "bs", "fr", "ge", "gl", "gr", "ju", "lu", "ne",
@@ -119,6 +124,4 @@ def tsv_name(column: str) -> str:
 
 def bulk_columns() -> dict[str, str]:
     """Registry column -> header name for the bulk load."""
-    return {
-        c: BULK_NAMES.get(c, tsv_name(c)) for c in REGISTRY_COLUMNS if c not in BULK_MISSING
-    }
+    return dict(BULK_COLUMNS)

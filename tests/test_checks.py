@@ -7,10 +7,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from regchron.functions import checks as K
 from regchron.functions.checks import CHECKS, outcome
 from regchron.operators import quality as Q
 from regchron.operators.lookup import lookup_join
-from regchron.schema import RECORD_SCHEMA, RESULT_SCHEMA
+from regchron.schema import CANTONS, HASH_COLUMNS, RECORD_SCHEMA, RESULT_SCHEMA, STATUS_LABELS, UNFINISHED_STATES
+from regchron.session import scratch_path
 
 AS_OF = date(2025, 6, 30)
 REFERENCE = "egid bigint, plz4 string, strname string, gbauj int, gstat int, gstat_label string, ganzwhg int"
@@ -165,3 +167,51 @@ def test_salt_spreads_a_frequent_key(spark):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", before)
     assert "_salt" in plan
     assert "_salt" not in lookup_join(records, reference, "k", "rk")._jdf.queryExecution().toString()
+
+
+def test_a_key_with_a_third_of_the_records_is_split(spark):
+    """With a stored reference both sides are shuffled for the join, so its hot partition is split."""
+    path = scratch_path(spark, "reference")
+    numbers = spark.range(1, 2001)
+    numbers.selectExpr(
+        "id as egid", "'5000' as plz4", "'Weg' as strname", "1985 as gbauj", "4 as gstat", "'Bestehend' as gstat_label", "4 as ganzwhg"
+    ).write.parquet(path)
+    records = spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7L, 1 + id % 2000) as egid", "'5000' as plz", "'Weg ' || id as strasse", "1985 as baujahr",
+        "4 as anzahl_wohnungen", "'leer' as nutzungsart",
+    )
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        results = Q.run_checks(records, spark.read.parquet(path), AS_OF)
+        assert results.groupBy("check_id").count().agg(F.sum("count")).first()[0] == 300_000
+        results.write.format("noop").mode("overwrite").save()
+        joined = Q.lookup_join(records, spark.read.parquet(path).withColumnRenamed("egid", "ref"), "egid", "ref")
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_fixed_values():
+    """Values that results have to show, spelt out once more."""
+    assert (K.EXISTS_NAME, K.ADDRESS_NAME, K.YEAR_NAME, K.STATUS_NAME, K.DWELLINGS_NAME) == (
+        "EGID im GWR vorhanden", "Adresse korrekt (PLZ + Strasse)", "Baujahr plausibel und GWR-konform",
+        "Gebäudestatus konsistent mit Nutzung", "Anzahl Wohnungen konsistent (±10%)",
+    )
+    assert K.SKIPPED_TEXT == "Kein GWR-Record vorhanden — Check übersprungen."
+    assert K.NOT_FOUND_TEXT % 7 == "EGID 7 nicht im GWR gefunden oder gelöscht."
+    assert K.YEAR_RANGE_TEXT % (1600, 1700, 2025) == "Baujahr 1600 ausserhalb Bereich (1700-2025)"
+    assert K.YEAR_DIFFERS_TEXT % (1990, 1985) == "Baujahr 1990 weicht von GWR ab (1985)"
+    assert STATUS_LABELS[1001] == "Geplant" and STATUS_LABELS[1004] == "Bestehend" and len(STATUS_LABELS) == 7
+    assert len(CANTONS) == 26 and HASH_COLUMNS[0] == "gstat" and HASH_COLUMNS[-1] == "gkodn" and len(HASH_COLUMNS) == 21
+    assert UNFINISHED_STATES == [1, 2, 3, 1001, 1002, 1003]
