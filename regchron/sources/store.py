@@ -1,12 +1,14 @@
 """The history on disk: versioned folders, and a commit file per version.
 
-``<base>/data/v=<n>/is_current=true``   all current rows after merge n
-``<base>/data/v=<n>/is_current=false``  only the rows that merge n closed
-``<base>/commits/<n>``                  written last; a version without it does not exist
+``<base>/data/v=<n>/is_current=true/bucket=<b>``   current rows of the buckets merge n touched
+``<base>/data/v=<n>/is_current=false/bucket=<b>``  only the rows that merge n closed
+``<base>/commits/<n>``                             written last; without it there is no version n
 
-Closed rows are written once and never again; a merge reads and writes current rows only. A
-merge that dies before its commit leaves the table as it was, and the next one overwrites what
-it left. One writer at a time is assumed.
+Rows are dealt into buckets by a hash of their key, and a commit says for each bucket which
+version holds its current rows. A merge reads and writes only the buckets that its staged keys
+fall into (all of them if it may delete), so a small increment leaves most of the table alone.
+Closed rows are written once and never again. A merge that dies before its commit leaves the
+table as it was, and the next one overwrites what it left. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -29,8 +31,16 @@ from regchron.schema import KEY, SILVER_SCHEMA
 from regchron.sources.tables import require_not_null
 
 
+# Staged rows per bucket from which on all buckets count as touched, without looking.
+_MANY_PER_BUCKET = 1_000
+
+
 class HistoryStore:
-    """A history table below ``base`` with the columns of ``schema``."""
+    """A history table below ``base`` with the columns of ``schema``.
+
+    ``buckets`` holds for a new table; more of them make a small increment cheaper, at the price
+    of more files. A table keeps the number it began with.
+    """
 
     def __init__(
         self,
@@ -38,11 +48,13 @@ class HistoryStore:
         base: str,
         schema: T.StructType = SILVER_SCHEMA,
         keys: Sequence[str] = (KEY,),
+        buckets: int = 16,
     ):
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
+        self.buckets = buckets
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -81,16 +93,42 @@ class HistoryStore:
     def _read(self, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
-        stored = T.StructType(self.schema.fields + [T.StructField("v", T.LongType())])
+        places = [T.StructField("v", T.LongType()), T.StructField("bucket", T.IntegerType())]
+        stored = T.StructType(self.schema.fields + places)
         rows = self.spark.read.schema(stored).option("basePath", f"{self.base}/data")
         return rows.parquet(*folders).select(*self.schema.fieldNames())
 
     def _folder(self, version: int, is_current: bool) -> str:
         return f"{self.base}/data/v={version}/is_current={str(is_current).lower()}"
 
-    def _current_folders(self, commits: list[dict]) -> list[str]:
-        newest = commits[-1:]
-        return [self._folder(c["version"], True) for c in newest if c["current"]]
+    def _current_folders(self, commits: list[dict], buckets: Sequence[int] | None = None) -> list[str]:
+        """Folders of the current rows after the last commit, of all buckets or of some."""
+        held = commits[-1]["current_at"] if commits else {}
+        return [
+            f"{self._folder(version, True)}/bucket={bucket}"
+            for bucket, version in sorted(held.items(), key=lambda x: int(x[0]))
+            if buckets is None or int(bucket) in buckets
+        ]
+
+    def _bucket(self, count: int) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(count)).cast("int")
+
+    def _write(self, rows: DataFrame, version: int, count: int, measures: Sequence[Column]) -> tuple[list[int], dict]:
+        """Write a version; the buckets with current rows, and the measures' totals.
+
+        Counted from what was written: metrics gathered on the way would count the rows of a
+        repeated task twice.
+        """
+        target = f"{self.base}/data/v={version}"
+        checked = require_not_null(rows, self.schema).withColumn("bucket", self._bucket(count))
+        checked.write.mode("overwrite").partitionBy("is_current", "bucket").parquet(target)
+        stored = T.StructType(self.schema.fields + [T.StructField("bucket", T.IntegerType())])
+        written = self.spark.read.schema(stored).parquet(target)
+        # At most two rows per bucket.
+        found = written.groupBy("is_current", "bucket").agg(F.count("*").alias("n"), *measures).collect()
+        names = [c for c in (found[0].asDict() if found else {}) if c not in ("is_current", "bucket", "n")]
+        totals = {c: sum(r[c] for r in found) for c in names}
+        return sorted(r["bucket"] for r in found if r["is_current"]), totals
 
     def _closed_folders(self, commits: list[dict]) -> list[str]:
         return [self._folder(c["version"], False) for c in commits if c["closed"] + c["deleted"]]
@@ -134,28 +172,25 @@ class HistoryStore:
         if commits and utc(now) < datetime.fromisoformat(commits[-1]["now"]):
             raise ValueError(f"the last merge was as of {commits[-1]['now']}, after {now}")
         version = commits[-1]["version"] + 1 if commits else 0
-        current = self._read(self._current_folders(commits))
+        count = commits[-1]["buckets"] if commits else self.buckets
+        touched = self._touched(staging, count, deletes(delete_scope), staging_rows)
+        current = self._read(self._current_folders(commits, touched))
         small = staging_rows is not None and staging_rows <= SMALL_STAGING_ROWS
         if small and not deletes(delete_scope):
             merged = scd2_merge_small(current, staging, now, self.keys, compare)
         else:
             merged = scd2_merge(current, staging, now, self.keys, delete_scope, compare)
-        target = f"{self.base}/data/v={version}"
-        written = require_not_null(merged, self.schema)
-        written.write.mode("overwrite").partitionBy("is_current").parquet(target)
-
-        # Counted from what was written: metrics gathered on the way would count the rows of
-        # a repeated task twice.
-        result = self.spark.read.schema(self.schema).parquet(target)
-        counts = result.agg(*merge_measures(now), F.count_if("is_current").alias("current"))
-        found = counts.first().asDict()
-        current_count = found.pop("current")
+        buckets, found = self._write(merged, version, count, merge_measures(now))
+        found = {c: found.get(c, 0) for c in ("records_closed", "records_inserted", "records_deleted")}
+        held = commits[-1]["current_at"] if commits else {}
+        kept = {b: v for b, v in held.items() if touched is not None and int(b) not in touched}
         self._commit(
             {
                 "version": version,
                 "now": utc(now).isoformat(),
                 "runs": [run_id] if run_id else [],
-                "current": current_count,
+                "buckets": count,
+                "current_at": kept | {str(b): version for b in buckets},
                 "closed": found["records_closed"],
                 "deleted": found["records_deleted"],
                 "inserted": found["records_inserted"],
@@ -163,6 +198,15 @@ class HistoryStore:
         )
         return found
 
+    def _touched(
+        self, staging: DataFrame, count: int, deleting: bool, staging_rows: int | None
+    ) -> set[int] | None:
+        """Buckets a merge has to read and write, ``None`` for all of them."""
+        if deleting or (staging_rows is not None and staging_rows > _MANY_PER_BUCKET * count):
+            return None
+        rows = staging.select(self._bucket(count).alias("bucket")).distinct().collect()
+        return {r["bucket"] for r in rows}
+
     def merged_runs(self) -> set[str]:
         """Ids of the runs that are in the history."""
         return {run for c in self.commits() for run in c["runs"]}
@@ -171,28 +215,42 @@ class HistoryStore:
         """Publish a complete history (of a replay) as the first version of an empty table."""
         if self.commits():
             raise RuntimeError(f"{self.base} holds a history already")
-        target = f"{self.base}/data/v=0"
-        rows = require_not_null(history.select(*self.schema.fieldNames()), self.schema)
-        rows.write.mode("overwrite").partitionBy("is_current").parquet(target)
-        totals = (
-            self.spark.read.schema(self.schema)
-            .parquet(target)
-            .agg(
-                F.count_if("is_current").alias("current"),
-                F.count_if(~F.col("is_current") & ~F.col("dqa_deleted")).alias("closed"),
-                F.count_if("dqa_deleted").alias("deleted"),
-                F.count("*").alias("inserted"),
-            )
-            .first()
-            .asDict()
+        closed = ~F.col("is_current")
+        measures = [
+            F.count_if(closed & ~F.col("dqa_deleted")).alias("closed"),
+            F.count_if("dqa_deleted").alias("deleted"),
+            F.count("*").alias("inserted"),
+        ]
+        buckets, totals = self._write(history.select(*self.schema.fieldNames()), 0, self.buckets, measures)
+        totals = {c: totals.get(c, 0) for c in ("closed", "deleted", "inserted")}
+        self._commit(
+            {
+                "version": 0,
+                "now": utc(now).isoformat(),
+                "runs": list(runs),
+                "buckets": self.buckets,
+                "current_at": {str(b): 0 for b in buckets},
+                **totals,
+            }
         )
-        self._commit({"version": 0, "now": utc(now).isoformat(), "runs": list(runs), **totals})
 
     def drop_old_currents(self, keep: int = 2) -> list[str]:
-        """Remove the current rows of superseded versions but for the newest ``keep``."""
+        """Remove current rows that none of the newest ``keep`` versions refers to.
+
+        A version that holds nothing they need goes as a whole, of others single buckets.
+        """
+        commits = self.commits()
+        old, new = commits[: -max(keep, 1)], commits[-max(keep, 1) :]
+        needed = {(b, v) for c in new for b, v in c["current_at"].items()}
         dropped = []
-        for c in self.commits()[: -max(keep, 1)]:
-            folder = self._folder(c["version"], True)
-            if self._fs.delete(self._path(folder), True):
-                dropped.append(folder)
+        for c in old:
+            version = c["version"]
+            if version not in {v for _, v in needed}:
+                folders = [self._folder(version, True)]
+            else:
+                mine = {b for c2 in old for b, v in c2["current_at"].items() if v == version}
+                folders = [
+                    f"{self._folder(version, True)}/bucket={b}" for b in sorted(mine) if (b, version) not in needed
+                ]
+            dropped += [f for f in folders if self._fs.delete(self._path(f), True)]
         return dropped

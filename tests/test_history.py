@@ -215,6 +215,27 @@ def test_old_current_rows_can_be_dropped(spark):
     assert store.closed().count() == 3 and store.current().count() == 2
 
 
+def test_an_increment_leaves_other_buckets_alone(spark):
+    first = bronze(spark, [{i: (1, "AG") for i in range(1, 60)}, {5: (2, "AG")}, {5: (3, "AG"), 6: (2, "AG")}])
+    store = HistoryStore(spark, scratch_path(spark, "buckets"), SCHEMA, buckets=8)
+    store.merge(staged(first, "run0"), START)
+    assert store.commits()[-1]["current_at"] == {str(b): 0 for b in range(8)}
+    counts = store.merge(staged(first, "run1"), START + timedelta(days=1))
+    assert (counts["records_closed"], counts["records_inserted"], counts["records_deleted"]) == (1, 1, 0)
+    after = store.commits()[-1]["current_at"]
+    assert sorted(after.values()) == [0] * 7 + [1] and store.current().count() == 59
+    names = {f.split("/data/")[1].split("/part")[0] for f in store.current().inputFiles()}
+    assert len(names) == 8 and sum(n.startswith("v=1/") for n in names) == 1
+    store.merge(staged(first, "run2"), START + timedelta(days=2))
+    assert {r["gstat"] for r in store.current().filter("egid = 5").collect()} == {3}
+    before = plain(store.read().collect())
+    store.drop_old_currents(keep=1)
+    assert plain(store.read().collect()) == before and len(before) == 62
+    # A full load touches all of them and may empty some.
+    store.merge(staged(first, "run1"), START + timedelta(days=3), "all")
+    assert len(store.commits()[-1]["current_at"]) == 1 and store.current().count() == 1
+
+
 def test_a_missing_required_value_fails_the_merge(spark):
     log = bronze(spark, [{1: (1, "AG")}])
     rows = staged(log).withColumn("record_hash", F.lit(None).cast("string"))
