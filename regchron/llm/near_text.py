@@ -13,8 +13,11 @@ bring it together with probability 3e-6 (texts of at most 25 runs use tuples of
 
 Buckets are never expanded into all pairs. First each member is verified against the most popular
 member of its buckets (the one whose buckets are fullest), which joins a family to its original. What
-remains are bucket members in different components; only these are paired, members of the largest
-component of a bucket with all others. Nothing is capped.
+remains are bucket members in different components; only these are compared, members of the largest
+component of a bucket with all others: in buckets of up to ``WIDE`` members as pairs, in wider ones
+inside blocks, where a matrix of common runs decides which pairs are worth an alignment and only links
+that join components are given back. Blocks hold a bounded number of texts and runs, and every two
+blocks of a bucket meet. Nothing is capped.
 
 Defined results: null texts and texts without words link with nothing; a text of fewer words than five
 is one run; a document without an id is its own class, of id null; rows that share an id are one
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regchron.llm.common import BYTE_VALUES_2, U, Words, chunks, components, mix, powers, read_table, span_hashes, stored
+from regchron.llm.common import BYTE_VALUES_2, U, Words, chunks, components, groups, mix, parts, powers, read_table, span_hashes, stored
 
 RUN = 5
 THRESHOLD = 0.8
@@ -41,6 +44,9 @@ SHORT_TUPLE = 2
 # Texts up to SHORT_TO runs have short tuples, texts from LONG_FROM on long ones; the overlap is wide
 # enough that two texts of a length ratio of 0.8 always have one kind in common.
 LONG_FROM, SHORT_TO = 20, 25
+# Members of a bucket that are still paired as rows; texts and runs of a block of a wider one.
+WIDE = 32
+BLOCK_TEXTS, BLOCK_RUNS = 3000, 1_500_000
 
 _SIGNATURES = "doc_id bigint, k1 bigint, k2 bigint, n bigint, sketch array<bigint>"
 _FACTORS = mix(np.arange(SKETCHES, dtype=U) + U(31)) | U(1)
@@ -181,6 +187,64 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).take(kept) for c in ("a", "b")], names=["a", "b"])
 
 
+def common_runs(labels: np.ndarray, rows: np.ndarray, n: int, heavy: int = 32) -> np.ndarray:
+    """Number of labels that each two rows share; a label occurs at most once in a row."""
+    order = np.argsort(labels, kind="stable")
+    labels, rows = labels[order], rows[order]
+    _, first, count = np.unique(labels, return_index=True, return_counts=True)
+    out = np.zeros((n, n), dtype=np.float32)
+    dense = np.flatnonzero(count > heavy)
+    for i in range(0, len(dense), 512):
+        part = dense[i : i + 512]
+        table = np.zeros((n, len(part)), dtype=np.float32)
+        for j, k in enumerate(part):
+            table[rows[first[k] : first[k] + count[k]], j] = 1
+        out += table @ table.T
+    small = np.repeat((count > 1) & (count <= heavy), count)
+    own = np.repeat(np.arange(len(count)), count)
+    for shift in range(1, heavy):
+        a = np.flatnonzero(small[:-shift] & (own[:-shift] == own[shift:])) if len(own) > shift else np.zeros(0, int)
+        if not len(a):
+            break
+        np.add.at(out, (rows[a], rows[a + shift]), 1)
+        np.add.at(out, (rows[a + shift], rows[a]), 1)
+    return out
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between different components in the blocks of wide buckets, as many as join them."""
+    for table in groups(batches, ["bucket", "one", "two"]):
+        table = table.combine_chunks()
+        node, component = table["node"].to_numpy(), table["component"].to_numpy()
+        block, one, two = table["block"].to_numpy(), table["one"][0].as_py(), table["two"][0].as_py()
+        words = Words(table["text"])
+        runs, _ = words.grams(RUN)
+        labels, first = labelled_runs(words)
+        size = np.diff(first)
+        n = len(node)
+        common = common_runs(labels, np.repeat(np.arange(n), size), n)
+        both = size[:, None] + size[None, :]
+        likely = common >= THRESHOLD * (both - common) - 1e-6
+        likely &= component[:, None] != component[None, :]
+        if one != two:
+            likely &= block[:, None] != block[None, :]
+        parent = {c: c for c in component.tolist()}
+
+        def root(c: int, parent: dict = parent) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        found = []
+        for i, j in zip(*np.nonzero(np.triu(likely)), strict=True):
+            a, b = root(component[i].item()), root(component[j].item())
+            if a != b and aligned(runs[first[i] : first[i + 1]].tolist(), runs[first[j] : first[j + 1]].tolist()):
+                parent[max(a, b)] = min(a, b)
+                found.append((min(node[i], node[j]), max(node[i], node[j])))
+        a, b = ([int(f[k]) for f in found] for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold."""
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -221,9 +285,12 @@ def near_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     # Bucket members still in different components.
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    spread = spread.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("m"))
-    open_ = spread.where("parts > 1").select("bucket", F.col("m.component").alias("major"))
-    placed = stored(placed.join(open_, "bucket").select("bucket", "node", "n", "component", "major"), "open")
+    spread = spread.groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.sum("c").alias("members"), F.max(F.struct("c", "component")).alias("m")
+    )
+    open_ = spread.where("parts > 1").select("bucket", "members", F.col("m.component").alias("major"))
+    opened = stored(placed.join(open_, "bucket").select("bucket", "node", "n", "component", "major", "members"), "open")
+    placed = opened.where(F.col("members") <= WIDE)
     minor = placed.where("component <> major").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "component")])
     rest = minor.join(placed, "bucket").where(
         (F.col("x_component") != F.col("component"))
@@ -232,7 +299,20 @@ def near_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
     rest = rest.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct()
     more = _links(rest.join(stars, ["a", "b"], "left_anti"), texts)
-    found = stored(components(links.union(more), "a", "b"), "components")
+
+    wide = opened.where(F.col("members") > WIDE)
+    blocks = wide.groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_RUNS)).cast("int").alias("blocks")
+    )
+    wide = wide.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    wide = wide.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    wide = wide.select(
+        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "component"
+    )
+    order = ["bucket", "one", "two"]
+    wide = wide.join(texts, "node").repartition(parts(documents.sparkSession), *order).sortWithinPartitions(*order)
+    across = stored(wide.mapInArrow(_block_links, "a bigint, b bigint").distinct(), "links")
+    found = stored(components(links.union(more).union(across), "a", "b"), "components")
 
     nodes = same.select("k1", "k2", "node").join(found, "node", "left")
     nodes = stored(nodes.select("k1", "k2", F.coalesce("component", "node").alias("class_id")), "nodes")
