@@ -407,6 +407,8 @@ def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str =
         _digest, "id bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:int,end:int>>"
     )
     judged = stored(judged, "judged").join(wanted.select("id", F.col("own").alias("sha")), "id")
+    # All that follows reads stored rows; the texts' files go with the session.
+    spark.sql(f"DROP TABLE {name}")
 
     out = info.join(named.select("id", F.col("sha").alias("named")), "id", "left").join(least, "sha", "left")
     copy = (F.col("sha") == F.col("named")) & (F.col("least") < F.col("id"))
