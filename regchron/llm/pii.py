@@ -1,26 +1,26 @@
 """Sanitisation of personal data guided by corpus co-occurrence, in DataFrame functions only.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers; their values are the protected
-entities. A word that stands near an entity can give it away even after masking. How strongly it does
-is estimated from the corpus, with N documents, n(e) with the entity, n(t) with the term anywhere and
-n(e, t) with the term near the entity:
+entities. A word of the same text can give an entity away even after masking. How strongly it does is
+estimated from the corpus, with N documents, n(e) with the entity, n(t) with the term and n(e, t) with
+both, anywhere in the text; the words of a document are those that no base span touches:
 
     IC(e) = log2(N / n(e))                      information that has to be protected
     PMI(e, t) = log2(n(e, t) * N / (n(e) * n(t)))  information about it that the term gives
     disclosure = PMI / IC                        1 if the term occurs with the entity only
 
-A term with ``disclosure >= threshold`` that was seen near the entity in at least ``support`` documents
-is generalised to its class in the documents that hold both (``[NAME]`` for capitalised words,
-``[TERM]`` else) and removed if it holds a digit. Base spans become ``[EMAIL]`` and so on.
+A term with ``disclosure >= threshold`` that shares at least ``support`` documents with the entity is
+generalised to its class in the documents that hold both (``[NAME]`` for capitalised words, ``[TERM]``
+else) and removed if it holds a digit. Base spans become ``[EMAIL]`` and so on.
 
-Pairs are emitted for the words within ``context`` characters of an entity only, so their number is
-proportional to the entities found, and everything is counted with partial aggregation. Term
-frequencies come from one pass over all documents. Entities or terms shared by a third of all
-documents are pre-aggregated before the joins on them, whose sides adaptive execution splits.
+Entities and distinct words of each document are extracted once. Entities are counted first: one in fewer
+than ``support`` documents has no such term, which leaves few documents whose entities are paired with
+their words. Pairs are counted with partial aggregation, so an entity or term shared by a third of all
+documents sends one row per task; the joins on them have sides that adaptive execution splits.
 
 Defined results: a null text is empty and has no spans, and stays null when sanitised; rows with the
-same id (or a null id) share their terms; equal rows get equal results; no rows give no rows. Columns
-of the input named like a result are replaced by it, the rest is passed on.
+same id (or a null id) share their terms, and each counts as a document; equal rows get equal results; no
+rows give no rows. Columns of the input named like a result are replaced by it, the rest is passed on.
 """
 
 from __future__ import annotations
@@ -41,8 +41,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Words at either end of a stretch of text; the look-behind keeps long runs linear.
+_CUT = rf"\A{WORD}+|(?<!{WORD[:-1]}){WORD}+\z"
 
-CONTEXT = 64
 THRESHOLD = 0.9
 SUPPORT = 3
 RESULTS = ("base", "terms", "spans", "clean")
@@ -89,40 +90,52 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span.kind, value)
 
 
-def _near(text: Column, span: Column, context: int) -> Column:
-    """Distinct lower-case words within ``context`` characters of the span, cut words left out."""
-    before = F.substring(text, F.greatest(span.start - context, F.lit(0)) + 1, F.least(span.start, F.lit(context)))
-    before = F.when(span.start > context, F.regexp_replace(before, "^[^\\s]*", "")).otherwise(before)
-    after = F.regexp_replace(F.substring(text, span.end + 1, F.lit(context)), "[^\\s]*$", "")
-    after = F.when(F.length(text) - span.end <= context, F.substring(text, span.end + 1, F.lit(context))).otherwise(after)
-    words = F.regexp_extract_all(F.lower(F.concat_ws(" ", before, after)), F.lit(WORD), F.lit(0))
-    return F.array_distinct(F.filter(words, lambda w: F.length(w) > 1))
+def _words(text: Column, base: Column) -> Column:
+    """Distinct lower-case words that no base span touches."""
+    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    state = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<string>)").alias("out"))
 
+    def gap(at: Column, start: Column) -> Column:
+        # With one character of the spans (or a blank) on both sides, so that a word they cut stands at the end.
+        return F.when(start >= at, F.regexp_replace(F.substring(padded, at + 1, start - at + 2), _CUT, "")).otherwise("")
 
-def disclosing_terms(
-    documents: DataFrame, context: int = CONTEXT, threshold: float = THRESHOLD, support: int = SUPPORT
-) -> DataFrame:
+    def step(s: Column, x: Column) -> Column:
+        out = F.concat(s.out, F.array(gap(s.at, x.start)))
+        return F.struct(F.greatest(s.at, x.end).alias("at"), out.alias("out"))
+
+    between = F.aggregate(
+        base, state, step, lambda s: F.array_join(F.concat(s.out, F.array(gap(s.at, F.length(text)))), " ")
+    )
+    free = F.when(F.size(base) > 0, between).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(free), F.lit(WORD), F.lit(0)))
+
+
+def disclosing_terms(documents: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(id, terms): for documents (id, text, base) the distinct terms that disclose one of their entities."""
-    texts = documents.select("id", F.coalesce("text", F.lit("")).alias("text"), "base")
-    entities = texts.where(F.size("base") > 0).select("id", "text", F.explode("base").alias("span"))
-    near = entities.select("id", _entity(F.col("span")).alias("entity"), _near(F.col("text"), F.col("span"), context).alias("near"))
-    near = stored(near, "near")
-    pairs = near.select("id", "entity", F.explode("near").alias("term")).distinct()
+    text = F.coalesce("text", F.lit(""))
+    held = stored(
+        documents.select(
+            "id",
+            F.monotonically_increasing_id().alias("row"),
+            F.array_distinct(F.transform("base", _entity)).alias("entities"),
+            _words(text, F.col("base")).alias("words"),
+        ),
+        "held",
+    )
+    every = held.count()
+    own = held.select("row", F.explode("entities").alias("entity"))
+    of_entity = own.groupBy("entity").agg(F.count("*").alias("n_e"))
+    # Fewer documents than support cannot share as many with a term; entities seen in every document have nothing to protect.
+    of_entity = stored(of_entity.where((F.col("n_e") >= support) & (F.col("n_e") < every)), "entities")
+    of_term = held.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    paired = own.join(of_entity.select("entity"), "entity").groupBy("row").agg(F.collect_list("entity").alias("entities"))
+    paired = stored(held.select("id", "row", "words").join(paired, "row").select("id", "entities", "words"), "paired")
+    pairs = paired.select("id", F.explode("entities").alias("entity"), "words").select("id", "entity", F.explode("words").alias("term"))
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
-    of_entity = near.select("id", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    every = documents.agg(F.count("*").alias("n")).first().n
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    of_term = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    # Entities seen in every document have nothing to protect.
     ic = F.log2(F.lit(every) / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * F.lit(float(every)) / (F.col("n_e") * F.col("n_t")))
-    strong = (
-        together.join(of_entity, "entity")
-        .where(F.col("n_e") < every)
-        .join(of_term, "term")
-        .where(pmi >= threshold * ic)
-        .select("entity", "term")
-    )
+    strong = together.join(of_entity, "entity").join(of_term, "term").where(pmi >= threshold * ic).select("entity", "term")
+    strong = stored(strong, "strong")
     return pairs.join(strong, ["entity", "term"]).groupBy("id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
@@ -160,7 +173,6 @@ def sanitise(
     documents: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    context: int = CONTEXT,
     threshold: float = THRESHOLD,
     support: int = SUPPORT,
 ) -> DataFrame:
@@ -168,7 +180,7 @@ def sanitise(
     kept = documents.drop(*[c for c in RESULTS if c not in (doc_id, text)])
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
     found = kept.select(F.col(doc_id).alias("id"), own.alias("text"), base_spans(own).alias("base"))
-    terms = disclosing_terms(found, context, threshold, support).select(F.col("id").alias("__id"), "terms")
+    terms = disclosing_terms(found, threshold, support).select(F.col("id").alias("__id"), "terms")
     terms = stored(terms, "terms")
     joined = kept.join(terms, kept[doc_id].eqNullSafe(terms["__id"]), "left").drop("__id")
     joined = joined.withColumn("base", base_spans(own)).withColumn(

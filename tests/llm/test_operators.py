@@ -164,6 +164,45 @@ def test_terms_that_disclose_an_entity_go(spark):
     assert found[100].clean == "[EMAIL] Zanzib common words"
 
 
+def plain_terms(texts, threshold=pii.THRESHOLD, support=pii.SUPPORT):
+    own = []
+    for text in texts:
+        spans = base_spans(text)
+        entities = set()
+        for start, rank, end, kind in spans:
+            entities.add((kind, re.sub("[^0-9]", "", text[start:end]) if rank > 1 else text[start:end].lower()))
+        words = {
+            m[0].lower() for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)
+            if not any(s[0] < m.end() and m.start() < s[2] for s in spans)
+        }
+        own.append((entities, words))
+    n_e, n_t, n_et = Counter(), Counter(), Counter()
+    for entities, words in own:
+        n_e.update(entities)
+        n_t.update(words)
+        n_et.update((e, t) for e in entities for t in words)
+    n = len(texts)
+    strong = {
+        (e, t) for (e, t), c in n_et.items()
+        if c >= support and n_e[e] < n and math.log2(c * n / (n_e[e] * n_t[t])) >= threshold * math.log2(n / n_e[e]) - 1e-12
+    }
+    return [sorted({t for e in entities for t in words if (e, t) in strong}) for entities, words in own]
+
+
+def test_terms_against_plain_counts_at_any_distance(spark):
+    far = prose(70, 60) + " "
+    texts = [f"Quorl signs here. {far}{prose(i, 8)} ann@x.org" for i in range(4)]
+    texts += [f"bob@x.org met Vendel{i % 2}. {far * (i % 3)} Vendel far Trellis{' +41 44 668 18 00' * (i % 2)}" for i in range(8)]
+    texts += [f"x10.1.2.3 cut word{far}10.1.2.3é ann {far}z bob@x.org", "Trellis alone", "", "ann@x.org", "Vendel0 10.1.2.3ann@x.org"]
+    texts += [f"{far}{prose(200 + i, 9)}" for i in range(40)]
+    found = {r.doc_id: r for r in pii.sanitise(documents(spark, list(enumerate(texts)))).collect()}
+    wanted = plain_terms(texts)
+    assert [found[i].terms for i in range(len(texts))] == wanted
+    assert "quorl" in wanted[0]
+    assert "Quorl" not in found[0].clean and "[NAME]" in found[0].clean
+    assert "vendel" in wanted[5]
+
+
 # ---- pieces ---------------------------------------------------------------------------------
 
 
