@@ -6,13 +6,14 @@ bigram model with a prior of ``PRIOR`` observations per context a:
     p(b | a) = c(a, b) / (c(a) + PRIOR)                     if (a, b) was seen in training
              = PRIOR / (c(a) + PRIOR) * p(b)                else,   p(b) = (c(b) + 1) / (N + V + 1)
 
-which never sums to more than one. Contexts are dealt over shards. A shard's trie has two levels in flat
+which never sums to more than one before rounding. Contexts are dealt over shards. A shard's trie has two levels in flat
 byte arrays that can be mapped as they are (tasks read them in place, without a copy): the contexts, and
 their successors. Both levels, the pointers from the first into the second and the contexts' counts (as
 running sums) are monotone sequences in Elias-Fano code. The successors of context i are stored as
 i * width + rank of the word, relative to their context, which makes the whole level one monotone
 sequence; a lookup is a successor search for that value between the context's two pointers. Logarithms
-of probabilities are quantised to 8 bits.
+of probabilities are rounded to multiples of 1 / STEPS and kept as 16-bit codes, none of which is clamped:
+counts below 2**63 need codes below 32 * 19.
 
 A batch of documents is reduced to its distinct bigrams, with the documents they stand in, before it is
 shuffled, packed into one row per batch and shard; a shard counts, builds its trie, looks up every
@@ -173,7 +174,7 @@ class Trie:
         running = np.concatenate([[0], np.cumsum(sums)]).astype(U)
         self.totals = EliasFano(running, max(1, int(running[-1])))
         log = np.log10(count / (sums[own] + PRIOR)) if len(count) else np.zeros(0)
-        self.codes = np.minimum(np.round(-log * STEPS), 255).astype(np.uint8)
+        self.codes = np.round(-log * STEPS).astype(np.uint16)
 
     def total(self, context: np.ndarray) -> np.ndarray:
         """Training count of each context."""

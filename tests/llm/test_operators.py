@@ -472,6 +472,15 @@ def test_elias_fano_finds_what_is_there():
         assert [(x >= 0) for x in coded.find(asked).tolist()] == [a in there for a in asked.tolist()]
 
 
+def test_rare_successors_of_very_frequent_contexts():
+    context, word = np.array([3, 3, 5], dtype=np.uint64), np.array([1, 2, 1], dtype=np.uint64)
+    for total in (10**8, 1_600_000_000, 2**62):
+        trie = lm.Trie(context, word, np.array([1, 70_000, 4]), {3: total})
+        assert trie.total(context[:1]).tolist() == [total]
+        wanted = [math.log10(c / (t + lm.PRIOR)) for c, t in ((1, total), (70_000, total), (4, 4))]
+        assert np.abs(trie.lookup(context, word) - wanted).max() <= 0.5 / lm.STEPS + 1e-9
+
+
 def test_scores_against_plain_counts(spark):
     rows = [(i, prose(i % 9, 5 + i % 30)) for i in range(80)]
     rows += [(200, ""), (201, None), (202, "NEW words\tonly\x0bhere"), (203, "Caps caps"), (5, rows[5][1]), (None, "a b"), (204, "the " * 4000)]
