@@ -6,8 +6,8 @@ bigram model with a prior of ``PRIOR`` observations per context a:
     p(b | a) = c(a, b) / (c(a) + PRIOR)                     if (a, b) was seen in training
              = PRIOR / (c(a) + PRIOR) * p(b)                else,   p(b) = (c(b) + 1) / (N + V + 1)
 
-which never sums to more than one before rounding. Contexts are dealt over shards. A shard's trie has two levels in flat
-byte arrays that can be mapped as they are (tasks read them in place, without a copy): the contexts, and
+which never sums to more than one before rounding. Contexts are dealt over shards. A shard's trie is built, read
+and dropped within the task that counts the shard. It has two levels in flat arrays: the contexts, and
 their successors. Both levels, the pointers from the first into the second and the contexts' counts (as
 running sums) are monotone sequences in Elias-Fano code. The successors of context i are stored as
 i * width + rank of the word, relative to their context, which makes the whole level one monotone
