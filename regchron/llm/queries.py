@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from regchron.llm import chat, decontaminate, lm, near_text, near_vectors, pii, quality, repeats, secrets, sentencepieces
+from regchron.llm import (
+    chat,
+    decontaminate,
+    lm,
+    near_text,
+    near_vectors,
+    pii,
+    quality,
+    repeats,
+    secrets,
+    sentencepieces,
+    whitening,
+)
 
 QUERIES = {
     "op1_secrets": secrets.op1,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_repeats": repeats.op9,
     "op10_lm": lm.op10,
+    "op13_whitening": whitening.op13,
 }
 
 ORACLE = {
