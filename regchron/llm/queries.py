@@ -8,6 +8,7 @@ from regchron.llm import (
     lm,
     near_text,
     near_vectors,
+    phrases,
     pii,
     quality,
     repeats,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_repeats": repeats.op9,
     "op10_lm": lm.op10,
+    "op12_phrases": phrases.op12,
     "op13_whitening": whitening.op13,
 }
 
@@ -35,4 +37,5 @@ ORACLE = {
     "op5_near_vectors": near_vectors.SQL,
     "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
+    "op12_phrases": phrases.SQL,
 }
