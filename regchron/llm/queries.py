@@ -14,6 +14,7 @@ from regchron.llm import (
     repeats,
     secrets,
     sentencepieces,
+    substrings,
     whitening,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_repeats": repeats.op9,
     "op10_lm": lm.op10,
+    "op11_substrings": substrings.op11,
     "op12_phrases": phrases.op12,
     "op13_whitening": whitening.op13,
 }
@@ -37,5 +39,6 @@ ORACLE = {
     "op5_near_vectors": near_vectors.SQL,
     "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
+    "op11_substrings": substrings.SQL,
     "op12_phrases": phrases.SQL,
 }
