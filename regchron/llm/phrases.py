@@ -19,7 +19,8 @@ than 1 / HOT of all words, of which there are at most HOT, get more slices than
 stripes are counted before the shuffle, a slice receives one row per task and ``HELD`` counts.
 
 Words are told apart by 64-bit hashes; when the stripe of the empty prefix is merged, two words with one hash
-are an error rather than a wrong count (another ``seed`` cures it). Scores are exact in decimals of 38 digits, for frequencies up to 10**15.
+are an error rather than a wrong count (another ``seed`` cures it). Scores are exact in decimals of 38 digits,
+for frequencies below 10**15.
 
 Defined results: a null text has no words; a null language is ``und``; repeated rows count each; null or
 repeated ids do not matter, as ids are not read; an empty table gives an empty result; among equal scores the
