@@ -13,10 +13,12 @@ is built only for such prefixes, and only such extensions have an entry of their
 sent to the tasks as a bit map of ``SLOTS`` bits over the hashes of the frequent shorter phrases: its size is
 fixed, it misses none, and what it lets through beyond them is dropped after merging.
 
-What bounds memory: a task sends its partial stripes on whenever it holds ``HELD`` counts. Stripes are cut into slices
-by the hash of the next word, so that a slice counts at most about ``SLICE`` occurrences: the prefixes with more
-than 1 / HOT of all words, of which there are at most HOT, get more slices than the others. Since partial
-stripes are counted before the shuffle, a slice receives one row per task and ``HELD`` counts.
+What bounds memory: a task sends its partial stripes on whenever it holds ``HELD`` counts. A stripe has no more
+entries than its prefix has occurrences, nor than there are frequent words. Stripes are cut into slices by the hash
+of the next word, so that a slice has at most about ``SLICE`` entries; the prefixes with more than ``SLICE``
+occurrences and more than 1 / HOT of all words, of which there are at most HOT, get ``HOT_SLICES`` slices more, so
+that no task merges a third of all counts. Since partial stripes are counted before the shuffle, a slice
+receives one row per task and ``HELD`` counts.
 
 Words are told apart by 64-bit hashes; when the stripe of the empty prefix is merged, two words with one hash
 are an error rather than a wrong count (another ``seed`` cures it). Scores are exact in decimals of 38 digits,
@@ -49,7 +51,8 @@ SUBSUMED = 50
 HELD = 1 << 20
 SLOTS = 1 << 25
 HOT = 4096
-SLICE = 1 << 22
+SLICE = 1 << 20
+HOT_SLICES = 16
 WORD_SLICES = 4096
 OTHER = 0
 _SALTS = 64
@@ -361,8 +364,8 @@ def bit_map(phrases: DataFrame, k: int) -> bytes:
 
 
 def hot_places(phrases: DataFrame, k: int, n: int) -> bytes:
-    """The prefixes that begin at more than 1 / HOT of all words: at most HOT of them."""
-    rows = phrases.where(F.col("a") > n // HOT).select("lang", *prefix_names(k)).collect()
+    """The prefixes with more than 1 / HOT of all words, at most HOT of them, if more than SLICE."""
+    rows = phrases.where(F.col("a") > max(SLICE, n // HOT)).select("lang", *prefix_names(k)).collect()
     marks = np.array([zlib.crc32(r["lang"].encode()) for r in rows], dtype=U)
     words = [np.array([r[c] for r in rows], dtype=np.int64).view(U) for c in prefix_names(k)]
     return mix(sum(w * powers(BASE, k + 1)[j + 1] for j, w in enumerate(words)) + marks).tobytes()
@@ -404,12 +407,13 @@ def phrases(
     entries = word_rows.select("lang", F.explode(F.arrays_zip("next", "counts", "texts")).alias("e"))
     vocabulary = entries.select("lang", F.col("e.next").alias("w1"), F.col("e.texts").alias("word"))
     known_by = {1: entries.select("lang", F.col("e.next").alias("w1"), F.col("e.counts").alias("a"))}
+    followers = known_by[1].count()
     totals: dict[int, DataFrame] = {}
     widest: dict[int, DataFrame] = {}
     for k in range(1, longest):
         bits = spark.sparkContext.broadcast(bit_map(known_by[k], k))
         hot = spark.sparkContext.broadcast(hot_places(known_by[k], k, n))
-        slices = (1 + n // HOT // SLICE, 1 + n // SLICE)
+        slices = (1 + min(followers, n // HOT) // SLICE, HOT_SLICES + followers // SLICE)
         names = prefix_names(k)
         schema = _STRIPE.format("".join(f"{w} bigint, " for w in names))
         rows = together(texts.mapInArrow(prefix_stripes(k, seed, bits, hot, slices), schema), f"stripes{k}")

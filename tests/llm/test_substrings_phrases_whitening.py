@@ -149,7 +149,7 @@ def phrase_rows():
 def test_phrases_against_plain_counts(spark, monkeypatch, longest, least, top, crowded):
     if crowded:
         # Every frequent prefix is cut into many slices.
-        monkeypatch.setattr(phrases, "SLICE", 50)
+        monkeypatch.setattr(phrases, "SLICE", 3)
         monkeypatch.setattr(phrases, "HOT", 200)
     rows = phrase_rows()
     found = phrases.phrases(documents(spark, rows), longest=longest, least=least, top=top).collect()
