@@ -14,15 +14,18 @@ the same places, wherever they stand.
    equals). A window without one falls back by levels, at last to its words. The anchor's name and the half
    window of words after it, or before it if more of the window lies there, make a key that equal windows
    share. Consecutive windows with one anchor and one side are one row.
-2. Keys are reduced to least and greatest id and their number; only those in two documents can hold a
-   repetition. Rows of those go back to their texts.
-3. There each row gets the hashes of its windows, the rows of a key meet sorted by id, and a window whose hash
-   occurs under a smaller id goes. Key and window hash have independent words' hashes, 128 bits together.
+2. The rows of a key meet, sorted by text; only keys of two texts can hold a repetition, and their rows go back
+   to the texts.
+3. There each row gets the hashes of its windows, the rows of a key meet again, sorted by id, and a window whose
+   hash occurs under a smaller id goes. Key and window hash have independent words' hashes, 128 bits together.
 
 Texts of equal words are examined once, under their least id: in the others all windows repeat. What bounds
-memory: texts are read 4 MB at a time (a longer text alone); a key with more than ``PIECE`` rows is dealt into
-pieces by a hash of the row, each piece is compared in itself, and what is left of such keys is compared across
-pieces by partial aggregation on the windows' hashes. Intermediate tables lie in the shared folder.
+memory: texts are read 4 MB at a time (a longer text alone); the rows of a key are dealt into pieces of
+``PIECE``, each piece is compared in itself, and what is left of keys with several pieces is compared across them
+by partial aggregation on the windows' hashes. Whether a key is shared is found out while its rows stream past.
+
+Texts are not shuffled: they are stored as they are read, each task's in a bucket of its own, and what is
+found out about them is brought there. Intermediate tables lie in the shared folder.
 
 Defined results: null and empty texts have no words, and texts shorter than a window stay whole. Documents with
 equal ids are not smaller than each other; each of their texts is judged. A null id is neither smaller nor
@@ -34,12 +37,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regchron.llm.common import (
@@ -67,9 +71,9 @@ BLOCK_WINDOWS = 1 << 18
 _VALUES = mix(np.arange(256, dtype=U) + U(1501))
 _VALUES_2 = mix(np.arange(256, dtype=U) + U(1901))
 
-_KEYS = "key bigint, id bigint"
 _ROWS = "key bigint, doc bigint, first int"
-_CONTEXTS = "key bigint, salt int, pieces int, id bigint, doc bigint, first int, hashes array<bigint>"
+_SHARED = "doc bigint, first int, salt int"
+_CONTEXTS = "key bigint, salt int, id bigint, doc bigint, first int, hashes array<bigint>"
 _RUNS = "doc bigint, id bigint, start int, end int, one bigint, two bigint"
 
 
@@ -216,22 +220,60 @@ def _words(batch: pa.RecordBatch) -> Words:
     return Words(batch.column("text"), TOKEN_BYTES, _VALUES)
 
 
-def _emit_keys(window: int, rounds: int, schema: str):
-    """Key and id of all rows, or key, text and first window of them."""
+def _emit_rows(window: int, rounds: int):
+    """Key, text and first window of all rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             words = _words(batch)
             rows = anchored(words, window, rounds)
             text = words.rows[rows.first]
+            doc = pa.array(batch.column("doc").to_numpy()[text])
+            first = pa.array(rows.first - words.first[text], pa.int32())
             key = pa.array(rows.key.view(np.int64))
-            if schema == _KEYS:
-                ids = batch.column("id").to_numpy()[text]
-                yield pa.RecordBatch.from_arrays([key, pa.array(ids)], names=["key", "id"])
-            else:
-                doc = pa.array(batch.column("doc").to_numpy()[text])
-                first = pa.array(rows.first - words.first[text], pa.int32())
-                yield pa.RecordBatch.from_arrays([key, doc, first], names=["key", "doc", "first"])
+            yield pa.RecordBatch.from_arrays([key, doc, first], names=["key", "doc", "first"])
+
+    return run
+
+
+def _shared(piece: int):
+    """The rows whose key two texts have, numbered in pieces; rows come ordered by key and text.
+
+    Only the rows of one text wait until it is known whether another one follows.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = begun = None
+        number, known = 0, False
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys, docs = batch.column("key").to_numpy(), batch.column("doc").to_numpy()
+            heads = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+            ends = np.append(heads[1:], n)
+            group = np.repeat(np.arange(len(heads)), ends - heads)
+            first = docs[heads].copy()
+            index = np.arange(n) - heads[group]
+            goes_on = key is not None and keys[0] == key
+            if goes_on:
+                first[0] = begun
+                index[: ends[0]] += number
+            several = first != docs[ends - 1]
+            if goes_on and known:
+                several[0] = True
+            salt = pa.array(index // piece, pa.int32())
+            columns = [batch.column("doc"), batch.column("first"), salt]
+            rows = pa.RecordBatch.from_arrays(columns, names=["doc", "first", "salt"])
+            if goes_on and several[0]:
+                yield from held
+            if several[0] or not goes_on or len(heads) > 1:
+                held = []
+            yield rows.filter(pa.array(several[group]))
+            if not several[-1]:
+                held.append(rows.slice(heads[-1]))
+            key, begun, number, known = keys[-1], first[-1], int(index[-1]) + 1, bool(several[-1])
 
     return run
 
@@ -259,22 +301,22 @@ def _emit_contexts(window: int, rounds: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows.key[mine].view(np.int64)), flat.field("salt").take(pa.array(order)),
-                    flat.field("pieces").take(pa.array(order)), pa.array(batch.column("id").to_numpy()[text]),
-                    pa.array(batch.column("doc").to_numpy()[text]), pa.array(first - words.first[text], pa.int32()),
+                    pa.array(batch.column("id").to_numpy()[text]), pa.array(batch.column("doc").to_numpy()[text]),
+                    pa.array(first - words.first[text], pa.int32()),
                     pa.ListArray.from_arrays(offsets, pa.array(hashes)),
                 ],
-                names=["key", "salt", "pieces", "id", "doc", "first", "hashes"],
+                names=["key", "salt", "id", "doc", "first", "hashes"],
             )
 
     return run
 
 
-def _compare(window: int):
+def _compare(window: int, limit: int):
     """Runs of removed words of whole pieces, and the windows to be compared across pieces."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        key, salt, pieces, ids, doc, first = (table[c].to_numpy() for c in table.column_names[:-1])
+        key, salt, ids, doc, first = (table[c].to_numpy() for c in table.column_names[:-1])
         lists = table["hashes"].combine_chunks()
         size = np.diff(lists.offsets.to_numpy())
         hashes = lists.flatten().to_numpy()
@@ -282,7 +324,10 @@ def _compare(window: int):
         start = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
         fresh = np.ones(len(key), dtype=bool)
         fresh[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
-        piece = np.cumsum(fresh)[own]
+        number = np.cumsum(fresh) - 1
+        # A first piece that is not full is the only one of its key.
+        several = (salt > 0) | (np.bincount(number) >= limit)[number]
+        piece = number[own]
         # Rows come ordered by id, and the sort is stable: the first of a class has its least id.
         order = np.lexsort([hashes, piece])
         new = np.ones(len(order), dtype=bool)
@@ -296,7 +341,7 @@ def _compare(window: int):
         edge[1:] = own[1:] != own[:-1]
         begins = np.flatnonzero(gone & (edge | ~np.append(False, gone[:-1])))
         stops = np.flatnonzero(gone & (np.append(edge[1:], True) | ~np.append(gone[1:], False)))
-        open_ = np.flatnonzero(~gone & (pieces > 1)[own])
+        open_ = np.flatnonzero(~gone & several[own])
         who = np.concatenate([own[begins], own[open_]])
         empty = pa.nulls(len(begins), pa.int64())
         return pa.RecordBatch.from_arrays(
@@ -304,7 +349,8 @@ def _compare(window: int):
                 pa.array(doc[who]), pa.array(ids[who]),
                 pa.array(np.concatenate([start[begins], start[open_]]), pa.int32()),
                 pa.array(np.concatenate([start[stops], start[open_]]) + window, pa.int32()),
-                pa.concat_arrays([empty, pa.array(key[own[open_]])]), pa.concat_arrays([empty, pa.array(hashes[open_])]),
+                pa.concat_arrays([empty, pa.array(key[own[open_]])]),
+                pa.concat_arrays([empty, pa.array(hashes[open_])]),
             ],
             names=["doc", "id", "start", "end", "one", "two"],
         )
@@ -335,24 +381,17 @@ def _compare(window: int):
     return run
 
 
-def _measure(with_text: bool):
+def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digest and number of each text's words."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            digest, count = [], []
-            for text in batch.column("text"):
-                # bytes.split() cuts at exactly the blanks 0x20 and 0x09 to 0x0D.
-                words = (text.as_py() or "").encode().split()
-                digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                count.append(len(words))
-            out = [batch.column("id"), pa.array(digest, pa.string()), pa.array(count, pa.int64())]
-            names = ["id", "sha", "n_words"]
-            if with_text:
-                out, names = [*out, batch.column("text")], [*names, "text"]
-            yield pa.RecordBatch.from_arrays(out, names=names)
-
-    return run
+    for batch in chunks(batches, "text"):
+        digest, count = [], []
+        for text in batch.column("text"):
+            # bytes.split() cuts at exactly the blanks 0x20 and 0x09 to 0x0D.
+            words = (text.as_py() or "").encode().split()
+            digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            count.append(len(words))
+        out = [batch.column("doc"), batch.column("id"), pa.array(digest, pa.string()), pa.array(count, pa.int64())]
+        yield pa.RecordBatch.from_arrays(out, names=["doc", "id", "sha", "n_words"])
 
 
 def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,6 +422,29 @@ def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def bucket_numbers(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` buckets a number that Spark's bucketing puts there."""
+    span = 16 * n
+    while True:
+        bucket = F.pmod(F.hash("id"), F.lit(n)).alias("bucket")
+        found = {r["bucket"]: r["id"] for r in spark.range(span).groupBy(bucket).agg(F.min("id").alias("id")).collect()}
+        if len(found) == n:
+            return [found[b] for b in range(n)]
+        span *= 2
+
+
+@contextmanager
+def partitioned_by_bucket(spark: SparkSession) -> Iterator[None]:
+    """Joins on bucket and text leave the texts in their buckets, and bring the other side there."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def repeated_words(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -395,58 +457,53 @@ def repeated_words(
     spark = documents.sparkSession
     n = parts(spark)
     rows = documents.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    measures = "id bigint, sha string, n_words bigint"
-    info = stored(rows.mapInArrow(_measure(False), measures), "info")
-    long_ = info.where((F.col("n_words") >= window) & F.col("id").isNotNull())
-    least = stored(long_.groupBy("sha").agg(F.min("id").alias("least")), "least")
-    # Ids of several texts: their texts are told apart by a hash of both.
-    texts_of = least.groupBy(F.col("least").alias("id")).agg(F.count("*").alias("texts"))
-    twins = stored(texts_of.where("texts > 1"), "twins")
-
-    def named(df: DataFrame) -> DataFrame:
-        several = F.col("texts").isNotNull()
-        doc = F.when(several, F.xxhash64("id", "sha")).otherwise(F.col("id"))
-        return df.join(twins, "id", "left").withColumn("doc", doc).drop("texts")
-
-    wanted = stored(named(least.select(F.col("least").alias("id"), "sha")), "wanted")
-
-    # The texts to examine, in buckets of their number, so that later joins on it leave them in place.
-    whole = rows.mapInArrow(_measure(True), measures + ", text string")
-    whole = named(whole.where((F.col("n_words") >= window) & F.col("id").isNotNull()))
-    own = wanted.select("doc", F.col("sha").alias("own"))
-    examined = whole.join(own, "doc").where("sha = own").select("doc", "id", "text").dropDuplicates(["doc"])
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
+    slots = F.array(*[F.lit(x).cast("bigint") for x in bucket_numbers(spark, n)])
+
+    def placed(df: DataFrame) -> DataFrame:
+        """The bucket of a text: one for each task that stored texts, or for each n-th."""
+        return df.withColumn("b", F.get(slots, F.pmod(F.shiftright("doc", 33), F.lit(n)).cast("int")))
+
     name = f"substrings_{uuid4().hex}"
-    writer = examined.write.bucketBy(n, "doc").option("compression", "zstd")
-    writer.option("path", scratch_path(spark, "texts")).saveAsTable(name)
+    writer = placed(rows.withColumn("doc", F.monotonically_increasing_id())).write.bucketBy(n, "b")
+    writer.option("compression", "zstd").option("path", scratch_path(spark, "texts")).saveAsTable(name)
     texts = spark.table(name)
 
-    keys = texts.select("id", "text").mapInArrow(_emit_keys(window, rounds, _KEYS), _KEYS)
-    keys = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("size"))
-    pieces = F.ceil(F.col("size") / piece).cast("int")
-    shared = stored(keys.where("low < high").select("key", pieces.alias("pieces")), "shared")
-
-    found = texts.select("doc", "text").mapInArrow(_emit_keys(window, rounds, _ROWS), _ROWS).join(shared, "key")
-    salt = F.pmod(F.xxhash64("doc", "first"), F.col("pieces")).cast("int")
-    entry = F.struct("first", salt.alias("salt"), "pieces")
-    found = stored(found.groupBy("doc").agg(F.collect_list(entry).alias("found")), "found")
-    contexts = texts.join(found, "doc").select("doc", "id", "text", "found")
-    contexts = contexts.mapInArrow(_emit_contexts(window, rounds), _CONTEXTS).repartition(n, "key", "salt")
-    compared = contexts.sortWithinPartitions("key", "salt", "id").mapInArrow(_compare(window), _RUNS)
-    compared = stored(compared, "compared")
+    measures = "doc bigint, id bigint, sha string, n_words bigint"
+    info = stored(texts.select("doc", "id", "text").mapInArrow(_measure, measures), "info")
+    long_ = info.where((F.col("n_words") >= window) & F.col("id").isNotNull())
+    least = long_.groupBy("sha").agg(F.min(F.struct("id", "doc")).alias("own"))
+    least = stored(least.select("sha", "own.id", "own.doc"), "least")
+
+    with partitioned_by_bucket(spark):
+        examined = texts.join(placed(least.select("doc")), ["b", "doc"]).select("doc", "text")
+        found = examined.mapInArrow(_emit_rows(window, rounds), _ROWS).repartition(n, "key")
+        found = found.sortWithinPartitions("key", "doc").mapInArrow(_shared(piece), _SHARED)
+        found = placed(found).groupBy("b", "doc").agg(F.collect_list(F.struct("first", "salt")).alias("found"))
+        found = stored(found, "found")
+        contexts = texts.join(found, ["b", "doc"]).select("doc", "id", "text", "found")
+        contexts = contexts.mapInArrow(_emit_contexts(window, rounds), _CONTEXTS).repartition(n, "key", "salt")
+        compared = contexts.sortWithinPartitions("key", "salt", "id").mapInArrow(_compare(window, piece), _RUNS)
+        compared = stored(compared, "compared")
 
     left = compared.where("one IS NOT NULL")
     first = left.groupBy("one", "two").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     across = left.join(first, ["one", "two"]).where("id > low").select("doc", "start", "end")
     runs = compared.where("one IS NULL").select("doc", "start", "end").union(across)
-    runs = stored(runs.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("runs")), "removed")
-    judged = texts.join(runs, "doc").select("doc", "text", "runs").mapInArrow(
-        _digest, "doc bigint, n_removed bigint, kept_sha256 string, spans array<struct<start:int,end:int>>"
-    )
-    judged = stored(judged.join(wanted.drop("id"), "doc").drop("doc"), "judged")
+    with partitioned_by_bucket(spark):
+        runs = placed(runs).groupBy("b", "doc").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+        runs = stored(runs, "removed")
+        judged = texts.join(runs, ["b", "doc"]).select("doc", "text", "runs")
+        spans = "array<struct<start:int,end:int>>"
+        judged = judged.mapInArrow(_digest, f"doc bigint, n_removed bigint, kept_sha256 string, spans {spans}")
+        judged = stored(judged.join(least.select("doc", "sha"), "doc").drop("doc"), "judged")
     # All that follows reads stored rows; the texts' files go with the session.
     spark.sql(f"DROP TABLE {name}")
 
-    out = info.join(least, "sha", "left").join(judged, "sha", "left")
+    out = info.drop("doc").join(least.select("sha", F.col("id").alias("least")), "sha", "left")
+    out = out.join(judged, "sha", "left")
     copy = F.coalesce(F.col("least") < F.col("id"), F.lit(False))
     mine = F.coalesce(F.col("least") == F.col("id"), F.lit(False))
     empty = F.sha2(F.lit(""), 256)

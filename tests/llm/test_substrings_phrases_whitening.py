@@ -253,3 +253,21 @@ def test_whitening_edge_cases(spark):
     # Squares beyond 64 bits: the deviation does not fit.
     far = whitening.whiten(vectors_table(spark, [(1, [1e9, 0.0]), (2, [-1e9, 0.0])])).collect()
     assert {r.deviation for r in far} == {None} and abs(abs(far[0].whitened) - 1) < 1e-9
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1000])
+def test_rows_of_shared_keys_are_numbered_while_they_stream(size):
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(30), rng.randrange(12) if k else 5, i) for i, k in enumerate([0, 1, 1] * 60))
+    rows += [(50, 1, i) for i in range(20)] + [(51, 1, 0), (52, 1, 0), (52, 2, 0), (53, 9, 0)]
+    wanted = []
+    for key in sorted({r[0] for r in rows}):
+        mine = [r for r in rows if r[0] == key]
+        if len({r[1] for r in mine}) > 1:
+            wanted += [(doc, first, i // 3) for i, (_, doc, first) in enumerate(mine)]
+    batches = [
+        pa.RecordBatch.from_pydict({"key": [r[0] for r in part], "doc": [r[1] for r in part], "first": pa.array([r[2] for r in part], pa.int32())})
+        for part in (rows[i : i + size] for i in range(0, len(rows), size))
+    ]
+    got = [tuple(r.values()) for b in substrings._shared(3)(batches) for r in b.to_pylist()]
+    assert got == wanted
