@@ -13,12 +13,13 @@ is built only for such prefixes, and only such extensions have an entry of their
 sent to the tasks as a bit map of ``SLOTS`` bits over the hashes of the frequent shorter phrases: its size is
 fixed, it misses none, and what it lets through beyond them is dropped after merging.
 
-What bounds memory: a task sends its partial stripes on whenever it holds ``HELD`` counts. A stripe has no more
-entries than its prefix has occurrences, nor than there are frequent words. Stripes are cut into slices by the hash
-of the next word, so that a slice has at most about ``SLICE`` entries; the prefixes with more than ``SLICE``
-occurrences and more than 1 / HOT of all words, of which there are at most HOT, get ``HOT_SLICES`` slices more, so
-that no task merges a third of all counts. Since partial stripes are counted before the shuffle, a slice
-receives one row per task and ``HELD`` counts.
+What bounds memory: texts are read ``CHUNK`` bytes at a time (a longer text alone), and a task sends its partial
+stripes on whenever it holds ``HELD`` counts. A stripe has no more entries than its prefix has occurrences, nor
+than there are frequent words. Stripes are cut into slices by the hash of the next word, so that a slice has at
+most about ``SLICE`` entries; the prefixes with more than ``SLICE`` occurrences and more than 1 / HOT of all
+words, of which there are at most HOT, get ``HOT_SLICES`` slices more, so that no task merges a third of all
+counts. Since partial stripes are counted before the shuffle, a slice receives one row per task and ``HELD``
+counts.
 
 Words are told apart by 64-bit hashes; when the stripe of the empty prefix is merged, two words with one hash
 are an error rather than a wrong count (another ``seed`` cures it). Scores are exact in decimals of 38 digits,
@@ -48,7 +49,8 @@ LEAST = 10
 TOP = 2000
 SUBSUMED = 50
 
-HELD = 1 << 20
+HELD = 3 << 18
+CHUNK = 1 << 20
 SLOTS = 1 << 25
 HOT = 4096
 SLICE = 1 << 20
@@ -173,7 +175,7 @@ def word_stripes(seed: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             p = Pieces(batch, seed, 0)
             if not len(p.hashes):
                 continue
@@ -238,7 +240,7 @@ def prefix_stripes(k: int, seed: int, bits, hot, slices: tuple[int, int]):
         crowded = np.frombuffer(hot.value, dtype=U)
         held: list[tuple] = []
         size = 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK):
             p = Pieces(batch, seed, k)
             if not len(p.hashes):
                 continue
