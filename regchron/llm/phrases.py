@@ -14,12 +14,12 @@ sent to the tasks as a bit map of ``SLOTS`` bits over the hashes of the frequent
 fixed, it misses none, and what it lets through beyond them is dropped after merging.
 
 What bounds memory: texts are read ``CHUNK`` bytes at a time (a longer text alone), and a task sends its partial
-stripes on whenever it holds ``HELD`` counts. A stripe has no more entries than its prefix has occurrences, nor
-than there are frequent words. Stripes are cut into slices by the hash of the next word, so that a slice has at
-most about ``SLICE`` entries; the prefixes with more than ``SLICE`` occurrences and more than 1 / HOT of all
-words, of which there are at most HOT, get ``HOT_SLICES`` slices more, so that no task merges a third of all
-counts. Since partial stripes are counted before the shuffle, a slice receives one row per task and ``HELD``
-counts.
+stripes on whenever it holds ``HELD`` counts. Stripes travel in buckets: a row holds a task's partial stripes of
+all prefixes of one bucket, and the rows of a bucket are merged as they arrive, so that it takes no more room than
+its distinct entries. There are enough buckets for about ``ENTRIES`` entries in each. A stripe has no more entries
+than its prefix has occurrences; the prefixes with more than 1 / HOT of all words, of which there are at most
+HOT, are dealt to many buckets by the next word. All counting happens before the shuffle, so a frequent
+prefix sends one stripe per ``HELD`` counts.
 
 Words are told apart by 64-bit hashes; when the stripe of the empty prefix is merged, two words with one hash
 are an error rather than a wrong count (another ``seed`` cures it). Scores are exact in decimals of 38 digits,
@@ -53,9 +53,9 @@ HELD = 3 << 18
 CHUNK = 1 << 20
 SLOTS = 1 << 25
 HOT = 4096
-SLICE = 1 << 20
-HOT_SLICES = 16
-WORD_SLICES = 4096
+HOT_BUCKETS = 16
+ENTRIES = 1 << 20
+BUCKETS = 1024
 OTHER = 0
 _SALTS = 64
 
@@ -66,9 +66,10 @@ PHRASE_BYTES = byte_set(lambda b: b not in _BREAKS and b not in b" \t")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-# Rows are ordered by these columns from the left, so the most telling one comes first.
-_WORDS = "slice int, lang string, next array<bigint>, counts array<bigint>, texts array<string>"
-_STRIPE = "{}lang string, slice int, next array<bigint>, counts array<bigint>"
+_WORDS = "bucket bigint, lang string, next array<bigint>, counts array<bigint>, texts array<string>"
+_STRIPES = "bucket bigint, lang string, {}next array<bigint>, counts array<bigint>"
+_MERGED_WORDS = "lang string, total bigint, next array<bigint>, counts array<bigint>, texts array<string>"
+_MERGED = "lang string, {}total bigint, next array<bigint>, counts array<bigint>"
 
 
 class Pieces(Words):
@@ -146,59 +147,27 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def word_stripes(seed: int):
-    """Partial stripes of the empty prefix, in slices of the words' hashes."""
+def _place(words: list[np.ndarray], marks: np.ndarray) -> np.ndarray:
+    """Where a prefix's stripe goes, from its words and its language's mark."""
+    total = marks
+    for j, w in enumerate(words):
+        total = total + w * powers(BASE, len(words) + 1)[j + 1]
+    return mix(total)
 
-    def flush(held: list[tuple]) -> pa.RecordBatch:
-        langs = sorted({x for names, *_ in held for x in names})
-        code = np.concatenate([np.array([langs.index(x) for x in names] or [0])[c] for names, c, *_ in held])
-        word, count = (np.concatenate([h[i] for h in held]) for i in (2, 3))
-        texts = pa.concat_arrays([h[4] for h in held])
-        slices = (word & U(WORD_SLICES - 1)).astype(np.int64)
-        order, first = counted([code, slices, word], count)
-        count = np.add.reduceat(count[order], first)
-        index = order[first]
-        code, slices, word = code[index], slices[index], word[index]
-        new = np.ones(len(index), dtype=bool)
-        new[1:] = (code[1:] != code[:-1]) | (slices[1:] != slices[:-1])
-        heads = np.flatnonzero(new)
-        offsets = np.append(heads, len(index))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(slices[heads], pa.int32()), pa.array(langs).take(pa.array(code[heads])),
-                _lists(offsets, _signed(word)), _lists(offsets, pa.array(count)),
-                _lists(offsets, texts.take(pa.array(index))),
-            ],
-            names=["slice", "lang", "next", "counts", "texts"],
-        )
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for batch in chunks(batches, "text", CHUNK):
-            p = Pieces(batch, seed, 0)
-            if not len(p.hashes):
-                continue
-            order, first = counted([p.codes, p.hashes], p.hashes)
-            count = np.diff(np.append(first, len(order)))
-            index = order[first]
-            held.append((p.langs, p.codes[index], p.hashes[index], count, p.texts(index)))
-            size += len(index)
-            if size >= HELD:
-                yield flush(held)
-                held, size = [], 0
-        if held:
-            yield flush(held)
-
-    return run
+def partial_stripes(k: int, seed: int, buckets: int, bits=None, hot=None):
+    """Partial stripes of the frequent prefixes of ``k`` words, in buckets; with ``k`` = 0 of the empty one.
 
+    ``bits`` is the bit map of the frequent phrases of ``k`` words, ``hot`` the places of the prefixes
+    whose stripes are dealt to several buckets.
+    """
+    names = [*prefix_names(k), "next", "counts", *([] if k else ["texts"])]
 
-def prefix_stripes(k: int, seed: int, bits, hot, slices: tuple[int, int]):
-    """Partial stripes of the frequent prefixes of ``k`` words."""
-    cold_slices, hot_slices = slices
-
-    def of(p: Pieces, frequent: np.ndarray, crowded: np.ndarray) -> tuple:
-        """Language, prefix, slice and next word of every place where a stripe's prefix begins."""
+    def of(p: Pieces, frequent: np.ndarray | None, crowded: np.ndarray | None) -> tuple:
+        """Where a prefix begins, its words and the next word; language and bucket."""
+        if k == 0:
+            index = np.arange(len(p.hashes))
+            return index, [p.hashes], p.codes, (mix(p.hashes) % U(buckets)).astype(np.int64)
         index = np.flatnonzero(p.ahead >= k - 1)
         words = [p.at(index, j) for j in range(k + 1)]
         marks = p.marks[p.codes[index]]
@@ -206,52 +175,50 @@ def prefix_stripes(k: int, seed: int, bits, hot, slices: tuple[int, int]):
         index, marks, words = index[mine], marks[mine], [w[mine] for w in words]
         extended = (p.ahead[index] >= k) & known(frequent, phrase_slots(words[1:], marks))
         following = np.where(extended, words[k], U(OTHER))
-        place = mix(sum(w * powers(BASE, k + 1)[j + 1] for j, w in enumerate(words[:k])) + marks)
-        is_hot = np.isin(place, crowded)
-        spread = np.where(is_hot, U(hot_slices), U(cold_slices))
-        return p.codes[index], words[:k], (mix(following) % spread).astype(np.int64), following
+        place = _place(words[:k], marks)
+        part = np.where(np.isin(place, crowded), mix(following) % U(HOT_BUCKETS), U(0))
+        bucket = (mix(place + part) % U(buckets)).astype(np.int64)
+        return index, [*words[:k], following], p.codes[index], bucket
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
         langs = sorted({x for names, *_ in held for x in names})
-        code = np.concatenate([np.array([langs.index(x) for x in names] or [0])[c] for names, c, *_ in held])
-        words = [np.concatenate([h[2][j] for h in held]) for j in range(k)]
-        slices, following, count = (np.concatenate([h[i] for h in held]) for i in (3, 4, 5))
-        order, first = counted([code, *words, slices, following], count)
+        code = np.concatenate([np.array([langs.index(x) for x in names])[c] for names, c, *_ in held])
+        bucket, count = (np.concatenate([h[i] for h in held]) for i in (2, 4))
+        words = [np.concatenate([h[3][j] for h in held]) for j in range(k + 1)]
+        order, first = counted([code, bucket, *words], count)
         count = np.add.reduceat(count[order], first)
         index = order[first]
-        columns = [c[index] for c in (code, *words, slices)]
+        # By bucket and language; what is equal lies together already.
+        index_order = np.lexsort([code[index], bucket[index]])
+        index, count = index[index_order], count[index_order]
+        code, bucket = code[index], bucket[index]
         new = np.ones(len(index), dtype=bool)
-        new[1:] = False
-        for c in columns:
-            new[1:] |= c[1:] != c[:-1]
+        new[1:] = (code[1:] != code[:-1]) | (bucket[1:] != bucket[:-1])
         heads = np.flatnonzero(new)
         offsets = np.append(heads, len(index))
-        code, *words, slices = (c[heads] for c in columns)
-        return pa.RecordBatch.from_arrays(
-            [
-                *[_signed(w) for w in words], pa.array(langs).take(pa.array(code)), pa.array(slices, pa.int32()),
-                _lists(offsets, _signed(following[index])), _lists(offsets, pa.array(count)),
-            ],
-            names=[*prefix_names(k), "lang", "slice", "next", "counts"],
-        )
+        out = [pa.array(bucket[heads]), pa.array(langs).take(pa.array(code[heads]))]
+        out += [_lists(offsets, _signed(w[index])) for w in words] + [_lists(offsets, pa.array(count))]
+        if k == 0:
+            texts = pa.concat_arrays([h[5] for h in held])
+            out.append(_lists(offsets, texts.take(pa.array(index))))
+        return pa.RecordBatch.from_arrays(out, names=["bucket", "lang", *names])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.frombuffer(bits.value, dtype=U)
-        crowded = np.frombuffer(hot.value, dtype=U)
+        frequent = np.frombuffer(bits.value, dtype=U) if k else None
+        crowded = np.frombuffer(hot.value, dtype=U) if k else None
         held: list[tuple] = []
         size = 0
         for batch in chunks(batches, "text", CHUNK):
             p = Pieces(batch, seed, k)
-            if not len(p.hashes):
+            index, words, code, bucket = of(p, frequent, crowded) if len(p.hashes) else (p.hashes, [], None, None)
+            if not len(index):
                 continue
-            code, words, part, following = of(p, frequent, crowded)
-            if not len(code):
-                continue
-            order, first = counted([code, *words, part, following], code)
+            order, first = counted([code, bucket, *words], code)
             count = np.diff(np.append(first, len(order)))
-            index = order[first]
-            held.append((p.langs, code[index], [w[index] for w in words], part[index], following[index], count))
-            size += len(index)
+            one = order[first]
+            texts = None if k else p.texts(index[one])
+            held.append((p.langs, code[one], bucket[one], [w[one] for w in words], count, texts))
+            size += len(one)
             if size >= HELD:
                 yield flush(held)
                 held, size = [], 0
@@ -265,62 +232,82 @@ def prefix_names(k: int) -> list[str]:
     return [f"w{j}" for j in range(1, k + 1)]
 
 
-def _new_keys(table: pa.Table, keys: list[str]) -> np.ndarray:
-    """Whether each row's keys differ from those of the row before it."""
+def _new_keys(table: pa.Table) -> np.ndarray:
+    """Whether each row's bucket or language differs from that of the row before it."""
     new = np.ones(table.num_rows, dtype=bool)
     new[1:] = False
-    for c in keys:
+    for c in ("bucket", "lang"):
         column = table[c].combine_chunks()
         if len(column) > 1:
             new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
     return new
 
 
-def _entries(table: pa.Table) -> int:
-    return int(pc.sum(pc.list_value_length(table["next"])).as_py() or 0)
-
-
-def merge_rows(table: pa.Table, keys: list[str], lists: list[str], least: int | None = None) -> pa.Table:
-    """Partial stripes with equal ``keys``, which lie next to each other, merged elementwise.
-
-    With ``least`` the merged stripes are final: the sum of all entries is added as ``total``, and the
-    entries below ``least`` and OTHER go.
-    """
+def _summed(table: pa.Table, k: int) -> tuple[np.ndarray, ...]:
+    """The distinct entries of rows that lie next to each other by bucket and language: first row of the group,
+    the words, the count and the texts of each, ordered by group, prefix and next word."""
     table = table.combine_chunks()
-    new = _new_keys(table, keys)
+    new = _new_keys(table)
     heads = np.flatnonzero(new)
     following = table["next"].combine_chunks()
     own = np.repeat(np.cumsum(new) - 1, np.diff(following.offsets.to_numpy()))
-    word = following.flatten().to_numpy()
+    words = [table[c].combine_chunks().flatten().to_numpy() for c in (*prefix_names(k), "next")]
     count = table["counts"].combine_chunks().flatten().to_numpy()
-    order = np.lexsort([word, own])
-    own, word, count = own[order], word[order], count[order]
+    prefix = own.astype(U)
+    for w in words[:-1]:
+        prefix = mix(prefix * U(31) + w.view(U) + U(1))
+    order = np.lexsort([words[-1], prefix, own])
+    own, count, words = own[order], count[order], [w[order] for w in words]
     fresh = np.ones(len(order), dtype=bool)
-    fresh[1:] = (own[1:] != own[:-1]) | (word[1:] != word[:-1])
-    kept = np.flatnonzero(fresh)
-    sums = np.add.reduceat(count, kept) if len(kept) else count
-    out = {c: table[c].combine_chunks().take(pa.array(heads)) for c in keys}
-    if least is not None:
-        total = np.zeros(len(heads), dtype=np.int64)
-        np.add.at(total, own, count)
-        out["total"] = pa.array(total)
-        strong = (sums >= least) & (word[kept] != OTHER)
-        kept, sums = kept[strong], sums[strong]
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(own[kept], minlength=len(heads)))])
-    out["next"] = _lists(offsets, pa.array(word[kept]))
-    out["counts"] = _lists(offsets, pa.array(sums))
-    if "texts" in lists:
+    fresh[1:] = own[1:] != own[:-1]
+    for w in words:
+        fresh[1:] |= w[1:] != w[:-1]
+    first = np.flatnonzero(fresh)
+    texts = None
+    if k == 0:
         texts = table["texts"].combine_chunks().flatten().take(pa.array(order))
         if len(texts) > 1:
             differs = pc.not_equal(texts[1:], texts[:-1]).to_numpy(zero_copy_only=False)
             if (differs & ~fresh[1:]).any():
                 raise ValueError("two words have the same hash: choose another seed")
-        out["texts"] = _lists(offsets, texts.take(pa.array(kept)))
-    return pa.table(out)
+        texts = texts.take(pa.array(first))
+    sums = np.add.reduceat(count, first) if len(first) else count
+    return heads[own[first]], [w[first] for w in words], sums, texts
+
 
+def merged(k: int, least: int):
+    """Stripes merged elementwise; rows come ordered by bucket and language.
 
-def merged(keys: list[str], least: int, lists: list[str]):
-    """Stripes merged elementwise; rows come ordered by ``keys``, whose equal rows are one slice."""
+    Of each stripe the sum of all entries is returned, and the entries of ``least`` and more but OTHER.
+    """
+
+    def collapsed(table: pa.Table) -> pa.Table:
+        """The rows of one bucket and language as one, nothing left out."""
+        _, words, sums, texts = _summed(table, k)
+        ends = np.array([0, len(sums)])
+        out = {c: table[c].slice(0, 1).combine_chunks() for c in ("bucket", "lang")}
+        out |= {c: _lists(ends, pa.array(w)) for c, w in zip((*prefix_names(k), "next"), words, strict=True)}
+        out["counts"] = _lists(ends, pa.array(sums))
+        return pa.table(out | ({"texts": _lists(ends, texts)} if k == 0 else {}))
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        group, words, sums, texts = _summed(table, k)
+        new = np.ones(len(sums), dtype=bool)
+        new[1:] = group[1:] != group[:-1]
+        for w in words[:-1]:
+            new[1:] |= w[1:] != w[:-1]
+        heads = np.flatnonzero(new)
+        stripe = np.cumsum(new) - 1
+        kept = np.flatnonzero((sums >= least) & (words[-1] != OTHER))
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(stripe[kept], minlength=len(heads)))])
+        out = [table["lang"].combine_chunks().take(pa.array(group[heads]))]
+        out += [pa.array(w[heads]) for w in words[:-1]]
+        out.append(pa.array(np.add.reduceat(sums, heads) if len(heads) else sums))
+        out += [_lists(offsets, pa.array(words[-1][kept])), _lists(offsets, pa.array(sums[kept]))]
+        if k == 0:
+            out.append(_lists(offsets, texts.take(pa.array(kept))))
+        names = ["lang", *prefix_names(k), "total", "next", "counts", *([] if k else ["texts"])]
+        return pa.RecordBatch.from_arrays(out, names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[pa.RecordBatch] = []
@@ -332,16 +319,17 @@ def merged(keys: list[str], least: int, lists: list[str]):
             size += len(batch.column("next").flatten())
             if size < limit:
                 continue
-            # The rows of the last key may go on: they stay, merged to their distinct words.
+            # The last bucket's rows may go on: they stay, merged to their distinct entries.
             table = pa.Table.from_batches(pending)
-            cut = int(np.flatnonzero(_new_keys(table, keys))[-1])
+            cut = int(np.flatnonzero(_new_keys(table))[-1])
             if cut:
-                yield from merge_rows(table.slice(0, cut), keys, lists, least).to_batches()
-            rest = merge_rows(table.slice(cut), keys, lists)
-            pending, size = rest.to_batches(), _entries(rest)
+                yield solve(table.slice(0, cut))
+            rest = collapsed(table.slice(cut))
+            pending = rest.to_batches()
+            size = len(rest["next"].combine_chunks().flatten())
             limit = max(HELD, 2 * size)
         if pending:
-            yield from merge_rows(pa.Table.from_batches(pending), keys, lists, least).to_batches()
+            yield solve(pa.Table.from_batches(pending))
 
     return run
 
@@ -366,11 +354,11 @@ def bit_map(phrases: DataFrame, k: int) -> bytes:
 
 
 def hot_places(phrases: DataFrame, k: int, n: int) -> bytes:
-    """The prefixes with more than 1 / HOT of all words, at most HOT of them, if more than SLICE."""
-    rows = phrases.where(F.col("a") > max(SLICE, n // HOT)).select("lang", *prefix_names(k)).collect()
+    """The places of the prefixes with more than 1 / HOT of all words: at most HOT of them."""
+    rows = phrases.where(F.col("a") > n // HOT).select("lang", *prefix_names(k)).collect()
     marks = np.array([zlib.crc32(r["lang"].encode()) for r in rows], dtype=U)
     words = [np.array([r[c] for r in rows], dtype=np.int64).view(U) for c in prefix_names(k)]
-    return mix(sum(w * powers(BASE, k + 1)[j + 1] for j, w in enumerate(words)) + marks).tobytes()
+    return _place(words, marks).tobytes()
 
 
 def phrases(
@@ -394,31 +382,26 @@ def phrases(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text")
     )
 
-    def together(partial: DataFrame, label: str) -> DataFrame:
-        """Partial stripes merged: their keys, the sum of all entries, and the entries that are left."""
-        lists = [c for c in ("next", "counts", "texts") if c in partial.columns]
-        keys = [c for c in partial.columns if c not in lists]
-        fields = [f"{f.name} {f.dataType.simpleString()}" for f in partial.schema]
-        schema = ", ".join([*fields[: len(keys)], "total bigint", *fields[len(keys) :]])
-        dealt = partial.repartition(tasks, *keys).sortWithinPartitions(*keys)
-        return stored(dealt.mapInArrow(merged(keys, least, lists), schema), label)
+    def together(partial: DataFrame, k: int, schema: str, label: str) -> DataFrame:
+        dealt = partial.repartition(tasks, "bucket", "lang").sortWithinPartitions("bucket", "lang")
+        return stored(dealt.mapInArrow(merged(k, least), schema), label)
 
-    word_rows = together(texts.mapInArrow(word_stripes(seed), _WORDS), "words")
+    word_rows = together(texts.mapInArrow(partial_stripes(0, seed, BUCKETS), _WORDS), 0, _MERGED_WORDS, "words")
     sums = word_rows.groupBy("lang").agg(F.sum("total").cast("bigint").alias("n"))
     n = sums.agg(F.sum("n")).first()[0] or 0
     entries = word_rows.select("lang", F.explode(F.arrays_zip("next", "counts", "texts")).alias("e"))
     vocabulary = entries.select("lang", F.col("e.next").alias("w1"), F.col("e.texts").alias("word"))
     known_by = {1: entries.select("lang", F.col("e.next").alias("w1"), F.col("e.counts").alias("a"))}
-    followers = known_by[1].count()
+    buckets = max(BUCKETS, n // ENTRIES)
     totals: dict[int, DataFrame] = {}
     widest: dict[int, DataFrame] = {}
     for k in range(1, longest):
         bits = spark.sparkContext.broadcast(bit_map(known_by[k], k))
         hot = spark.sparkContext.broadcast(hot_places(known_by[k], k, n))
-        slices = (1 + min(followers, n // HOT) // SLICE, HOT_SLICES + followers // SLICE)
         names = prefix_names(k)
-        schema = _STRIPE.format("".join(f"{w} bigint, " for w in names))
-        rows = together(texts.mapInArrow(prefix_stripes(k, seed, bits, hot, slices), schema), f"stripes{k}")
+        schema = _STRIPES.format("".join(f"{w} array<bigint>, " for w in names))
+        rows = texts.mapInArrow(partial_stripes(k, seed, buckets, bits, hot), schema)
+        rows = together(rows, k, _MERGED.format("".join(f"{w} bigint, " for w in names)), f"stripes{k}")
         totals[k] = rows.groupBy("lang", *names).agg(F.sum("total").cast("bigint").alias("f"))
         widest[k] = rows.groupBy("lang", *names).agg(F.max(F.array_max("counts")).alias("longer"))
         found = rows.select("lang", *names, F.explode(F.arrays_zip("next", "counts")).alias("e"))

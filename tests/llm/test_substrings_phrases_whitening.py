@@ -148,8 +148,7 @@ def phrase_rows():
 @pytest.mark.parametrize(("longest", "least", "top", "crowded"), [(3, 10, 2000, False), (3, 3, 7, True), (4, 5, 50, False), (2, 1, 2000, True)])
 def test_phrases_against_plain_counts(spark, monkeypatch, longest, least, top, crowded):
     if crowded:
-        # Every frequent prefix is cut into many slices.
-        monkeypatch.setattr(phrases, "SLICE", 3)
+        # Stripes of frequent prefixes are dealt to several buckets.
         monkeypatch.setattr(phrases, "HOT", 200)
     rows = phrase_rows()
     found = phrases.phrases(documents(spark, rows), longest=longest, least=least, top=top).collect()
@@ -158,41 +157,37 @@ def test_phrases_against_plain_counts(spark, monkeypatch, longest, least, top, c
 
 
 def test_stripes_merge_in_small_steps(monkeypatch):
-    """Slices that go on over many batches, and slices larger than what a task holds."""
+    """Buckets that go on over many batches, and buckets larger than what a task holds."""
     rng = random.Random(8)
     monkeypatch.setattr(phrases, "HELD", 20)
     rows = sorted(
-        (rng.randrange(4), "en", [(rng.randrange(-40, 40), rng.randrange(1, 5)) for _ in range(rng.randrange(1, 9))]) for _ in range(300)
+        (rng.randrange(4), "en", [(rng.randrange(3), rng.randrange(-20, 20), rng.randrange(1, 5)) for _ in range(rng.randrange(1, 9))])
+        for _ in range(300)
     )
     wanted = defaultdict(Counter)
-    for key, _, pairs in rows:
-        for word, n in pairs:
-            wanted[key][word] += n
+    for key, _, entries in rows:
+        for prefix, word, n in entries:
+            wanted[key, prefix][word] += n
 
     def batch(part):
-        lists = [[dict(next=p[0], counts=p[1]) for p in r[2]] for r in part]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[0] for r in part]), pa.array([r[1] for r in part]), pa.array([[x["next"] for x in a] for a in lists], pa.list_(pa.int64())),
-                pa.array([[x["counts"] for x in a] for a in lists], pa.list_(pa.int64())),
-            ],
-            names=["w1", "lang", "next", "counts"],
-        )
-
-    batches = [batch(rows[i : i + 7]) for i in range(0, len(rows), 7)]
-    out = list(phrases.merged(["w1", "lang"], 15, ["next", "counts"])(batches))
+        columns = {"bucket": [r[0] for r in part], "lang": [r[1] for r in part]}
+        for i, name in enumerate(("w1", "next", "counts")):
+            columns[name] = pa.array([[e[i] for e in r[2]] for r in part], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_pydict(columns)
+
+    out = list(phrases.merged(1, 15)(batch(rows[i : i + 7]) for i in range(0, len(rows), 7)))
     got = [r for b in out for r in b.to_pylist()]
-    assert [r["w1"] for r in got] == sorted(wanted)
-    for r in got:
-        assert r["total"] == sum(wanted[r["w1"]].values())
-        kept = {w: n for w, n in wanted[r["w1"]].items() if n >= 15 and w != phrases.OTHER}
-        assert dict(zip(r["next"], r["counts"], strict=True)) == kept
+    assert len(got) == len(wanted)
+    kept = Counter()
+    for (_, prefix), words in wanted.items():
+        kept[prefix, sum(words.values()), tuple(sorted((w, n) for w, n in words.items() if n >= 15 and w != phrases.OTHER))] += 1
+    assert kept == Counter((r["w1"], r["total"], tuple(sorted(zip(r["next"], r["counts"], strict=True)))) for r in got)
 
 
 def test_two_words_with_one_hash_are_an_error():
-    batch = pa.RecordBatch.from_pydict({"slice": [0, 0], "lang": ["en", "en"], "next": [[5], [5]], "counts": [[1], [1]], "texts": [["a"], ["b"]]})
+    batch = pa.RecordBatch.from_pydict({"bucket": [0, 0], "lang": ["en", "en"], "next": [[5], [5]], "counts": [[1], [1]], "texts": [["a"], ["b"]]})
     with pytest.raises(ValueError, match="same hash"):
-        list(phrases.merged(["slice", "lang"], 1, ["next", "counts", "texts"])([batch]))
+        list(phrases.merged(0, 1)([batch]))
 
 
 def test_phrases_of_nothing_and_of_a_long_text(spark):
