@@ -15,6 +15,10 @@ def new_run_id() -> str:
     return uuid.uuid4().hex[:8]
 
 
+def _row_in_partition() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def batch_name(run_id: str, batch_size: int) -> Column:
     """Name of a row's block of ``batch_size`` rows: run, partition and number within it.
 
@@ -24,7 +28,7 @@ def batch_name(run_id: str, batch_size: int) -> Column:
     """
     row_id = F.monotonically_increasing_id()
     partition = F.shiftright(row_id, 33)
-    block = F.floor(row_id.bitwiseAND(F.lit((1 << 33) - 1)) / batch_size)
+    block = F.floor(_row_in_partition() / batch_size)
     return F.when(partition == 0, F.format_string("%s_%04d", F.lit(run_id), block)).otherwise(
         F.format_string("%s_%d_%04d", F.lit(run_id), partition, block)
     )
@@ -38,13 +42,18 @@ def stamp_lineage(
     full_load: bool,
     batch_size: int = 1000,
     batch_label: str | None = None,
+    mark_batches: str | None = None,
 ) -> DataFrame:
-    """Add the six lineage columns; ``batch_label`` replaces the block number (bulk loads)."""
+    """Add the six lineage columns; ``batch_label`` replaces the block number (bulk loads).
+
+    ``mark_batches`` names a further column that is true in the first row of each block.
+    """
     now = utc(now)
     if batch_label is None:
         batch = batch_name(run_id, batch_size)
     else:
         batch = F.lit(f"{run_id}_{batch_label}")
+    marks = {mark_batches: _row_in_partition() % batch_size == 0} if mark_batches else {}
     return df.withColumns(
         {
             "_ingested_at": F.lit(now.isoformat()),
@@ -54,4 +63,5 @@ def stamp_lineage(
             "_source": F.lit(source),
             "_is_full_load": F.lit(full_load),
         }
+        | marks
     )

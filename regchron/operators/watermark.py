@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from regchron.functions.columns import iso_date, timestamp
-from regchron.schema import INITIAL_WATERMARK, WATERMARK_SCHEMA, WATERMARK_SOURCE
+from regchron.schema import CANTONS, INITIAL_WATERMARK, WATERMARK_SCHEMA, WATERMARK_SOURCE
 
 
 def current_watermark(
@@ -24,6 +25,15 @@ def read_watermark(log: DataFrame, source: str = WATERMARK_SOURCE) -> str:
     return current_watermark(log, source).first()["watermark_date"].isoformat()
 
 
+def greatest_date(column: str | Column = "gdat", skip_unreadable: bool = False) -> Column:
+    """Aggregate: the greatest date text of the rows."""
+    text = F.col(column) if isinstance(column, str) else column
+    usable = text != ""
+    if skip_unreadable:
+        usable = usable & iso_date(text).isNotNull()
+    return F.max(F.when(usable, text))
+
+
 def safe_watermark(
     df: DataFrame,
     column: str = "gdat",
@@ -37,10 +47,7 @@ def safe_watermark(
     there is none, the previous mark stays. With ``skip_unreadable`` text that is no date is
     left out, so that one such value does not hold the mark back.
     """
-    usable = F.col(column) != ""
-    if skip_unreadable:
-        usable = usable & iso_date(F.col(column)).isNotNull()
-    greatest = F.max(F.when(usable, F.col(column)))
+    greatest = greatest_date(column, skip_unreadable)
     return df.agg(
         F.coalesce(
             F.date_sub(iso_date(greatest), buffer_days), F.lit(previous).cast("date")
@@ -70,6 +77,40 @@ def advance_watermark(
     )
 
 
+def advance_watermarks(log: DataFrame, newest: DataFrame, now: datetime, buffer_days: int = 1) -> DataFrame:
+    """The rows to append for several sources at once: (source, gdat) with their greatest date text.
+
+    As with one source, a mark is the date less the buffer, text that is no date moves nothing,
+    and a mark moves only forward.
+    """
+    marks = log.groupBy("source").agg(F.max("watermark_date").alias("known"))
+    candidate = F.date_sub(iso_date(F.col("gdat")), buffer_days)
+    known = F.coalesce("known", F.lit(INITIAL_WATERMARK).cast("date"))
+    return (
+        newest.join(marks, "source", "left")
+        .withColumn("watermark_date", candidate)
+        .filter(F.col("watermark_date") > known)
+        .select("source", "watermark_date", timestamp(now).alias("recorded_at"))
+    )
+
+
+def canton_source(canton: str, source: str = WATERMARK_SOURCE) -> str:
+    """Name under which the log keeps a canton's own mark."""
+    return f"{source}/{canton.upper()}"
+
+
+def canton_marks(log: DataFrame, source: str = WATERMARK_SOURCE, cantons: Sequence[str] = tuple(CANTONS)) -> DataFrame:
+    """(gdekt, watermark_date): the newest mark of each canton that has one.
+
+    At most one row per known canton: names outside the fixed set are left out.
+    """
+    names = {canton_source(c, source): c.upper() for c in cantons}
+    pairs = [F.lit(x) for pair in names.items() for x in pair]
+    marks = log.filter(F.col("source").isin(list(names)))
+    canton = F.element_at(F.create_map(*pairs), F.col("source"))
+    return marks.groupBy(canton.alias("gdekt")).agg(F.max("watermark_date").alias("watermark_date"))
+
+
 def watermark_rows(spark: SparkSession, rows: list[tuple[str, date, datetime]]) -> DataFrame:
     """Watermark log rows from values on the driver."""
     return spark.createDataFrame(rows, WATERMARK_SCHEMA)
@@ -89,6 +130,26 @@ def changed_since(df: DataFrame, watermark: date | str | None, column: str = "gd
     return df.filter(newer | F.col(column).isNull())
 
 
+def changed_since_marks(
+    df: DataFrame, marks: DataFrame, default: date | str, column: str = "gdat", canton: str = "gdekt"
+) -> DataFrame:
+    """Rows mutated after their canton's mark; a canton without one goes by ``default``.
+
+    ``marks`` holds (gdekt, watermark_date), at most one row per canton, and is broadcast for
+    that reason. The earliest of all marks is a literal as well, which reaches the scan. Text is
+    compared as in ``changed_since``, and rows without a date stay in.
+    """
+    found = marks.select(F.col("gdekt").alias("_canton"), F.col("watermark_date").cast("string").alias("_mark"))
+    least = found.agg(F.min("_mark").alias("m")).first()["m"]
+    earliest = str(default) if least is None else min(least, str(default))
+    rows = changed_since(df, earliest, column)
+    kind = dict(df.dtypes)[column]
+    joined = rows.join(F.broadcast(found), F.col(canton) == F.col("_canton"), "left")
+    mark = F.coalesce("_mark", F.lit(str(default)))
+    newer = F.col(column) > (mark if kind == "string" else mark.cast(kind))
+    return joined.filter(newer | F.col(column).isNull()).drop("_canton", "_mark")
+
+
 def in_cantons(df: DataFrame, cantons: str | list[str] | None, column: str = "gdekt") -> DataFrame:
     """Rows of the given cantons; all rows if none is named."""
     if not cantons:

@@ -8,7 +8,7 @@ reads counts.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 from typing import NamedTuple
 
@@ -20,12 +20,15 @@ from regchron.operators.quality import report, report_by_check, run_checks
 from regchron.operators.replay import scd2_replay
 from regchron.operators.staging import build_staging, carry_forward, newest_state
 from regchron.operators.watermark import (
-    advance_watermark,
+    advance_watermarks,
+    canton_marks,
+    canton_source,
     changed_since,
+    changed_since_marks,
+    greatest_date,
     in_cantons,
     max_mutation,
     read_watermark,
-    safe_watermark,
 )
 from regchron.plans import gold, profile
 from regchron.schema import (
@@ -35,13 +38,14 @@ from regchron.schema import (
     REGISTRY_COLUMNS,
     RUN_SCHEMA,
     WATERMARK_SCHEMA,
+    WATERMARK_SOURCE,
     bulk_columns,
 )
 from regchron.sources.delimited import canton_paths, read_records_csv, read_registry_tsv
 from regchron.sources.store import HistoryStore
-from regchron.sources.tables import append_bronze, ensure_tables, path_exists, read_bronze, write_table
+from regchron.sources.tables import ensure_tables, path_exists, publish_run, read_bronze, write_table
 from regchron.sources.xml import read_registry_xml, read_response_files
-from regchron.streaming.load_once import load_files_once
+from regchron.streaming.load_once import Run, load_files_once
 
 
 def open_bronze(spark: SparkSession, base: str) -> DataFrame:
@@ -60,7 +64,10 @@ def open_watermark(spark: SparkSession, base: str) -> DataFrame:
 
 
 class Load(NamedTuple):
-    """A load of the log: when, from where, the cantons it holds in full, the columns it fills."""
+    """A load of the log: when, from where, the cantons it holds in full, the columns it fills.
+
+    ``records`` and ``keyed`` count its rows and those with a key, where that is known.
+    """
 
     run_id: str
     loaded_at: datetime
@@ -68,53 +75,115 @@ class Load(NamedTuple):
     full_load: bool
     cantons: tuple[str, ...]
     columns: tuple[str, ...]
+    records: int | None = None
+    keyed: int | None = None
+
 
+_LOGS = ("bronze", "bronze_bulk")
+_CODES = [c.upper() for c in CANTONS]
 
-def _known_cantons(rows: DataFrame) -> list[str]:
-    """Cantons among the rows: of a fixed set of codes, so that unclean values cannot add up."""
-    known = rows.filter(F.col("gdekt").isin([c.upper() for c in CANTONS]))
-    return sorted(r["gdekt"] for r in known.select("gdekt").distinct().collect())
 
+def known_cantons() -> Column:
+    """Aggregate: cantons among the rows, of a fixed set of codes, so that unclean values cannot add up."""
+    return F.collect_set(F.when(F.col("gdekt").isin(_CODES), F.col("gdekt")))
 
-def _note_run(spark: SparkSession, base: str, load: Load) -> None:
+
+def _note_run(spark: SparkSession, base: str, load: Load, done: bool) -> None:
     row = (
-        load.run_id, load.loaded_at.isoformat(), load.source, load.full_load,
-        ",".join(load.cantons), ",".join(load.columns),
+        load.run_id, utc(load.loaded_at).isoformat(), load.source, load.full_load,
+        ",".join(sorted(load.cantons)), ",".join(load.columns), load.records, load.keyed, done,
     )
-    write_table(spark.createDataFrame([row], RUN_SCHEMA), f"{base}/runs")
+    write_table(spark.createDataFrame([row], RUN_SCHEMA).coalesce(1), f"{base}/runs")
+
+
+def run_notes(spark: SparkSession, base: str) -> DataFrame:
+    """One row per run: the note that it is done, or else the one that it was begun."""
+    if not path_exists(spark, f"{base}/runs"):
+        return spark.createDataFrame([], RUN_SCHEMA)
+    rows = spark.read.schema(RUN_SCHEMA).parquet(f"{base}/runs")
+    rows = rows.withColumn("done", F.coalesce("done", F.lit(True)))
+    values = F.struct(*[c for c in rows.columns if c != "run_id"])
+    return rows.groupBy("run_id").agg(F.max_by(values, F.col("done").cast("int")).alias("note")).select("run_id", "note.*")
+
+
+def _loads(notes: DataFrame) -> list[Load]:
+    """Notes as loads, oldest first."""
+    loads = [
+        Load(
+            r["run_id"], datetime.fromisoformat(r["loaded_at"]), r["source"], r["full_load"],
+            tuple(filter(None, (r["cantons"] or "").split(","))), tuple(r["columns"].split(",")),
+            r["records"], r["keyed"],
+        )
+        for r in notes.collect()
+    ]
+    return sorted(loads, key=lambda x: (x.loaded_at, x.run_id))
+
+
+def reconcile_runs(spark: SparkSession, base: str) -> list[str]:
+    """Finish the notes of runs that were published, but whose job died before it noted that.
+
+    A run is published as one partition of a log, so if the partition is there the run is whole.
+    A run without it was only begun: its rows come with the next load.
+    """
+    begun = _loads(run_notes(spark, base).filter(~F.col("done")))
+    found = []
+    for load in begun:
+        day = load.loaded_at.date().isoformat()
+        logs = [f"{base}/{log}" for log in _LOGS]
+        there = [x for x in logs if path_exists(spark, f"{x}/_ingestion_date={day}/_run_id={load.run_id}")]
+        if there:
+            rows = read_bronze(spark, *there).filter(F.col("_run_id") == load.run_id)
+            seen = rows.agg(F.count("*").alias("n"), F.count(KEY).alias("keyed"), known_cantons().alias("c")).first()
+            cantons = tuple(seen["c"]) if load.full_load else ()
+            _note_run(spark, base, load._replace(cantons=cantons, records=seen["n"], keyed=seen["keyed"]), True)
+            found.append(load.run_id)
+    return found
+
+
+def _unnoted_loads(spark: SparkSession, base: str) -> list[Load]:
+    """Loads of a log that was put there without notes; they count as filling all columns."""
+    log = open_bronze(spark, base)
+    known = F.when(F.col("gdekt").isin(_CODES), F.col("gdekt"))
+    found = log.groupBy("_run_id", "_ingested_at", "_source", "_is_full_load", known.alias("gdekt")).count()
+    loads: dict[str, Load] = {}
+    for r in found.collect():
+        at = datetime.fromisoformat(r["_ingested_at"])
+        old = loads.get(r["_run_id"], Load(r["_run_id"], at, r["_source"], False, (), tuple(REGISTRY_COLUMNS)))
+        new = (r["gdekt"],) if r["_is_full_load"] and r["gdekt"] else ()
+        loads[r["_run_id"]] = old._replace(
+            loaded_at=max(at, old.loaded_at),
+            full_load=old.full_load or bool(r["_is_full_load"]),
+            cantons=tuple(sorted({*old.cantons, *new})),
+        )
+    return sorted(loads.values(), key=lambda x: (x.loaded_at, x.run_id))
 
 
 def open_runs(spark: SparkSession, base: str) -> list[Load]:
-    """All loads, oldest first, from the small table written at each load.
+    """All loads, oldest first, from the small table of notes; unfinished notes are finished first.
 
     A log that was put there in another way has none; its loads are listed from the log, by
-    canton, and count as filling all columns.
+    canton.
     """
-    if path_exists(spark, f"{base}/runs"):
-        rows = spark.read.schema(RUN_SCHEMA).parquet(f"{base}/runs").collect()
-        loads = [
-            Load(
-                r["run_id"], datetime.fromisoformat(r["loaded_at"]), r["source"], r["full_load"],
-                tuple(filter(None, (r["cantons"] or "").split(","))), tuple(r["columns"].split(",")),
-            )
-            for r in rows
-        ]
-    else:
-        log = open_bronze(spark, base)
-        known = F.when(F.col("gdekt").isin([c.upper() for c in CANTONS]), F.col("gdekt"))
-        found = log.groupBy("_run_id", "_ingested_at", "_source", "_is_full_load", known.alias("gdekt")).count()
-        loads_by: dict[str, Load] = {}
-        for r in found.collect():
-            at = datetime.fromisoformat(r["_ingested_at"])
-            old = loads_by.get(r["_run_id"], Load(r["_run_id"], at, r["_source"], False, (), tuple(REGISTRY_COLUMNS)))
-            new = (r["gdekt"],) if r["_is_full_load"] and r["gdekt"] else ()
-            loads_by[r["_run_id"]] = old._replace(
-                loaded_at=max(at, old.loaded_at),
-                full_load=old.full_load or bool(r["_is_full_load"]),
-                cantons=tuple(sorted({*old.cantons, *new})),
-            )
-        loads = list(loads_by.values())
-    return sorted(loads, key=lambda x: (x.loaded_at, x.run_id))
+    if not path_exists(spark, f"{base}/runs"):
+        return _unnoted_loads(spark, base)
+    reconcile_runs(spark, base)
+    return _loads(run_notes(spark, base).filter("done"))
+
+
+def pending_runs(spark: SparkSession, base: str) -> list[Load]:
+    """The loads that the history does not hold yet, oldest first."""
+    merged = open_history(spark, base).merged_runs()
+    if not path_exists(spark, f"{base}/runs"):
+        done = {r["run_id"] for r in merged.collect()}
+        return [load for load in _unnoted_loads(spark, base) if load.run_id not in done]
+    reconcile_runs(spark, base)
+    return _loads(run_notes(spark, base).filter("done").join(merged, "run_id", "left_anti"))
+
+
+def _find_run(spark: SparkSession, base: str, run_id: str) -> Load | None:
+    if not path_exists(spark, f"{base}/runs"):
+        return next((x for x in _unnoted_loads(spark, base) if x.run_id == run_id), None)
+    return next(iter(_loads(run_notes(spark, base).filter(F.col("run_id") == run_id))), None)
 
 
 def bronze_ingest(
@@ -131,32 +200,59 @@ def bronze_ingest(
     batch_size: int = 1000,
     move_watermark: bool = True,
     skip_unreadable: bool = False,
+    marks: str = "source",
 ) -> dict:
     """Append the registry rows that changed since the watermark, and move the watermark.
 
     A full load takes all rows. The new mark is the greatest mutation date written less
     ``buffer_days``, so that the last, possibly incomplete day is read again; it moves only
-    forward and only if rows were written. A load of some ``cantons`` leaves it where it is, as
-    the other cantons' changes up to that day are still to come.
+    forward and only if rows were written. With one mark per source (``marks="source"``) a load
+    of some ``cantons`` leaves it where it is, as the other cantons' changes up to that day are
+    still to come. With ``marks="canton"`` each canton has a mark of its own, which any load of
+    its rows moves; a canton without one goes by the source's mark.
+
+    The run is noted as begun before its rows are published, as one partition of the log, and as
+    done after that. A job that dies in between loses nothing: see ``reconcile_runs``.
     """
+    if marks not in ("source", "canton"):
+        raise ValueError(f"marks is source or canton, not {marks}")
     began = time.monotonic()
     run_id = run_id or new_run_id()
     ensure_tables(spark, base)
-    since = None if full_load else read_watermark(open_watermark(spark, base))
-    wanted = in_cantons(changed_since(rows, since), cantons)
-    stamped = stamp_lineage(wanted, run_id, now, source, full_load, batch_size)
-    target = append_bronze(stamped, f"{base}/bronze", dry_run)
-    if not dry_run:
-        target = read_bronze(spark, f"{base}/bronze").filter(F.col("_run_id") == run_id)
-    counted = target.agg(
-        F.count("*").alias("written"), F.count_distinct("_batch_id").alias("batches")
-    ).first()
-    if counted["written"] and not dry_run:
+    log = open_watermark(spark, base)
+    since = None if full_load else read_watermark(log)
+    if full_load or marks == "source":
+        changed = changed_since(rows, since)
+    else:
+        changed = changed_since_marks(rows, canton_marks(log), since)
+    wanted = in_cantons(changed, cantons)
+    stamped = stamp_lineage(wanted, run_id, now, source, full_load, batch_size, mark_batches="_starts_batch")
+    if dry_run:
+        counted = stamped.agg(F.count("*").alias("written"), F.count_if("_starts_batch").alias("batches")).first().asDict()
+    else:
         filled = tuple(c for c in REGISTRY_COLUMNS if c in rows.columns)
-        loaded = tuple(_known_cantons(target)) if full_load else ()
-        _note_run(spark, base, Load(run_id, utc(now), source, full_load, loaded, filled))
-        if move_watermark and not cantons:
-            _move_watermark(spark, base, target, now, since, buffer_days, skip_unreadable)
+        load = Load(run_id, utc(now), source, full_load, (), filled)
+        _note_run(spark, base, load, done=False)
+        measures = [
+            F.count_if("_starts_batch").alias("batches"),
+            known_cantons().alias("cantons"),
+            greatest_date("gdat", skip_unreadable).alias("newest"),
+        ]
+        by_canton = {c: f"newest_{c}" for c in _CODES} if marks == "canton" else {}
+        for code, name in by_canton.items():
+            own = F.when(F.col("gdekt") == code, F.col("gdat"))
+            measures.append(greatest_date(own, skip_unreadable).alias(name))
+        counted = publish_run(stamped, f"{base}/bronze", measures, ["_starts_batch"])
+        if counted["written"]:
+            held = tuple(counted["cantons"]) if full_load else ()
+            _note_run(
+                spark, base, load._replace(cantons=held, records=counted["written"], keyed=counted["keyed"]), done=True
+            )
+            newest = {c: counted[name] for c, name in by_canton.items() if counted[name]}
+            sources = {canton_source(c): date for c, date in newest.items()} if move_watermark else {}
+            if move_watermark and not cantons:
+                sources[WATERMARK_SOURCE] = counted["newest"]
+            move_marks(spark, base, sources, now, buffer_days)
     return {
         "run_id": run_id,
         "since_date": since,
@@ -167,21 +263,13 @@ def bronze_ingest(
     }
 
 
-def _move_watermark(
-    spark: SparkSession,
-    base: str,
-    written: DataFrame,
-    now: datetime,
-    since: str | None,
-    buffer_days: int,
-    skip_unreadable: bool,
-) -> None:
-    log = open_watermark(spark, base)
-    previous = since or read_watermark(log)
-    mark = safe_watermark(written, "gdat", buffer_days, previous, skip_unreadable).first()["watermark_date"]
-    row = advance_watermark(log, mark, now).collect()
-    if row:
-        write_table(spark.createDataFrame(row, WATERMARK_SCHEMA), f"{base}/watermark")
+def move_marks(spark: SparkSession, base: str, newest: dict[str, str | None], now: datetime, buffer_days: int = 1) -> None:
+    """Move the mark of each source to its greatest mutation date less the buffer, forward only."""
+    if newest:
+        found = spark.createDataFrame(list(newest.items()), "source string, gdat string")
+        rows = advance_watermarks(open_watermark(spark, base), found, now, buffer_days).collect()
+        if rows:
+            write_table(spark.createDataFrame(rows, WATERMARK_SCHEMA).coalesce(1), f"{base}/watermark")
 
 
 def bronze_from_responses(
@@ -223,25 +311,44 @@ def bronze_bulk(
     now: datetime,
     canton: str,
     layout: str = "{canton}",
+    merge: bool = False,
+    on_step: Callable[[str, str], None] | None = None,
     **options,
 ) -> dict:
     """Bulk load of a canton's extract files that were not loaded before.
 
-    Such a load is partial; ``full_load=True`` says that the new files are the whole canton.
+    Such a load is partial; ``full_load=True`` says that the new files are the whole canton. The
+    files found are one run: begun, published, noted and, with ``merge``, merged into the
+    history, each step exactly once even if the job dies on the way and is started again.
     """
     began = time.monotonic()
     name = canton.lower()
     src = canton_paths(extracts, name, layout)[0]
+    full, source = options.get("full_load", False), options.get("source", "gwr_zip")
+    filled = tuple(options.get("names") or bulk_columns())
+
+    def note_of(run: Run) -> Load:
+        held = tuple(run.counts.get("cantons", ())) if full else ()
+        counts = (run.counts.get("written"), run.counts.get("keyed"))
+        return Load(run.run_id, run.loaded_at, source, full, held, filled, *counts)
+
+    def begin(run: Run) -> None:
+        if _find_run(spark, base, run.run_id) is None:
+            _note_run(spark, base, note_of(run), done=False)
+
+    def note(run: Run) -> None:
+        if run.records:
+            _note_run(spark, base, note_of(run), done=True)
+
+    def merge_run(run: Run) -> None:
+        if run.records:
+            silver_pending(spark, base, utc(now), only=run.run_id)
+
     loaded = load_files_once(
-        spark, src, f"{base}/bronze_bulk", f"{base}/checkpoints/bulk-{name}", now, **options
-    )
-    if loaded["records"]:
-        full = options.get("full_load", False)
-        mine = read_bronze(spark, f"{base}/bronze_bulk").filter(F.col("_run_id") == loaded["run_id"])
-        cantons = tuple(_known_cantons(mine)) if full else ()
-        filled = tuple(options.get("names") or bulk_columns())
-        source = options.get("source", "gwr_zip")
-        _note_run(spark, base, Load(loaded["run_id"], utc(now), source, full, cantons, filled))
+        spark, src, f"{base}/bronze_bulk", f"{base}/checkpoints/bulk-{name}", now,
+        measures=[known_cantons().alias("cantons")], begin=begin, note=note, on_step=on_step or (lambda step, run_id: None),
+        **({"merge": merge_run} if merge else {}), **options,
+    )
     return loaded | {"kanton": name.upper(), "elapsed_s": round(time.monotonic() - began, 1)}
 
 
@@ -268,37 +375,41 @@ def silver(
     loaded = open_bronze(spark, base).filter(F.col("_run_id") == run_id)
     rows = loaded.filter(F.col(KEY).isNotNull())
     if load is None:
-        load = next((x for x in open_runs(spark, base) if x.run_id == run_id), None)
+        load = _find_run(spark, base, run_id)
     if delete_scope == "auto":
         delete_scope = _in_cantons(load.cantons if load and load.full_load else ())
+    # Counted when the run was written; else from the footers of its files.
+    records = load.records if load and load.records is not None else loaded.count()
+    empty = load.keyed == 0 if load and load.keyed is not None else rows.isEmpty()
     store = open_history(spark, base)
+    touched = store.touched(rows, records)
     staging = build_staging(rows, tie_break=newest_state() if tie_break is None else tie_break)
+    staging = store.dealt(staging, records)
     if load is not None:
-        staging = carry_forward(staging, store.current(), load.columns)
+        staging = carry_forward(staging, store.current(touched), load.columns)
     counts = store.merge(
         staging,
         now,
         delete_scope,
         compare,
-        staging_empty=rows.isEmpty(),
-        # The run is a partition, so its rows are counted from the files' footers.
-        staging_rows=loaded.count(),
+        staging_empty=empty,
+        staging_rows=records,
         run_id=run_id,
+        touched=touched,
+        dealt=True,
     )
     return counts | {"run_id": run_id, "elapsed_s": round(time.monotonic() - began, 1)}
 
 
-def silver_pending(spark: SparkSession, base: str, now: datetime, **options) -> list[dict]:
+def silver_pending(spark: SparkSession, base: str, now: datetime, only: str | None = None, **options) -> list[dict]:
     """Merge all runs that are in the log and not in the history yet, oldest first.
 
     The last one is merged as of ``now``, those before as of their load, and each later than
-    the one before.
+    the one before. ``only`` names one of them.
     """
-    store = open_history(spark, base)
-    commits = store.commits()
-    done = store.merged_runs()
-    last = datetime.fromisoformat(commits[-1]["now"]) if commits else datetime.min
-    pending = [load for load in open_runs(spark, base) if load.run_id not in done]
+    head = open_history(spark, base).head()
+    last = datetime.fromisoformat(head["now"]) if head else datetime.min
+    pending = [load for load in pending_runs(spark, base) if only in (None, load.run_id)]
     merged = []
     for position, load in enumerate(pending):
         moment = utc(now) if position == len(pending) - 1 else load.loaded_at
@@ -346,7 +457,9 @@ def rebuild_history(
         delete_missing=bool(delete_missing),
         scopes=scopes,
     )
-    open_history(spark, base).replace(history, now, [load.run_id for load in loads])
+    counts = [load.records for load in loads]
+    rows = None if None in counts else sum(counts)
+    open_history(spark, base).replace(history, now, [load.run_id for load in loads], rows)
 
 
 def gold_views(spark: SparkSession, base: str) -> dict:

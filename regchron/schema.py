@@ -56,7 +56,8 @@ SILVER_SCHEMA = T.StructType(REGISTRY_SCHEMA.fields + SCD2_SCHEMA.fields)
 WATERMARK_SCHEMA = _struct("source string, watermark_date date, recorded_at timestamp_ntz")
 
 RUN_SCHEMA = _struct(
-    "run_id string, loaded_at string, source string, full_load boolean, cantons string, columns string"
+    "run_id string, loaded_at string, source string, full_load boolean, cantons string, columns string, "
+    "records bigint, keyed bigint, done boolean"
 )
 
 RECORD_SCHEMA = _struct(

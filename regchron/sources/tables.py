@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from regchron.schema import BRONZE_SCHEMA, SILVER_SCHEMA, WATERMARK_SCHEMA
+from regchron.schema import BRONZE_SCHEMA, KEY, SILVER_SCHEMA, WATERMARK_SCHEMA
 
 BRONZE_PARTITIONS = ("_ingestion_date", "_run_id")
 
@@ -33,19 +34,44 @@ def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def _log_rows(df: DataFrame, helpers: Sequence[str] = ()) -> DataFrame:
+    """Stamped rows with the log's columns, those it does not know yet, and helper columns."""
+    extra = [df.schema[c] for c in df.columns if c not in BRONZE_SCHEMA.fieldNames() and c not in helpers]
+    return aligned(df, T.StructType(BRONZE_SCHEMA.fields + extra + [df.schema[c] for c in helpers]))
+
+
 def append_bronze(df: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
     """Append stamped rows to the log and return them; a dry run writes nothing.
 
     Partitioned by load date and, below it, by run, so that staging a run reads only that run.
-    Columns the log does not know yet are written as well (``read_bronze(merge=True)``).
+    Before they are written the rows of a run are brought together in parts of the session's
+    advisory partition size, a large run in several and small ones joined, so that the number of
+    files follows from the bytes and not from the number of tasks. Columns the log does not know
+    yet are written as well (``read_bronze(merge=True)``).
     """
-    extra = [df.schema[c] for c in df.columns if c not in BRONZE_SCHEMA.fieldNames()]
-    rows = aligned(df, T.StructType(BRONZE_SCHEMA.fields + extra))
+    rows = _log_rows(df)
     if not dry_run:
-        rows.write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
+        dealt = rows.hint("rebalance", *[F.col(c) for c in BRONZE_PARTITIONS])
+        dealt.write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(path)
     return rows
 
 
+def publish_run(df: DataFrame, path: str, measures: Sequence[Column] = (), helpers: Sequence[str] = ()) -> dict:
+    """Write the stamped rows of one run as its partition of the log, and return what was written.
+
+    The partition is replaced as a whole, so a run that is written again is there once. The
+    counts (``written``, ``keyed`` and the ``measures``) are observed by the writing tasks, above
+    the last shuffle: Spark takes them from one successful attempt of each task. ``helpers`` are
+    columns that only the measures need.
+    """
+    rows = _log_rows(df, helpers).hint("rebalance")
+    seen = Observation()
+    observed = rows.observe(seen, F.count("*").alias("written"), F.count(KEY).alias("keyed"), *measures)
+    writer = observed.drop(*helpers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*BRONZE_PARTITIONS).parquet(path)
+    return seen.get
+
+
 def read_bronze(spark: SparkSession, *paths: str, merge: bool = False) -> DataFrame:
     """The log, or several logs as one; those that do not exist yet count as empty.
 

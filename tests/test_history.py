@@ -14,7 +14,7 @@ from regchron.operators.staging import build_staging, latest_per_key
 from regchron.plans import gold, profile
 from regchron.schema import OPEN_END, SCD2_SCHEMA
 from regchron.session import scratch_path
-from regchron.sources.store import HistoryStore
+from regchron.sources.store import HistoryStore, buckets_for
 
 OPEN = datetime.fromisoformat(OPEN_END)
 START = datetime(2024, 1, 1)
@@ -199,8 +199,8 @@ def test_a_failed_merge_leaves_the_table_as_it_was(spark):
     assert plain(store.read().collect()) == before
     store.merge(staged(log, "run1"), START + timedelta(days=2), "all", run_id="run1")
     assert len(store.read().collect()) == 3
-    assert store.merged_runs() == {"run0", "run1"}
-    assert [c["version"] for c in store.commits()] == [0, 1]
+    assert {r["run_id"] for r in store.merged_runs().collect()} == {"run0", "run1"}
+    assert sorted(r["version"] for r in store.commits().collect()) == [0, 1]
 
 
 def test_old_current_rows_can_be_dropped(spark):
@@ -208,24 +208,35 @@ def test_old_current_rows_can_be_dropped(spark):
     log = bronze(spark, runs)
     store = HistoryStore(spark, scratch_path(spark, "old"), SCHEMA)
     for i in range(4):
-        store.merge(staged(log, f"run{i}"), START + timedelta(days=i))
+        store.merge(staged(log, f"run{i}"), START + timedelta(days=i), staging_rows=2)
     before = plain(store.read().collect())
-    assert len(store.drop_old_currents(keep=1)) == 3
+    assert {f.split("is_current=true/")[1].split("/")[0] for f in store.drop_old_currents(keep=1)} == {"v=0", "v=1", "v=2"}
     assert plain(store.read().collect()) == before
+    assert store.drop_old_currents(keep=1) == []
     assert store.closed().count() == 3 and store.current().count() == 2
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def written_files(store):
+    """Files of the current rows by merge and bucket."""
+    pattern = store._path(f"{store.base}/data/is_current=true/v=*/bucket=*/*.parquet")
+    paths = [f.getPath().toString() for f in store._fs.globStatus(pattern)]
+    return sorted(tuple(p.split("is_current=true/")[1].split("/")[:2]) for p in paths)
+
+
 def test_an_increment_leaves_other_buckets_alone(spark):
     first = bronze(spark, [{i: (1, "AG") for i in range(1, 60)}, {5: (2, "AG")}, {5: (3, "AG"), 6: (2, "AG")}])
     store = HistoryStore(spark, scratch_path(spark, "buckets"), SCHEMA, buckets=8)
     store.merge(staged(first, "run0"), START)
-    assert store.commits()[-1]["current_at"] == {str(b): 0 for b in range(8)}
+    assert store.head()["current_at"] == {str(b): 0 for b in range(8)}
     counts = store.merge(staged(first, "run1"), START + timedelta(days=1))
     assert (counts["records_closed"], counts["records_inserted"], counts["records_deleted"]) == (1, 1, 0)
-    after = store.commits()[-1]["current_at"]
+    after = store.head()["current_at"]
     assert sorted(after.values()) == [0] * 7 + [1] and store.current().count() == 59
-    names = {f.split("/data/")[1].split("/part")[0] for f in store.current().inputFiles()}
-    assert len(names) == 8 and sum(n.startswith("v=1/") for n in names) == 1
+    assert [v for v, _ in written_files(store)] == ["v=0"] * 8 + ["v=1"]
     store.merge(staged(first, "run2"), START + timedelta(days=2))
     assert {r["gstat"] for r in store.current().filter("egid = 5").collect()} == {3}
     before = plain(store.read().collect())
@@ -233,7 +244,52 @@ def test_an_increment_leaves_other_buckets_alone(spark):
     assert plain(store.read().collect()) == before and len(before) == 62
     # A full load touches all of them and may empty some.
     store.merge(staged(first, "run1"), START + timedelta(days=3), "all")
-    assert len(store.commits()[-1]["current_at"]) == 1 and store.current().count() == 1
+    assert set(store.head()["current_at"].values()) == {3} and store.current().count() == 1
+
+
+def test_one_file_per_bucket_and_no_shuffle_of_the_current_rows(spark):
+    runs = [{i: (1, "AG") for i in range(1, 400)}, {i: (2, "AG") for i in range(1, 400, 3)}]
+    log = bronze(spark, runs).repartition(7)
+    store = HistoryStore(spark, scratch_path(spark, "layout"), SCHEMA, buckets=4)
+    for i in range(2):
+        store.merge(staged(log, f"run{i}"), START + timedelta(days=i), "all")
+    assert written_files(store) == [(f"v={v}", f"bucket={b}") for v in range(2) for b in range(4)]
+    merged = H.scd2_merge(store.current(), store.dealt(staged(log, "run1")), START + timedelta(days=2), delete_scope="all")
+    lines = plan_of(merged).split("\n")
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "_current" in line)
+    assert not any("Exchange" in line for line in lines[:scan]) and join < scan
+    assert "Bucketed: true" in lines[scan]
+    # The folders of two buckets, and no others, are left after pruning.
+    some = plan_of(store.current({1, 3}))
+    assert "bucket" in some.split("PartitionFilters: [")[1].split("]")[0] and "IN (1,3)" in some
+    bucket = F.pmod(F.hash("egid"), F.lit(4))
+    assert {r[0] for r in store.current({1, 3}).select(bucket).distinct().collect()} == {1, 3}
+
+
+def test_what_a_dead_merge_left_is_cleared(spark):
+    log = bronze(spark, [{1: (1, "AG")}, {1: (2, "AG")}, {2: (1, "AG")}])
+    store = HistoryStore(spark, scratch_path(spark, "dead"), SCHEMA, buckets=2)
+    store.merge(staged(log, "run0"), START)
+    commit, store._commit = store._commit, lambda entry: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        store.merge(staged(log, "run1"), START + timedelta(days=1))
+    store._commit = commit
+    # Another run is merged under the version that the dead one had begun.
+    store.merge(staged(log, "run2"), START + timedelta(days=2))
+    rows = sorted((r["egid"], r["gstat"], r["is_current"]) for r in store.read().collect())
+    assert rows == [(1, 1, True), (2, 1, True)]
+    # A new session's view of the folders is the same.
+    spark.sql(f"DROP TABLE {store._name}_current")
+    again = HistoryStore(spark, store.base, SCHEMA)
+    assert sorted((r["egid"], r["gstat"], r["is_current"]) for r in again.read().collect()) == rows
+
+
+def test_the_number_of_buckets_follows_from_the_size():
+    assert buckets_for(0, SCHEMA) == buckets_for(1000, SCHEMA) == 8
+    # 9 columns, two of them text, are 88 bytes a row: 656 buckets of 128 MB, rounded up.
+    assert buckets_for(10**9, SCHEMA) == 1024
+    assert buckets_for(10**15, SCHEMA) == 1 << 16
 
 
 def test_a_missing_required_value_fails_the_merge(spark):
@@ -242,7 +298,7 @@ def test_a_missing_required_value_fails_the_merge(spark):
     store = HistoryStore(spark, scratch_path(spark, "null"), SCHEMA)
     with pytest.raises(Exception, match="NULL in required column record_hash"):
         store.merge(rows, START)
-    assert store.commits() == []
+    assert store.head() is None and store.commits().count() == 0
 
 
 @pytest.fixture(scope="module")
