@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regchron.functions import columns as C
@@ -438,10 +439,7 @@ def merge_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_last_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last run merged as a small increment: its marks broadcast, nothing deleted."""
     history, staged, at = _before_last(spark, sf_dir)
-    if staged.count() > H.SMALL_STAGING_ROWS:
-        merged = H.scd2_merge(H.current_rows(history), staged, at)
-    else:
-        merged = H.scd2_merge_small(H.current_rows(history), staged, at)
+    merged = H.scd2_merge_small(H.current_rows(history), staged, at)
     return H.closed_rows(history).unionByName(merged).select(*VERSION_COLUMNS)
 
 
@@ -825,6 +823,28 @@ def watermark_cantons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return later.select("egid", "gdekt", "gdat", "_run_id")
 
 
+@query
+def watermark_per_canton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks per canton: a canton is loaded between two loads of all, twice.
+
+    The second time it brings its last day only, and the load of all takes each canton from its
+    own mark on.
+    """
+    base = scratch_path(spark, "jobs")
+    rows = _states(spark, sf_dir)
+    early = rows.filter(F.col("gdat") < "2000-07-01")
+    loads = [
+        (early, datetime(2000, 7, 1), {"full_load": True}),
+        (rows, datetime(2001, 8, 1), {"cantons": "zh"}),
+        (rows, datetime(2001, 8, 2), {"cantons": "zh"}),
+        (rows, datetime(2001, 9, 1), {}),
+    ]
+    for number, (brought, now, options) in enumerate(loads, 1):
+        jobs.bronze_ingest(spark, base, brought, now, run_id=f"0000000{number}", marks="canton", **options)
+    later = jobs.open_bronze(spark, base).filter("_run_id > '00000001'")
+    return later.select("egid", "gdekt", "gdat", "_run_id")
+
+
 @query
 def increment_without_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows an increment takes if every fifth building has no mutation date."""
@@ -883,6 +903,43 @@ def bulk_second_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.open_history(spark, base).read().select("egid", "gstat", "ganzwhg", "is_current", "dqa_deleted")
 
 
+def _stop_after(wanted: str) -> Callable[[str, str], None]:
+    """A watcher that ends a load when a step is done, as a job that dies there would."""
+
+    def watch(step: str, run_id: str) -> None:
+        if step == wanted:
+            raise RuntimeError(f"run {run_id} ends after it was {step}")
+
+    return watch
+
+
+@query
+def bulk_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk loads of four cantons that die, each after another step, and are started again.
+
+    The one that was published only is merged by the listing of the log before it is started
+    again. The history is that of four loads that went through.
+    """
+    base = scratch_path(spark, "bulk")
+    _write_clean_extract(spark, sf_dir, "true", f"{base}/src")
+    options = {"layout": "kanton={canton}", "merge": True}
+    for month, (canton, step) in enumerate((("AG", "begun"), ("BE", "published"), ("ZH", "noted"), ("VD", "merged")), 1):
+        try:
+            jobs.bronze_bulk(
+                spark, base, f"{base}/src", datetime(2002, month, 1), canton, run_id=f"0000000{month}",
+                on_step=_stop_after(step), **options,
+            )
+        except StreamingQueryException:
+            pass
+        else:
+            raise RuntimeError("the load was to end early")
+        if step == "published":
+            jobs.silver_pending(spark, base, datetime(2002, month, 1, 12))
+        jobs.bronze_bulk(spark, base, f"{base}/src", datetime(2002, month, 2), canton, run_id=f"1000000{month}", **options)
+    history = jobs.open_history(spark, base).read()
+    return history.select("egid", "gdekt", "gstat", "ganzwhg", "valid_from", "is_current", "dqa_deleted")
+
+
 @query
 def bulk_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the bulk job reports for a canton, run twice over the same files."""
@@ -897,6 +954,35 @@ def bulk_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "run_id string, kanton string, records bigint")
 
 
+@query
+def tsv_damaged_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full extracts of three cantons, then newer ones of which one is broken off: it is left out.
+
+    Of the other two, buildings that are gone are closed; nothing of the damaged canton is.
+    """
+    base = scratch_path(spark, "jobs")
+    cantons = ["zh", "be", "ag"]
+    for month, condition in ((7, "_day < '1998-07-01'"), (8, "_day >= '1998-07-01'")):
+        src = f"{base}/src{month}"
+        _write_clean_extract(spark, sf_dir, condition, src)
+        if month == 8:
+            whole = spark.read.text(f"{src}/kanton=be").filter("value not like 'EGID%'")
+            header = spark.read.csv(f"{src}/kanton=be", sep="\t", header=True).columns
+            cut = whole.orderBy("value").limit(1).select(F.substring_index("value", "\t", 3).alias("value"))
+            lines = spark.createDataFrame([("\t".join(header),)], "value string").unionByName(cut)
+            lines.coalesce(1).write.mode("append").text(f"{src}/kanton=be")
+        out = jobs.bronze_from_tsv(
+            spark, base, src, datetime(2001, month, 1), cantons, layout="kanton={canton}", run_id=f"0000000{month}"
+        )
+        jobs.silver(spark, base, datetime(2001, month, 2), out["run_id"])
+    skipped = jobs.open_skipped(spark, base).agg(F.count("*").alias("skipped"), F.max("run_id").alias("skipped_in"))
+    history = jobs.open_history(spark, base).read()
+    counts = history.groupBy("gdekt", "is_current", "dqa_deleted").agg(
+        F.count("*").alias("versions"), F.max("valid_to").alias("valid_to")
+    )
+    return counts.crossJoin(skipped)
+
+
 @query
 def extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the extract job reports for all cantons, and the mark it leaves."""

@@ -37,11 +37,12 @@ from regchron.schema import (
     KEY,
     REGISTRY_COLUMNS,
     RUN_SCHEMA,
+    SKIPPED_SCHEMA,
     WATERMARK_SCHEMA,
     WATERMARK_SOURCE,
     bulk_columns,
 )
-from regchron.sources.delimited import canton_paths, read_records_csv, read_registry_tsv
+from regchron.sources.delimited import canton_paths, read_records_csv, read_registry_tsv, sound_parts
 from regchron.sources.store import HistoryStore
 from regchron.sources.tables import ensure_tables, path_exists, publish_run, read_bronze, write_table
 from regchron.sources.xml import read_registry_xml, read_response_files
@@ -79,6 +80,12 @@ class Load(NamedTuple):
     keyed: int | None = None
 
 
+def _canton_names(cantons: str | Sequence[str]) -> list[str]:
+    if isinstance(cantons, str):
+        cantons = CANTONS if cantons.lower() == "all" else [cantons]
+    return [c.lower() for c in cantons]
+
+
 _LOGS = ("bronze", "bronze_bulk")
 _CODES = [c.upper() for c in CANTONS]
 
@@ -134,7 +141,7 @@ def reconcile_runs(spark: SparkSession, base: str) -> list[str]:
         if there:
             rows = read_bronze(spark, *there).filter(F.col("_run_id") == load.run_id)
             seen = rows.agg(F.count("*").alias("n"), F.count(KEY).alias("keyed"), known_cantons().alias("c")).first()
-            cantons = tuple(seen["c"]) if load.full_load else ()
+            cantons = tuple(set(seen["c"]) - set(load.cantons)) if load.full_load else ()
             _note_run(spark, base, load._replace(cantons=cantons, records=seen["n"], keyed=seen["keyed"]), True)
             found.append(load.run_id)
     return found
@@ -201,6 +208,7 @@ def bronze_ingest(
     move_watermark: bool = True,
     skip_unreadable: bool = False,
     marks: str = "source",
+    not_held: Sequence[str] = (),
 ) -> dict:
     """Append the registry rows that changed since the watermark, and move the watermark.
 
@@ -211,6 +219,8 @@ def bronze_ingest(
     still to come. With ``marks="canton"`` each canton has a mark of its own, which any load of
     its rows moves; a canton without one goes by the source's mark.
 
+    ``not_held`` names cantons that a full load does not hold in full, whatever rows it has of them.
+
     The run is noted as begun before its rows are published, as one partition of the log, and as
     done after that. A job that dies in between loses nothing: see ``reconcile_runs``.
     """
@@ -231,7 +241,8 @@ def bronze_ingest(
         counted = stamped.agg(F.count("*").alias("written"), F.count_if("_starts_batch").alias("batches")).first().asDict()
     else:
         filled = tuple(c for c in REGISTRY_COLUMNS if c in rows.columns)
-        load = Load(run_id, utc(now), source, full_load, (), filled)
+        # Until it is done, a note lists the cantons that the load will not hold.
+        load = Load(run_id, utc(now), source, full_load, tuple(c.upper() for c in not_held), filled)
         _note_run(spark, base, load, done=False)
         measures = [
             F.count_if("_starts_batch").alias("batches"),
@@ -244,10 +255,9 @@ def bronze_ingest(
             measures.append(greatest_date(own, skip_unreadable).alias(name))
         counted = publish_run(stamped, f"{base}/bronze", measures, ["_starts_batch"])
         if counted["written"]:
-            held = tuple(counted["cantons"]) if full_load else ()
-            _note_run(
-                spark, base, load._replace(cantons=held, records=counted["written"], keyed=counted["keyed"]), done=True
-            )
+            held = set(counted["cantons"]) - {c.upper() for c in not_held} if full_load else set()
+            load = load._replace(cantons=tuple(held), records=counted["written"], keyed=counted["keyed"])
+            _note_run(spark, base, load, done=True)
             newest = {c: counted[name] for c, name in by_canton.items() if counted[name]}
             sources = {canton_source(c): date for c, date in newest.items()} if move_watermark else {}
             if move_watermark and not cantons:
@@ -296,12 +306,30 @@ def bronze_from_tsv(
 ) -> dict:
     """Ingest the full extract of one canton, several, or all.
 
-    Extracts leave the watermark of the incremental loads alone: a canton whose extract is
-    missing is skipped, so none can be sure to hold everything up to its newest date.
+    A canton whose extract is missing or damaged is left out as a whole and listed in the table
+    ``skipped``; the load does not count as holding it, so nothing of it is closed. Extracts leave
+    the watermark of the incremental loads alone: none can be sure to hold everything up to
+    its newest date.
     """
-    rows = read_registry_tsv(spark, canton_paths(extracts, cantons, layout))
-    options = {"source": "gwr_zip", "full_load": True, "move_watermark": False} | options
-    return bronze_ingest(spark, base, rows, now, **options)
+    names = _canton_names(cantons)
+    paths = dict(zip(canton_paths(extracts, names, layout), names, strict=True))
+    parts, skipped = sound_parts(spark, list(paths))
+    if not parts:
+        raise FileNotFoundError(f"none of the extracts could be read: {skipped}")
+    options = {"source": "gwr_zip", "full_load": True, "move_watermark": False, "run_id": new_run_id()} | options
+    rows = read_registry_tsv(spark, parts)
+    out = bronze_ingest(spark, base, rows, now, not_held=[paths[p] for p in skipped], **options)
+    if skipped and not out["dry_run"]:
+        listed = [(out["run_id"], part, reason, utc(now)) for part, reason in sorted(skipped.items())]
+        write_table(spark.createDataFrame(listed, SKIPPED_SCHEMA).coalesce(1), f"{base}/skipped")
+    return out | {"skipped": {paths[p].upper(): reason for p, reason in skipped.items()}}
+
+
+def open_skipped(spark: SparkSession, base: str) -> DataFrame:
+    """Parts of extracts that were left out, by run, with what was wrong with them."""
+    if not path_exists(spark, f"{base}/skipped"):
+        return spark.createDataFrame([], SKIPPED_SCHEMA)
+    return spark.read.schema(SKIPPED_SCHEMA).parquet(f"{base}/skipped")
 
 
 def bronze_bulk(

@@ -533,6 +533,17 @@ ORACLE["dqa_job"] = f"WITH {_checks(_REFRESH_CURRENT)} {BY_CHECK}"
 ORACLE["watermark_cantons"] = f"""WITH {LOG} SELECT egid, gdekt, gdat, '00000002' AS _run_id FROM log
   WHERE gdat > {_SINCE} AND gdekt = 'ZH'
   UNION ALL SELECT egid, gdekt, gdat, '00000003' FROM log WHERE gdat > {_SINCE}"""
+# The same loads with a mark per canton; a canton goes by the common mark until it has its own.
+ORACLE["watermark_per_canton"] = f"""WITH {LOG}, own AS (
+  SELECT gdekt, max(CAST(gdat AS DATE)) - 1 AS m FROM log WHERE gdat < '2000-07-01' GROUP BY gdekt),
+first AS (SELECT c.gdekt, coalesce(strftime(own.m, '%Y-%m-%d'), {_SINCE}) AS m
+  FROM (SELECT DISTINCT gdekt FROM log) c LEFT JOIN own ON own.gdekt = c.gdekt AND own.m > DATE '2000-01-01'),
+two AS (SELECT log.* FROM log JOIN first f ON f.gdekt = log.gdekt WHERE log.gdekt = 'ZH' AND gdat > f.m),
+later AS (SELECT greatest((SELECT m FROM first WHERE gdekt = 'ZH'), coalesce(strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d'), '')) AS m FROM two)
+SELECT egid, gdekt, gdat, '00000002' AS _run_id FROM two
+  UNION ALL SELECT egid, gdekt, gdat, '00000003' FROM log WHERE gdekt = 'ZH' AND gdat > (SELECT m FROM later)
+  UNION ALL SELECT egid, log.gdekt, gdat, '00000004' FROM log JOIN first f ON f.gdekt = log.gdekt
+  WHERE gdat > CASE WHEN log.gdekt = 'ZH' THEN (SELECT m FROM later) ELSE f.m END"""
 ORACLE["increment_without_date"] = f"""WITH {LOG} SELECT egid, gstat, CASE WHEN egid % 5 <> 0 THEN gdat END AS gdat FROM log
   WHERE egid % 5 = 0 OR gdat > (SELECT greatest(strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d'), '2000-01-01')
     FROM log WHERE gdat < '2000-07-01' AND egid % 5 <> 0)"""
@@ -570,6 +581,18 @@ SELECT egid, gstat, ganzwhg, is_current, dqa_deleted FROM h"""
 ORACLE["bulk_job"] = f"""WITH {_EXTRACT} SELECT '00000007' AS run_id, 'ZH' AS kanton,
   (SELECT count(*) FROM ext WHERE gdekt = 'ZH') AS records
   UNION ALL SELECT '00000008', 'ZH', 0"""
+# Each canton's rows appear when its run was merged: the crash delays that, but loses nothing.
+ORACLE["bulk_after_crash"] = f"""WITH {_EXTRACT}, log AS (SELECT {_BULK} FROM ext WHERE gdekt IN ('AG', 'BE', 'ZH', 'VD')),
+{_newest('one', 'log', 'true')}
+SELECT egid, gdekt, gstat, ganzwhg, CASE gdekt WHEN 'AG' THEN TIMESTAMP '2002-01-02' WHEN 'BE' THEN TIMESTAMP '2002-02-01 12:00:00'
+  WHEN 'ZH' THEN TIMESTAMP '2002-03-02' ELSE TIMESTAMP '2002-04-01' END AS valid_from,
+  true AS is_current, false AS dqa_deleted FROM one"""
+ORACLE["tsv_damaged_part"] = f"""WITH {_EXTRACT}, log AS (SELECT {COLS} FROM ext WHERE gdekt IN ('ZH', 'BE', 'AG')), {EMPTY},
+{_newest('one', 'log', "gdat < '1998-07-01'")}, {_newest('two', 'log', "gdat >= '1998-07-01' AND gdekt <> 'BE'")},
+{_merge('hone', 'h_none', 'one', "TIMESTAMP '2001-07-02'", 'true')},
+{_merge('h', 'hone', 'two', "TIMESTAMP '2001-08-02'", "s.gdekt IN ('ZH', 'AG')")}
+SELECT gdekt, is_current, dqa_deleted, count(*) AS versions, max(valid_to) AS valid_to, 1 AS skipped, '00000008' AS skipped_in
+FROM h GROUP BY ALL"""
 _NEW_MARK = "SELECT strftime(max(CAST(gdat AS DATE)) - 1, '%Y-%m-%d')"
 ORACLE["extract_job"] = f"""WITH {_EXTRACT} SELECT '00000001' AS run_id, CAST(NULL AS VARCHAR) AS since_date,
   count(*) AS total_written, true AS has_batches, false AS dry_run, '2000-01-01' AS watermark FROM ext"""

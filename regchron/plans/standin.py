@@ -112,16 +112,22 @@ def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_view(history(spark, sf_dir))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def stored_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current view as a stored table, which is how the checks meet it.
 
     On a plain scan both sides of the join with the records are shuffled for that join, so
-    that adaptive execution can split a key with very many records.
+    that adaptive execution can split a key with very many records. The table is built once per
+    application and folder.
     """
-    path = scratch_path(spark, "current")
-    view = current(spark, sf_dir)
-    view.write.parquet(path)
-    return spark.read.schema(view.schema).parquet(path)
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _STORED:
+        path = scratch_path(spark, "current")
+        current(spark, sf_dir).write.parquet(path)
+        _STORED[place] = path
+    return spark.read.parquet(_STORED[place])
 
 
 def business_records(spark: SparkSession, sf_dir: str) -> DataFrame:

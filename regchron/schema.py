@@ -60,6 +60,8 @@ RUN_SCHEMA = _struct(
     "records bigint, keyed bigint, done boolean"
 )
 
+SKIPPED_SCHEMA = _struct("run_id string, part string, reason string, seen_at timestamp_ntz")
+
 RECORD_SCHEMA = _struct(
     "egid bigint, plz string, strasse string, baujahr int, anzahl_wohnungen int, nutzungsart string"
 )

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -56,7 +57,9 @@ def canton_paths(
     return [f"{base.rstrip('/')}/{layout.format(canton=c.lower())}" for c in cantons]
 
 
-def _headers(spark: SparkSession, paths: Sequence[str], skip_failing: bool) -> dict[str, list[str]]:
+def _headers(
+    spark: SparkSession, paths: Sequence[str], skip_failing: bool, skipped: dict[str, str] | None = None
+) -> dict[str, list[str]]:
     """Column names of each part, from the first line of one of its files."""
 
     def header(path: str) -> tuple[str, list[str] | None]:
@@ -66,6 +69,8 @@ def _headers(spark: SparkSession, paths: Sequence[str], skip_failing: bool) -> d
             if not skip_failing:
                 raise
             log.error("extract %s skipped: %s", path, error)
+            if skipped is not None:
+                skipped[path] = _reason(error)
             return path, None
 
     with ThreadPoolExecutor(max_workers=8) as pool:
@@ -73,6 +78,81 @@ def _headers(spark: SparkSession, paths: Sequence[str], skip_failing: bool) -> d
     return {path: names for path, names in found.items() if names is not None}
 
 
+def _reason(error: Exception) -> str:
+    """First line of an error's message, which is enough to find the file."""
+    return (str(error).strip().splitlines() or [type(error).__name__])[0][:500]
+
+
+def _same_place(path: str) -> str:
+    """A path as the file metadata has it, without scheme and escapes."""
+    return unquote(urlparse(path).path).rstrip("/")
+
+
+_DAMAGED = "_damaged"
+
+
+def _short_rows(
+    spark: SparkSession, names: Sequence[str], members: Sequence[str], multi_line: bool
+) -> dict[str, str]:
+    """Parts that cannot be used, among those with one header, and why.
+
+    One pass over all of them counts, per folder, the rows with fewer values than the header
+    has. If the pass itself fails, its parts are looked at one by one.
+    """
+    fields = [*names, _DAMAGED]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in fields])
+    reader = spark.read.options(
+        **TSV_OPTIONS, enforceSchema=False, multiLine=multi_line, columnNameOfCorruptRecord=_DAMAGED, columnPruning=False
+    )
+    rows = reader.schema(schema).csv(list(members))
+    file = F.col("_metadata.file_path")
+    short = F.size(F.split(F.col(_DAMAGED), "\t")) < len(names)
+    counts = rows.groupBy(file.alias("file")).agg(F.count_if(short).alias("short"), F.count(f"`{names[0]}`").alias("n"))
+    folders = counts.groupBy(F.regexp_replace("file", "/[^/]*$", "").alias("folder"))
+    first = F.min(F.when(F.col("short") > 0, F.col("file")))
+    try:
+        found = folders.agg(F.sum("short").alias("short"), F.sum("n").alias("n"), first.alias("file"))
+        bad = [r for r in found.collect() if r["short"]]
+    except AnalysisException:
+        raise
+    except Exception as error:  # a part may fail in any way, and only that part is to be left out
+        if len(members) == 1:
+            return {members[0]: _reason(error)}
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            found = pool.map(lambda m: _short_rows(spark, names, [m], multi_line), members)
+        return {part: reason for one in found for part, reason in one.items()}
+    damaged = {}
+    for r in bad:
+        place = _same_place(r["file"])
+        part = next(m for m in members if place == _same_place(m) or place.startswith(_same_place(m) + "/"))
+        damaged[part] = f"{r['short']} rows with fewer values than the header in {place}"
+    return damaged
+
+
+def sound_parts(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
+) -> tuple[list[str], dict[str, str]]:
+    """The parts that can be read whole, and the others with what is wrong with them.
+
+    A part is left out as a whole: if it is not there, if a file of it cannot be read or has
+    another header, or if a row has fewer values than the header, as a file that broke off has.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    skipped: dict[str, str] = {}
+    headers = _headers(spark, paths, True, skipped)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in headers.items():
+        groups.setdefault(tuple(names), []).append(path)
+    for names, members in groups.items():
+        if not names:
+            skipped |= {m: "no header" for m in members}
+            continue
+        skipped |= _short_rows(spark, names, members, multi_line)
+    for path in skipped:
+        log.error("extract %s skipped: %s", path, skipped[path])
+    return [p for p in paths if p not in skipped], skipped
+
+
 def read_registry_tsv(
     spark: SparkSession,
     paths: str | Sequence[str],
