@@ -412,7 +412,7 @@ def silver(
     store = open_history(spark, base)
     touched = store.touched(rows, records)
     staging = build_staging(rows, tie_break=newest_state() if tie_break is None else tie_break)
-    staging = store.dealt(staging, records)
+    staging = store.dealt(staging)
     if load is not None:
         staging = carry_forward(staging, store.current(touched), load.columns)
     counts = store.merge(
@@ -485,9 +485,7 @@ def rebuild_history(
         delete_missing=bool(delete_missing),
         scopes=scopes,
     )
-    counts = [load.records for load in loads]
-    rows = None if None in counts else sum(counts)
-    open_history(spark, base).replace(history, now, [load.run_id for load in loads], rows)
+    open_history(spark, base).replace(history, now, [load.run_id for load in loads])
 
 
 def gold_views(spark: SparkSession, base: str) -> dict:

@@ -4,12 +4,12 @@
 ``<base>/data/is_current=false/v=<n>/bucket=<b>``  only the rows that merge n closed
 ``<base>/commits/<n>``                             written last; without it there is no merge n
 
-Rows are dealt into buckets by Spark's own bucketing on the key, so a merge joins the current rows where they lie: only
-the staged rows are shuffled, by bucket, and that one shuffle serves join and write, which leaves one file per
-bucket. The bucket is a partition folder as well, and a commit says which merge holds each
-bucket's current rows. A merge reads and writes only the buckets that its staged keys fall into (all of them if it may delete). Closed rows are written once. A merge
-that dies before its commit leaves the table as it was; the next one clears what it left. One writer at a
-time is assumed.
+Rows are dealt into buckets by Spark's own bucketing on the key, so a merge joins the current rows where they
+lie: only the staged rows are shuffled, by bucket, and that one shuffle serves join and write, which leaves
+one file per bucket. The bucket is a partition folder as well, and a commit says which merge holds each
+bucket's current rows. A merge reads and writes only the buckets that its staged keys fall into (all of them if
+it may delete). Closed rows are written once. A merge that dies before its commit leaves the table as it was;
+the next one clears what it left. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ _MANY_PER_BUCKET = 1_000
 # A new table gets a bucket for about so many bytes of current rows, and these numbers at least and at most.
 BUCKET_BYTES = 128 << 20
 _FEWEST, _MOST = 8, 1 << 16
-_TEXT_BYTES = 16
+# From here on Spark's estimate says that it has none.
+_UNKNOWN_BYTES = 1 << 60
 _MANAGED = "spark.sql.hive.manageFilesourcePartitions"
 
 COMMIT_SCHEMA = (
@@ -40,13 +41,18 @@ COMMIT_SCHEMA = (
 )
 
 
-def buckets_for(rows: int, schema: T.StructType) -> int:
-    """Number of buckets of a table that begins with so many rows: a power of two."""
-    width = sum(_TEXT_BYTES if isinstance(f.dataType, T.StringType) else 8 for f in schema)
-    wanted = -(-rows * width // BUCKET_BYTES)
+def buckets_for(size: int) -> int:
+    """Number of buckets of a table that begins with so many bytes: a power of two."""
+    wanted = -(-size // BUCKET_BYTES)
     return min(_MOST, max(_FEWEST, 1 << max(0, wanted - 1).bit_length()))
 
 
+def estimated_bytes(rows: DataFrame) -> int:
+    """Spark's estimate from the size of the files read; if there is none, a text cell's size per column and row."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN_BYTES else rows.count() * 16 * len(rows.columns)
+
+
 class HistoryStore:
     """A history table below ``base`` with the columns of ``schema``.
 
@@ -178,25 +184,26 @@ class HistoryStore:
         """The number of the file Spark's bucketing puts a row into."""
         return F.pmod(F.hash(*self.keys), F.lit(count)).cast("int")
 
-    def _count(self, head: dict | None, rows: int | None) -> int:
+    def _count(self, head: dict | None, first: DataFrame) -> int:
+        """Number of buckets: the table's, or for a new one that of the rows it begins with."""
         if head:
             return head["buckets"]
-        return self.buckets or buckets_for(rows or 0, self.schema)
+        return self.buckets or buckets_for(estimated_bytes(first))
 
     def touched(self, keys: DataFrame, staging_rows: int | None = None) -> set[int] | None:
         """Buckets that a merge of these keys reads and writes, ``None`` for all of them.
 
         Only the key column of the rows is read; the result has at most one entry per bucket.
         """
-        count = self._count(self.head(), staging_rows)
-        if staging_rows is not None and staging_rows > _MANY_PER_BUCKET * count:
+        head = self.head()
+        if head is None or (staging_rows is not None and staging_rows > _MANY_PER_BUCKET * head["buckets"]):
             return None
-        rows = keys.select(self._bucket(count).alias("bucket")).distinct().collect()
+        rows = keys.select(self._bucket(head["buckets"]).alias("bucket")).distinct().collect()
         return {r["bucket"] for r in rows}
 
-    def dealt(self, staging: DataFrame, staging_rows: int | None = None) -> DataFrame:
+    def dealt(self, staging: DataFrame) -> DataFrame:
         """Staged rows shuffled by bucket, as the current rows lie: joins with them need no other shuffle."""
-        return staging.repartition(self._count(self.head(), staging_rows), *self.keys)
+        return staging.repartition(self._count(self.head(), staging), *self.keys)
 
     def _write(self, rows: DataFrame, version: int, count: int, measures: Sequence[Column]) -> dict:
         """Write a version and return the measures.
@@ -230,8 +237,8 @@ class HistoryStore:
         """Merge staged rows, publish the result as a new version and return the counts.
 
         ``touched`` are the buckets of the staged keys, if the caller knows them; a merge that
-        may delete works on all. ``staging_rows`` is an upper bound of the staged rows. With
-        ``dealt`` they are shuffled by bucket already.
+        may delete works on all. ``staging_rows`` is an upper bound of the staged rows: with very
+        many the buckets are not looked up. With ``dealt`` they are shuffled by bucket already.
         """
         if deletes(delete_scope):
             if staging_empty is None:
@@ -241,9 +248,7 @@ class HistoryStore:
         head = self.head()
         if head and utc(now) < datetime.fromisoformat(head["now"]):
             raise ValueError(f"the last merge was as of {head['now']}, after {now}")
-        if head is None and self.buckets is None and staging_rows is None:
-            staging_rows = staging.count()
-        count = self._count(head, staging_rows)
+        count = self._count(head, staging)
         if deletes(delete_scope) or head is None:
             touched = None
         elif touched is None:
@@ -269,7 +274,7 @@ class HistoryStore:
         )
         return found
 
-    def replace(self, history: DataFrame, now: datetime, runs: Sequence[str] = (), rows: int | None = None) -> None:
+    def replace(self, history: DataFrame, now: datetime, runs: Sequence[str] = ()) -> None:
         """Publish a complete history (of a replay) as the first version of an empty table."""
         if self.head():
             raise RuntimeError(f"{self.base} holds a history already")
@@ -279,7 +284,7 @@ class HistoryStore:
             F.count_if("dqa_deleted").alias("deleted"),
             F.count("*").alias("inserted"),
         ]
-        count = self._count(None, rows)
+        count = self._count(None, history)
         dealt = history.select(*self.schema.fieldNames()).repartition(count, *self.keys)
         totals = self._write(dealt, 0, count, measures)
         held = {str(b): 0 for b in range(count)}
