@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from regchron.sources.tables import estimated_bytes
 
 _KEYLESS_SALTS = 1 << 20
+# Bits of the records' keys: 1 MB. With a million keys they let about one in eight other rows through.
+KEY_SLOTS = 1 << 23
+# Bytes of the reference, as Spark estimates them, from which on it is reduced.
+REDUCE_FROM = 4 << 30
 
 
 def splits_skewed_joins(spark: SparkSession) -> bool:
@@ -55,6 +60,43 @@ def salted_left_join(
     return dealt.join(repeated, same, "left").drop("_salt", "_ref_salt")
 
 
+def _slot(key: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slots))
+
+
+def key_bits(records: DataFrame, key: str, slots: int = KEY_SLOTS) -> DataFrame:
+    """One row with an array of numbers, whose bits are set where a record's key falls: ``slots`` bits.
+
+    Its size is fixed, however many records there are. Only the key column is read, and what is
+    shuffled is one number per 64 slots and task.
+    """
+    slot = records.filter(F.col(key).isNotNull()).select(_slot(F.col(key), slots).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits")
+    )
+    every = records.sparkSession.range(slots // 64).withColumnRenamed("id", "word")
+    listed = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
+    return every.join(words, "word", "left").agg(listed.getField("bits").alias("bits"))
+
+
+def reduced_reference(
+    reference: DataFrame, ref_key: str, records: DataFrame, key: str, slots: int = KEY_SLOTS
+) -> DataFrame:
+    """The reference rows whose key a record may have: all that match, and few others.
+
+    The records' keys as bits are a scalar subquery of a filter on the reference, so the other
+    rows go before the reference is shuffled.
+    """
+    slot = _slot(F.col(ref_key).cast(records.schema[key].dataType), slots)
+    word = F.element_at(key_bits(records, key, slots).scalar(), (F.shiftright(slot, 6) + 1).cast("int"))
+    return reference.filter(F.getbit(word, slot.bitwiseAND(63).cast("int")) == 1)
+
+
+def reduces(reference: DataFrame) -> bool:
+    """Whether the reference is so large that reading the records' keys once more pays."""
+    return estimated_bytes(reference) >= REDUCE_FROM
+
+
 def lookup_join(
     records: DataFrame,
     reference: DataFrame,
@@ -62,14 +104,20 @@ def lookup_join(
     ref_key: str,
     rows_per_salt: int = 1_000_000,
     salted: bool | None = None,
+    reduce: bool | None = None,
 ) -> DataFrame:
     """Every record with the reference row of its key, or with NULLs.
 
+    A large reference is first reduced to the keys that records may have (``reduce`` decides
+    either way), as only the rows of few keys are wanted of it.
+
     No broadcast is forced: at run time Spark broadcasts the reference if its measured size is
     below the session's threshold, and otherwise splits partitions swollen by a frequent key
     (a left join may split its left side). A session without that gets the salted join;
     ``salted`` decides either way.
     """
+    if reduces(reference) if reduce is None else reduce:
+        reference = reduced_reference(reference, ref_key, records, key)
     if salted is None:
         salted = not splits_skewed_joins(records.sparkSession)
     if salted:

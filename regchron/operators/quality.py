@@ -31,6 +31,7 @@ def run_checks(
     key: str = KEY,
     salted: bool | None = None,
     rows_per_salt: int = 1_000_000,
+    reduce: bool | None = None,
     **parameters,
 ) -> DataFrame:
     """One result row per record and check.
@@ -46,7 +47,7 @@ def run_checks(
     mine = complete_records(records)
     lookup = mine.withColumn("_lookup", F.nullif(F.col(key), F.lit(0)))
     theirs = reference.select(*[F.col(c).alias(f"_ref_{c}") for c in reference.columns])
-    paired = lookup_join(lookup, theirs, "_lookup", f"_ref_{key}", rows_per_salt, salted)
+    paired = lookup_join(lookup, theirs, "_lookup", f"_ref_{key}", rows_per_salt, salted, reduce)
     subject = Subject(
         record=F.col,
         reference=lambda name: F.col(f"_ref_{name}"),

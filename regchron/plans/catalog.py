@@ -656,6 +656,14 @@ def record_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.lookup_join(records, reference, "egid", "ref_egid")
 
 
+@query
+def record_lookup_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the reference being reduced to the keys that records may have before it is shuffled."""
+    records = S.business_records(spark, sf_dir).select("o_orderkey", "egid")
+    reference = S.stored_current(spark, sf_dir).select(F.col("egid").alias("ref_egid"), "gstat", "plz4")
+    return Q.lookup_join(records, reference, "egid", "ref_egid", reduce=True)
+
+
 @query
 def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of all checks."""

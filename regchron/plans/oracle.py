@@ -460,6 +460,7 @@ for _name, _id in _IDS.items():
   FROM res WHERE check_id = '{_id}'"""
 ORACLE["record_lookup"] = f"""WITH {CURRENT}, {RECORDS} SELECT o_orderkey, rec.egid, c.egid AS ref_egid, c.gstat, c.plz4
   FROM rec LEFT JOIN cur c ON c.egid = rec.egid"""
+ORACLE["record_lookup_reduced"] = ORACLE["record_lookup"]
 ORACLE["check_report"] = f"WITH {CHECKS} {TOTALS}"
 ORACLE["check_report_by_name"] = f"WITH {CHECKS} {BY_CHECK}"
 

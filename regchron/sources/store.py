@@ -24,15 +24,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from regchron.functions.columns import utc
 from regchron.operators.history import deletes, merge_measures, scd2_merge
 from regchron.schema import KEY, SILVER_SCHEMA
-from regchron.sources.tables import path_exists, require_not_null
+from regchron.sources.tables import estimated_bytes, path_exists, require_not_null
 
 # Staged rows per bucket from which on all buckets count as touched, without looking.
 _MANY_PER_BUCKET = 1_000
 # A new table gets a bucket for about so many bytes of current rows, and these numbers at least and at most.
 BUCKET_BYTES = 128 << 20
 _FEWEST, _MOST = 8, 1 << 16
-# From here on Spark's estimate says that it has none.
-_UNKNOWN_BYTES = 1 << 60
 _MANAGED = "spark.sql.hive.manageFilesourcePartitions"
 
 COMMIT_SCHEMA = (
@@ -47,12 +45,6 @@ def buckets_for(size: int) -> int:
     return min(_MOST, max(_FEWEST, 1 << max(0, wanted - 1).bit_length()))
 
 
-def estimated_bytes(rows: DataFrame) -> int:
-    """Spark's estimate from the size of the files read; if there is none, a text cell's size per column and row."""
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < _UNKNOWN_BYTES else rows.count() * 16 * len(rows.columns)
-
-
 class HistoryStore:
     """A history table below ``base`` with the columns of ``schema``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from regchron.functions import checks as K
 from regchron.functions.checks import CHECKS, outcome
 from regchron.operators import quality as Q
-from regchron.operators.lookup import lookup_join
+from regchron.operators.lookup import lookup_join, reduced_reference
 from regchron.schema import CANTONS, HASH_COLUMNS, RECORD_SCHEMA, RESULT_SCHEMA, STATUS_LABELS, UNFINISHED_STATES
 from regchron.session import scratch_path
 
@@ -155,6 +155,37 @@ def test_salted_lookup_gives_the_same_rows(spark):
     assert salted.count() == len(keys)
 
 
+def test_a_reduced_reference_gives_the_same_rows(spark):
+    """Few keys of a large reference: the others go before the shuffle, and no match is lost."""
+    path = scratch_path(spark, "reference")
+    spark.range(50_000).selectExpr("id AS rk", "concat('r', id) AS name").write.parquet(path)
+    reference = spark.read.parquet(path)
+    keys = [7] * 30 + list(range(0, 60_000, 500)) + [None, None, -3]
+    records = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, v int")
+    plain = lookup_join(records, reference, "k", "rk", reduce=False)
+    for salted in (False, True):
+        reduced = lookup_join(records, reference, "k", "rk", salted=salted, reduce=True)
+        assert sorted(map(str, reduced.collect())) == sorted(map(str, plain.collect()))
+    few = reduced_reference(reference, "rk", records, "k")
+    assert 101 <= few.count() <= 110
+    # One slot for all keys lets everything through, and still nothing is lost.
+    assert reduced_reference(reference, "rk", records, "k", slots=64).count() > 40_000
+    assert reduced_reference(reference, "rk", records.filter("v < 0"), "k").count() == 0
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        joined = lookup_join(records, reference, "k", "rk", reduce=True)
+        lines = joined._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set(threshold, before)
+    # From the top: the join, its shuffle of the reference, below that the filter, then the scan.
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "rk#" in line)
+    filtered = next(i for i, line in enumerate(lines) if "getbit" in line or "bit_get" in line)
+    shuffle = max(i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning(rk#" in line)
+    assert shuffle < filtered < scan
+
+
 def test_salt_spreads_a_frequent_key(spark):
     """Without run-time splitting the session gets the salted plan by itself."""
     records = spark.range(1000).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("v"))

@@ -48,8 +48,9 @@ def versions(spark, base):
     return sorted((r["egid"], r["gstat"], r["is_current"], r["dqa_deleted"]) for r in rows)
 
 
-@pytest.mark.parametrize("merge", [False, True])
-@pytest.mark.parametrize("step", ["begun", "published", "noted", "merged"])
+@pytest.mark.parametrize(
+    ("step", "merge"), [("begun", True), ("published", False), ("noted", False), ("noted", True), ("merged", True)]
+)
 def test_a_bulk_load_that_dies_goes_on(spark, tmp_path, step, merge):
     base = scratch_path(spark, "base")
     write(tmp_path / "ag", "one.csv", (1, "AG", 1004, "2024-12-31"), (2, "AG", 1003, "2024-12-31"))
