@@ -6,14 +6,15 @@ bigram model with a prior of ``PRIOR`` observations per context a:
     p(b | a) = c(a, b) / (c(a) + PRIOR)                     if (a, b) was seen in training
              = PRIOR / (c(a) + PRIOR) * p(b)                else,   p(b) = (c(b) + 1) / (N + V + 1)
 
-which never sums to more than one before rounding. Contexts are dealt over shards. A shard's trie is built, read
-and dropped within the task that counts the shard. It has two levels in flat arrays: the contexts, and
-their successors. Both levels, the pointers from the first into the second and the contexts' counts (as
-running sums) are monotone sequences in Elias-Fano code. The successors of context i are stored as
-i * width + rank of the word, relative to their context, which makes the whole level one monotone
-sequence; a lookup is a successor search for that value between the context's two pointers. Logarithms
-of probabilities are rounded to multiples of 1 / STEPS and kept as 16-bit codes, none of which is clamped:
-counts below 2**63 need codes below 32 * 19.
+which never sums to more than one before rounding. Contexts are dealt over shards of about ``SHARD_TOKENS``
+tokens. A shard keeps its packed rows and works through them in slices of neighbouring contexts, ``SLICE``
+bigrams at a time: a slice is unpacked and counted, its part of the trie is built, read and dropped. It has
+two levels in flat arrays: the contexts, and their successors. Both levels, the pointers from the first into
+the second and the contexts' counts (as running sums) are monotone sequences in Elias-Fano code. The
+successors of context i are stored as i * width + rank of the word, relative to their context, which makes the
+whole level one monotone sequence; a lookup is a successor search for that value between the context's two
+pointers. Logarithms of probabilities are rounded to multiples of 1 / STEPS and kept as 16-bit codes, none of
+which is clamped: counts below 2**63 need codes below 32 * 19.
 
 A batch of documents is reduced to its distinct bigrams, with the documents they stand in, before it is
 shuffled, packed into one row per batch and shard; a shard counts, builds its trie, looks up every
@@ -44,6 +45,9 @@ PRIOR = 2.0
 BATCH_BYTES = 8 << 20
 # Code c stands for a log10 probability of -c / STEPS.
 STEPS = 32
+# Bigrams of a shard that are unpacked at a time, and tokens of a shard.
+SLICE = 1 << 18
+SHARD_TOKENS = 4 << 20
 START = int(mix(np.array([0xA11CE], dtype=U))[0])
 END = int(mix(np.array([0xB0B], dtype=U))[0])
 SHORT = U((1 << 48) - 1)
@@ -257,10 +261,8 @@ def _pack(shards: int, spread: dict[int, int]):
                 documents = [task % shards, task, number, *[b""] * 6, batch.column("doc_id").to_pylist()]
                 documents += [size.astype(np.int64).tobytes(), held.tobytes()]
                 rows = [documents]
-                for s in range(shards):
+                for s in np.flatnonzero(np.diff(cut_pair)).tolist():
                     a, b = cut_pair[s], cut_pair[s + 1]
-                    if a == b:
-                        continue
                     c, d = cut_context[s], cut_context[s + 1]
                     rows.append([
                         s, task, number, names[c:d].tobytes(), widths[c:d].astype(np.uint32).tobytes(), short[a:b].tobytes(),
@@ -276,22 +278,13 @@ def _pack(shards: int, spread: dict[int, int]):
     return run
 
 
-def _shard(totals: dict[int, int]):
+def _shard(totals: dict[int, int], slice_size: int):
     """Count, build the trie, look up every distinct bigram and sum per document."""
     hot = np.array(sorted(totals), dtype=U)
     hot_total = np.array([totals[int(h)] for h in hot], dtype=np.int64)
 
-    def solve(rows: list[dict]) -> pa.RecordBatch:
-        def joined(name: str, kind) -> np.ndarray:
-            return np.concatenate([np.frombuffer(r[name], dtype=kind) for r in rows])
-
-        bigrams = [len(r["train"]) // 4 for r in rows]
-        context = np.repeat(joined("context", U), joined("width", np.uint32))
-        raw = joined("next", np.uint8).reshape(-1, 6)
-        wide = np.zeros((len(raw), 8), dtype=np.uint8)
-        wide[:, :6] = raw
-        word = wide.view("<u8").ravel().astype(U)
-        train, times = joined("train", np.uint32).astype(np.int64), joined("times", np.uint32).astype(np.int64)
+    def scored(context: np.ndarray, word: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For every bigram of a slice: the value, base and known of its distinct bigram, whether it was seen."""
         order = np.lexsort((word, context))
         new = np.ones(len(order), dtype=bool)
         c, w = context[order], word[order]
@@ -300,7 +293,7 @@ def _shard(totals: dict[int, int]):
         pair[order] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         c, w = c[first], w[first]
-        count = np.add.reduceat(train[order], first) if len(first) else first
+        count = np.add.reduceat(train[order], first)
         trained = count > 0
         trie = Trie(c[trained], w[trained], count[trained], totals)
         found = trie.lookup(c, w)
@@ -316,25 +309,27 @@ def _shard(totals: dict[int, int]):
         value = np.where(seen, found, np.log10(PRIOR / (total + PRIOR))[own])
         is_word = (names != U(START))[own]
         base = np.where(is_word, np.log10(total + 1.0)[own], 0.0)
-        known = (is_word & (total > 0)[own]).astype(np.int64)
+        known = is_word & (total > 0)[own]
+        return value[pair], base[pair], known[pair], seen[pair]
+
+    def solve(rows: list[dict]) -> pa.RecordBatch:
+        """One shard: its packed rows stay, and a slice of contexts at a time is unpacked, counted and looked up."""
+        packed = [_Packed(row) for row in rows]
+        slices = max(1, sum(p.bigrams for p in packed) // slice_size)
+        for number in range(slices):
+            bound = None if number == slices - 1 else U((number + 1) * (2**64 // slices))
+            parts_ = [p.take(bound) for p in packed]
+            context, word, train = (np.concatenate([x[i] for x in parts_]) for i in range(3))
+            if not len(context):
+                continue
+            scores = scored(context, word, train)
+            at = 0
+            for p, (_, own, _, times, doc) in zip(packed, parts_, strict=True):
+                p.add(*(x[at : at + len(own)] for x in scores), own, times, doc)
+                at += len(own)
         out: list[list] = [[] for _ in range(10)]
-        at = 0
-        for row, n in zip(rows, bigrams, strict=True):
-            each = np.repeat(pair[at : at + n], times[at : at + n])
-            at += n
-            doc = np.frombuffer(row["doc"], dtype=np.uint16).astype(np.int64)
-            docs, index = np.unique(doc, return_inverse=True)
-            missed = np.flatnonzero(~seen[each])
-            values = [
-                row["task"], row["batch"], docs.astype(np.uint16).tobytes(),
-                np.bincount(index, weights=value[each], minlength=len(docs)).tobytes(),
-                np.bincount(index, weights=base[each], minlength=len(docs)).tobytes(),
-                np.bincount(index, weights=known[each], minlength=len(docs)).astype(np.int32).tobytes(),
-                pa.StructArray.from_arrays(
-                    [pa.array(doc[missed], pa.int32()), pa.array(w[each[missed]].view(np.int64))], names=["doc", "word"]
-                ),
-                row["ids"], row["tokens"], row["held"],
-            ]
+        for row, p in zip(rows, packed, strict=True):
+            values = [row["task"], row["batch"], *p.sums(), row["ids"], row["tokens"], row["held"]]
             for column, x in zip(out, values, strict=True):
                 column.append(x)
         lengths = [len(x) for x in out[6]]
@@ -347,16 +342,72 @@ def _shard(totals: dict[int, int]):
         return pa.RecordBatch.from_arrays(arrays, names=_names(_SUMS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards: dict[int, list[dict]] = {}
+        # Rows come ordered by shard.
+        rows: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
-                shards.setdefault(row["shard"], []).append(row)
-        while shards:
-            yield solve(shards.popitem()[1])
+                if rows and row["shard"] != rows[0]["shard"]:
+                    yield solve(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield solve(rows)
 
     return run
 
 
+class _Packed:
+    """A packed row that is read from its lowest context to its highest, and the sums of its documents."""
+
+    def __init__(self, row: dict):
+        self.names = np.frombuffer(row["context"], dtype=U)
+        self.widths = np.frombuffer(row["width"], dtype=np.uint32)
+        self.next = np.frombuffer(row["next"], dtype=np.uint8).reshape(-1, 6)
+        self.train = np.frombuffer(row["train"], dtype=np.uint32)
+        self.times = np.frombuffer(row["times"], dtype=np.uint32)
+        self.docs = np.frombuffer(row["doc"], dtype=np.uint16)
+        self.bigrams = len(self.train)
+        self.at = (0, 0, 0)
+        size = int(self.docs.max()) + 1 if len(self.docs) else 0
+        self.score, self.base = np.zeros(size), np.zeros(size)
+        self.known, self.tokens = np.zeros(size, dtype=np.int32), np.zeros(size, dtype=np.int32)
+        self.unseen: list[pa.Array] = []
+
+    def take(self, bound: np.uint64 | None) -> tuple[np.ndarray, ...]:
+        """Context, next word, training count, times and documents of the bigrams below the next bound."""
+        c, e, d = self.at
+        to_c = len(self.names) if bound is None else int(np.searchsorted(self.names, bound))
+        widths = self.widths[c:to_c]
+        to_e = e + int(widths.sum())
+        times = self.times[e:to_e].astype(np.int64)
+        to_d = d + int(times.sum())
+        self.at = (to_c, to_e, to_d)
+        wide = np.zeros((to_e - e, 8), dtype=np.uint8)
+        wide[:, :6] = self.next[e:to_e]
+        word = wide.view("<u8").ravel().astype(U)
+        return np.repeat(self.names[c:to_c], widths), word, self.train[e:to_e].astype(np.int64), times, self.docs[d:to_d]
+
+    def add(self, value, base, known, seen, word, times, doc) -> None:
+        each = np.repeat(np.arange(len(value)), times)
+        doc = doc.astype(np.int64)
+        n = len(self.score)
+        self.score += np.bincount(doc, weights=value[each], minlength=n)
+        self.base += np.bincount(doc, weights=base[each], minlength=n)
+        self.known += np.bincount(doc, weights=known[each], minlength=n).astype(np.int32)
+        self.tokens += np.bincount(doc, minlength=n).astype(np.int32)
+        missed = np.flatnonzero(~seen[each])
+        words = pa.array(word[each[missed]].view(np.int64))
+        self.unseen.append(pa.StructArray.from_arrays([pa.array(doc[missed], pa.int32()), words], names=["doc", "word"]))
+
+    def sums(self) -> list:
+        docs = np.flatnonzero(self.tokens)
+        none = pa.StructArray.from_arrays([pa.nulls(0, pa.int32()), pa.nulls(0, pa.int64())], names=["doc", "word"])
+        return [
+            docs.astype(np.uint16).tobytes(), self.score[docs].tobytes(), self.base[docs].tobytes(),
+            self.known[docs].tobytes(), pa.concat_arrays([none, *self.unseen]),
+        ]
+
+
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each batch with the sums of all shards; rows come ordered by task and batch."""
 
@@ -403,10 +454,15 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(key, rows, *found)
 
 
-def score_texts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int | None = None) -> DataFrame:
+def score_texts(
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shards: int | None = None,
+    slice_size: int = SLICE,
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     spark = documents.sparkSession
-    shards = shards or parts(spark)
     held = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
     rows = documents.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), held.alias("held")
@@ -416,6 +472,8 @@ def score_texts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     whole = vocabulary.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     endings = rows.where(~F.col("held")).count()
     tokens, distinct = whole.n + endings, whole.v + (1 if endings else 0)
+    # As many shards as the counted tokens need, so that a shard's packed rows are bounded.
+    shards = shards or max(parts(spark), -(-tokens // SHARD_TOKENS))
     # A word with more than this many tokens is spread; there are at most 2 * shards of them.
     share = max(1, tokens // (2 * shards))
     frequent = {int(np.int64(r.word).view(U)): r.n for r in vocabulary.where(F.col("n") > share).collect()}
@@ -424,7 +482,8 @@ def score_texts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     spread = {h: -(-n // share) for h, n in frequent.items()}
 
     packed = rows.mapInArrow(_pack(shards, spread), _PACKED).repartitionById(shards, F.col("shard"))
-    sums = stored(packed.mapInArrow(_shard(frequent), _SUMS), "sums")
+    packed = packed.sortWithinPartitions("shard")
+    sums = stored(packed.mapInArrow(_shard(frequent, slice_size), _SUMS), "sums")
     by_batch = sums.drop("unseen").repartition(shards, "task", "batch").sortWithinPartitions("task", "batch")
     found = by_batch.mapInArrow(_sum, _DOCUMENTS)
 

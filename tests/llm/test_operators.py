@@ -481,10 +481,11 @@ def test_rare_successors_of_very_frequent_contexts():
         assert np.abs(trie.lookup(context, word) - wanted).max() <= 0.5 / lm.STEPS + 1e-9
 
 
-def test_scores_against_plain_counts(spark):
+@pytest.mark.parametrize("slice_size", [lm.SLICE, 7])
+def test_scores_against_plain_counts(spark, slice_size):
     rows = [(i, prose(i % 9, 5 + i % 30)) for i in range(80)]
     rows += [(200, ""), (201, None), (202, "NEW words\tonly\x0bhere"), (203, "Caps caps"), (5, rows[5][1]), (None, "a b"), (204, "the " * 4000)]
-    found = lm.score_texts(documents(spark, rows), shards=5).collect()
+    found = lm.score_texts(documents(spark, rows), shards=5, slice_size=slice_size).collect()
     texts = [(i, re.findall(r"[^\x20\x09-\x0D]+", lower(t)), zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2) for i, t in rows]
     words, pairs, starts = Counter(), Counter(), 0
     for _, own, held in texts:
@@ -500,7 +501,7 @@ def test_scores_against_plain_counts(spark):
             total = starts if a is None else words[a]
             base += math.log10((words[b] + 1) / (n + v + 1))
             if pairs[a, b]:
-                score -= min(255, round(-math.log10(pairs[a, b] / (total + lm.PRIOR)) * lm.STEPS)) / lm.STEPS
+                score -= round(-math.log10(pairs[a, b] / (total + lm.PRIOR)) * lm.STEPS) / lm.STEPS
             else:
                 score += math.log10(lm.PRIOR / (total + lm.PRIOR) * (words[b] + 1) / (n + v + 1))
         known = sum(words[b] > 0 for b in [*own, ""])
