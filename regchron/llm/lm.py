@@ -42,7 +42,7 @@ from regchron.llm.common import TOKEN_BYTES, U, Words, chunks, mix, parts, read_
 
 FOLDS, HELD_OUT = 7, 2
 PRIOR = 2.0
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 # Code c stands for a log10 probability of -c / STEPS.
 STEPS = 32
 # Bigrams of a shard that are unpacked at a time, and tokens of a shard.
