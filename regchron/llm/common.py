@@ -7,7 +7,9 @@ Python object per word. UTF-8 keeps this exact, since all bytes of a non-ASCII c
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -231,3 +233,48 @@ def groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.T
             last = tuple(marks[a])
     if pending:
         yield pa.Table.from_batches(pending)
+
+
+def _bucket_numbers(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` buckets a number that Spark's bucketing puts there."""
+    span = 16 * n
+    while True:
+        bucket = F.pmod(F.hash("id"), F.lit(n)).alias("bucket")
+        found = {r["bucket"]: r["id"] for r in spark.range(span).groupBy(bucket).agg(F.min("id").alias("id")).collect()}
+        if len(found) == n:
+            return [found[b] for b in range(n)]
+        span *= 2
+
+
+@contextmanager
+def partitioned_by_bucket(spark: SparkSession) -> Iterator[None]:
+    """Joins on bucket and text leave the texts in their buckets, and bring the other side there."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def in_task_buckets(rows: DataFrame, n: int, label: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], str]:
+    """The rows stored as they are read, with a number ``doc`` and the bucket ``b`` of the task that stored them.
+
+    Rows are not shuffled; what is found out about them is brought to them by joins on (b, doc). Also
+    returned are the function that adds ``b`` to rows with ``doc``, and the table's name: the caller drops it
+    when it is no longer read. Input of fewer partitions than cores is dealt out.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
+    slots = F.array(*[F.lit(x).cast("bigint") for x in _bucket_numbers(spark, n)])
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("b", F.get(slots, F.pmod(F.shiftright("doc", 33), F.lit(n)).cast("int")))
+
+    name = f"{label}_{uuid4().hex}"
+    writer = placed(rows.withColumn("doc", F.monotonically_increasing_id())).write.bucketBy(n, "b")
+    writer.option("compression", "zstd").option("path", scratch_path(spark, label)).saveAsTable(name)
+    return spark.table(name), placed, name

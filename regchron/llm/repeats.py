@@ -13,7 +13,7 @@ order is built for one suffix bucket at a time, and only for buckets that can ho
    need, and blocks of whole buckets are concatenated, every anchor at a multiple of ``COVER``.
 4. In a block the positions whose remainder lies in a difference cover modulo ``COVER`` are the cover
    sample. Their ranks to a depth of 32 bytes come from sorting, to 64 by doubling (a sample 32 bytes
-   further is a sample again). Buckets of suffixes are then sorted one at a time by their first eight
+   further is a sample again). Of equal contexts only the first is sorted. Buckets of suffixes are then sorted one at a time by their first eight
    bytes; longer ties are resolved by the ranks of the samples inside them and the last bytes. Within
    a class of equal strings all but the first go.
 
@@ -21,26 +21,39 @@ Memory is bounded by the block, not by the text or the bucket: a bucket with mor
 is cut into pieces, each reduced to the first occurrence of every string, and what is left is compared
 across pieces by partial aggregation on the strings' hashes.
 
+Texts are not shuffled: they are stored as they are read, each task's in a bucket of its own, and what is
+found out about them is brought there.
+
 Documents are ordered by id, then by start. Defined results: null and empty texts have no bytes; texts
 of fewer than ``LENGTH`` bytes stay whole; rows with equal id and text are one document and get one
-result each; of rows that share an id but not the text, the text of least hash is the document and the
-others stay whole; a null id comes before all others; no rows give no rows. Only the two named columns
-are read.
+result each; rows that share an id but not the text are documents of their own, ordered by a hash of the text;
+a null id comes before all others; no rows give no rows. Only the two named columns are read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regchron.llm.common import BASE, BASE_INVERSE, U, chunks, mix, parts, powers, read_table, stored, text_bytes
-from regchron.session import scratch_path
+from regchron.llm.common import (
+    BASE,
+    BASE_INVERSE,
+    U,
+    chunks,
+    in_task_buckets,
+    mix,
+    partitioned_by_bucket,
+    parts,
+    powers,
+    read_table,
+    stored,
+    text_bytes,
+)
 
 LENGTH = 100
 GRAM = 32
@@ -59,10 +72,10 @@ _VALUES_2 = mix(np.arange(256, dtype=U) + U(901))
 # multiple and a small remainder.
 SAMPLE = sorted(set(range(ROOT)) | set(range(0, COVER, ROOT)))
 
-_ANCHORS = "gram bigint, id bigint, at int"
-_REPEATED = "gram bigint, id bigint, at int, salt int"
-_CONTEXTS = "gram bigint, salt int, id bigint, start int, lead int, bytes binary"
-_RUNS = "id bigint, start int, end int, one bigint, two bigint"
+_ANCHORS = "gram bigint, doc bigint, at int"
+_REPEATED = "gram bigint, doc bigint, at int, salt int"
+_CONTEXTS = "gram bigint, salt int, id bigint, part bigint, doc bigint, start int, lead int, bytes binary"
+_RUNS = "doc bigint, id bigint, part bigint, start int, end int, one bigint, two bigint"
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -109,10 +122,10 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         data, offsets = text_bytes(batch.column("text"))
         place, gram, _, _ = anchors(data, offsets)
         row = np.searchsorted(offsets, place, side="right") - 1
-        ids = batch.column("id").to_numpy()
+        docs = batch.column("doc").to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(gram.view(np.int64)), pa.array(ids[row]), pa.array(place - offsets[row], pa.int32())],
-            names=["gram", "id", "at"],
+            [pa.array(gram.view(np.int64)), pa.array(docs[row]), pa.array(place - offsets[row], pa.int32())],
+            names=["gram", "doc", "at"],
         )
 
 
@@ -177,11 +190,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.concatenate([[0], ends]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(gram.view(np.int64)), pa.array(salt, pa.int32()), pa.array(batch.column("id").to_numpy()[row]),
+                pa.array(gram.view(np.int64)), pa.array(salt, pa.int32()),
+                *[pa.array(batch.column(c).to_numpy()[row]) for c in ("id", "part", "doc")],
                 pa.array(first - offsets[row], pa.int32()), pa.array(place - first, pa.int32()),
                 pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(taken)]),
             ],
-            names=["gram", "salt", "id", "start", "lead", "bytes"],
+            names=["gram", "salt", "id", "part", "doc", "start", "lead", "bytes"],
         )
 
 
@@ -261,22 +275,52 @@ def _sort_blocks(piece_size: int):
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        gram, salt, ids = (table[c].to_numpy() for c in ("gram", "salt", "id"))
+        gram, salt = table["gram"].to_numpy(), table["salt"].to_numpy()
+        piece = np.ones(len(gram), dtype=bool)
+        piece[1:] = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])
+        number = np.cumsum(piece) - 1
+        several = (salt > 0) | (np.bincount(number) >= piece_size)[number]
+        if (salt > 0).any():
+            # Pieces of one bucket in one block are compared together, so their rows are brought into one order.
+            order = np.lexsort([table[c].to_numpy() for c in ("start", "part", "id", "gram")])
+            table, several = table.take(pa.array(order)).combine_chunks(), several[order]
+            gram = gram[order]
+        bucket = np.ones(len(gram), dtype=bool)
+        bucket[1:] = gram[1:] != gram[:-1]
+        number = np.cumsum(bucket)
         start, lead = table["start"].to_numpy().astype(np.int64), table["lead"].to_numpy().astype(np.int64)
         column = table["bytes"].chunk(0)
-        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-        data = np.frombuffer(column.buffers()[2], np.uint8)
+        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        bounds = bounds.astype(np.int64)
+        data = np.frombuffer(column.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
         size = np.diff(bounds)
-        pad = -lead % COVER
-        slot = -(-(pad + size) // COVER) * COVER
+
+        # Of equal contexts only the first is sorted: all strings of the others repeat its own.
+        total = np.zeros(len(data) + 1, dtype=U)
+        np.cumsum(_VALUES[data] * powers(BASE, len(data)), out=total[1:])
+        whole = mix((total[bounds[1:]] - total[bounds[:-1]]) * powers(BASE_INVERSE, len(data) + 1)[bounds[:-1]])
+        order = np.lexsort([whole, size, lead, number])
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = False
+        for c in (whole, size, lead, number):
+            new[1:] |= c[order][1:] != c[order][:-1]
+        kept = np.zeros(len(order), dtype=bool)
+        kept[order[new]] = True
+        copies, rows = np.flatnonzero(~kept), np.flatnonzero(kept)
+
+        pad = -lead[rows] % COVER
+        mine = size[rows]
+        slot = -(-(pad + mine) // COVER) * COVER
         begin = np.cumsum(slot) - slot + pad
         block = np.zeros(int(slot.sum()), dtype=np.uint8)
-        inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        block[np.repeat(begin, size) + inner] = data[np.repeat(bounds[:-1], size) + inner]
-        windows = size - LENGTH + 1
-        own = np.repeat(np.arange(len(size)), windows)
+        inner = np.arange(int(mine.sum())) - np.repeat(np.cumsum(mine) - mine, mine)
+        block[np.repeat(begin, mine) + inner] = data[np.repeat(bounds[rows], mine) + inner]
+        windows = mine - LENGTH + 1
+        local = np.repeat(np.arange(len(rows)), windows)
         step = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
-        at = begin[own] + step
+        at = begin[local] + step
+        own = rows[local]
         gone = later_copies(block, at)
         new = np.ones(len(own), dtype=bool)
         new[1:] = ~gone[:-1] | (own[1:] != own[:-1])
@@ -284,25 +328,24 @@ def _sort_blocks(piece_size: int):
         tail = np.ones(len(own), dtype=bool)
         tail[:-1] = ~gone[1:] | (own[1:] != own[:-1])
         tails = np.flatnonzero(gone & tail)
-        piece = np.ones(len(gram), dtype=bool)
-        piece[1:] = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])
-        members = np.bincount(np.cumsum(piece) - 1)[np.cumsum(piece) - 1]
-        open_ = np.flatnonzero(~gone & ((salt > 0) | (members >= piece_size))[own])
+        open_ = np.flatnonzero(~gone & several[own])
         place = at[open_]
         hashes = []
-        for values in (_VALUES, _VALUES_2):
+        for values in (_VALUES, _VALUES_2) if len(open_) else ():
             total = np.zeros(len(block) + 1, dtype=U)
             np.cumsum(values[block] * powers(BASE, len(block)), out=total[1:])
             hashes.append(mix((total[place + LENGTH] - total[place]) * powers(BASE_INVERSE, len(block) + 1)[place]).view(np.int64))
-        n = len(heads)
-        names = np.concatenate([own[heads], own[open_]])
-        first = np.concatenate([start[own[heads]] + step[heads], start[own[open_]] + step[open_]])
-        end = np.concatenate([start[own[tails]] + step[tails] + LENGTH, start[own[open_]] + step[open_] + LENGTH])
-        empty = pa.nulls(n, pa.int64())
-        one, two = (pa.concat_arrays([empty, pa.array(h)]) for h in hashes)
+        empty = pa.nulls(len(copies) + len(heads), pa.int64())
+        who = np.concatenate([copies, own[heads], own[open_]])
+        first = np.concatenate([start[copies], start[own[heads]] + step[heads], start[own[open_]] + step[open_]])
+        end = np.concatenate(
+            [start[copies] + size[copies], start[own[tails]] + step[tails] + LENGTH, start[own[open_]] + step[open_] + LENGTH]
+        )
+        one, two = (pa.concat_arrays([empty, pa.array(h)]) for h in hashes) if hashes else (empty, empty)
+        names = [table[c].combine_chunks().take(pa.array(who)) for c in ("doc", "id", "part")]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[names]), pa.array(first, pa.int32()), pa.array(end, pa.int32()), one, two],
-            names=["id", "start", "end", "one", "two"],
+            [*names, pa.array(first, pa.int32()), pa.array(end, pa.int32()), one, two],
+            names=["doc", "id", "part", "start", "end", "one", "two"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,10 +403,10 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append([{"start": a, "end": b} for a, b in merged])
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("id"), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()),
+                batch.column("doc"), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
             ],
-            names=["id", "n_removed", "n_spans", "kept_sha256", "spans"],
+            names=["doc", "n_removed", "n_spans", "kept_sha256", "spans"],
         )
 
 
@@ -371,49 +414,52 @@ def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str =
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) for every row; spans count bytes."""
     spark = documents.sparkSession
     n = parts(spark)
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = documents.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_FIRST)).alias("id"),
-        whole.alias("text"),
-        F.sha2(whole, 256).alias("sha"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    info = stored(rows.select("doc_id", "id", "sha", F.octet_length("text").cast("bigint").alias("n_bytes")), "info")
-    named = info.where(f"n_bytes >= {LENGTH}").groupBy("id").agg(F.min("sha").alias("sha"))
-    least = stored(named.groupBy("sha").agg(F.min("id").alias("least")), "least")
-
-    # The texts to examine, kept in buckets of their id, so that later joins on it leave them in place.
-    wanted = least.select(F.col("least").alias("id"), F.col("sha").alias("own"))
-    examined = rows.join(wanted, "id").where("sha = own").select("id", "text").dropDuplicates(["id"])
-    name = f"repeats_{uuid4().hex}"
-    examined.write.bucketBy(n, "id").option("compression", "zstd").option("path", scratch_path(spark, "texts")).saveAsTable(name)
-    texts = spark.table(name)
-
-    order = ["gram", "id", "at"]
-    found = texts.mapInArrow(_emit_anchors, _ANCHORS).repartition(n, "gram").sortWithinPartitions(*order)
-    found = found.mapInArrow(_repeated(piece), _REPEATED)
-    found = stored(found.groupBy("id").agg(F.collect_list(F.struct("at", "salt")).alias("found")), "anchors")
-    contexts = texts.join(found, "id").select("id", "text", "found").mapInArrow(_contexts, _CONTEXTS)
-    order = ["gram", "salt", "id", "start"]
-    sorted_ = contexts.repartition(n, "gram", "salt").sortWithinPartitions(*order).mapInArrow(_sort_blocks(piece), _RUNS)
-    sorted_ = stored(sorted_, "runs")
+    texts, placed, name = in_task_buckets(rows, n, "repeats")
+    measures = [F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("bigint").alias("n_bytes")]
+    info = stored(texts.select("doc", "doc_id", "id", *measures), "info")
+    least = info.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.min(F.struct("id", "doc")).alias("own"))
+    least = stored(least.select("sha", "own.id", "own.doc"), "least")
+    # Several texts of one id are ordered by a hash of the text.
+    twins = stored(least.groupBy("id").agg(F.count("*").alias("texts")).where("texts > 1"), "twins")
+    part = F.when(F.col("texts").isNotNull(), F.xxhash64("sha")).otherwise(F.lit(0)).cast("bigint")
+    wanted = stored(placed(least.join(twins, "id", "left").select("doc", part.alias("part"))), "wanted")
+
+    with partitioned_by_bucket(spark):
+        examined = texts.join(wanted, ["b", "doc"]).select("doc", "text")
+        found = examined.mapInArrow(_emit_anchors, _ANCHORS).repartition(n, "gram")
+        found = found.sortWithinPartitions("gram", "doc", "at").mapInArrow(_repeated(piece), _REPEATED)
+        found = placed(found).groupBy("b", "doc").agg(F.collect_list(F.struct("at", "salt")).alias("found"))
+        found = stored(found.join(wanted, ["b", "doc"]), "anchors")
+        contexts = texts.join(found, ["b", "doc"]).select("doc", "id", "part", "text", "found")
+        contexts = contexts.mapInArrow(_contexts, _CONTEXTS).repartition(n, "gram", "salt")
+        contexts = contexts.sortWithinPartitions("gram", "salt", "id", "part", "start")
+        sorted_ = stored(contexts.mapInArrow(_sort_blocks(piece), _RUNS), "runs")
 
     pieces = sorted_.where("one IS NOT NULL")
-    first = pieces.groupBy("one", "two").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    across = pieces.join(first, ["one", "two"]).where(F.struct("id", "start") > F.col("first")).select("id", "start", "end")
-    runs = sorted_.where("one IS NULL").select("id", "start", "end").union(across)
-    runs = stored(runs.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("runs")), "removed")
-    judged = texts.join(runs, "id").select("id", "text", "runs").mapInArrow(
-        _digest, "id bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:int,end:int>>"
-    )
-    judged = stored(judged, "judged").join(wanted.select("id", F.col("own").alias("sha")), "id")
+    place = F.struct("id", "part", "start")
+    first = pieces.groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    across = pieces.join(first, ["one", "two"]).where(place > F.col("first")).select("doc", "start", "end")
+    runs = sorted_.where("one IS NULL").select("doc", "start", "end").union(across)
+    spans = "array<struct<start:int,end:int>>"
+    with partitioned_by_bucket(spark):
+        runs = placed(runs).groupBy("b", "doc").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+        runs = stored(runs, "removed")
+        judged = texts.join(runs, ["b", "doc"]).select("doc", "text", "runs")
+        judged = judged.mapInArrow(
+            _digest, f"doc bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans {spans}"
+        )
+        judged = stored(judged.join(least.select("doc", "sha"), "doc").drop("doc"), "judged")
     # All that follows reads stored rows; the texts' files go with the session.
     spark.sql(f"DROP TABLE {name}")
 
-    out = info.join(named.select("id", F.col("sha").alias("named")), "id", "left").join(least, "sha", "left")
-    copy = (F.col("sha") == F.col("named")) & (F.col("least") < F.col("id"))
-    copy = F.coalesce(copy, F.lit(False))
-    out = out.join(judged, ["id", "sha"], "left")
+    out = info.drop("doc").join(least.select("sha", F.col("id").alias("least")), "sha", "left")
+    copy = F.coalesce(F.col("least") < F.col("id"), F.lit(False))
+    out = out.join(judged, "sha", "left")
     empty = F.sha2(F.lit(""), 256)
     all_ = F.expr("array(struct(0 AS start, cast(n_bytes AS int) AS end))")
     none = F.expr("cast(array() AS array<struct<start:int,end:int>>)")

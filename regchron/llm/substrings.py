@@ -37,13 +37,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 from typing import NamedTuple
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regchron.llm.common import (
@@ -53,14 +51,15 @@ from regchron.llm.common import (
     U,
     Words,
     chunks,
+    in_task_buckets,
     mix,
+    partitioned_by_bucket,
     parts,
     powers,
     read_table,
     span_hashes,
     stored,
 )
-from regchron.session import scratch_path
 
 WINDOW = 13
 ROUNDS = 2
@@ -422,29 +421,6 @@ def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def bucket_numbers(spark: SparkSession, n: int) -> list[int]:
-    """For each of ``n`` buckets a number that Spark's bucketing puts there."""
-    span = 16 * n
-    while True:
-        bucket = F.pmod(F.hash("id"), F.lit(n)).alias("bucket")
-        found = {r["bucket"]: r["id"] for r in spark.range(span).groupBy(bucket).agg(F.min("id").alias("id")).collect()}
-        if len(found) == n:
-            return [found[b] for b in range(n)]
-        span *= 2
-
-
-@contextmanager
-def partitioned_by_bucket(spark: SparkSession) -> Iterator[None]:
-    """Joins on bucket and text leave the texts in their buckets, and bring the other side there."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def repeated_words(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -457,20 +433,7 @@ def repeated_words(
     spark = documents.sparkSession
     n = parts(spark)
     rows = documents.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)
-    slots = F.array(*[F.lit(x).cast("bigint") for x in bucket_numbers(spark, n)])
-
-    def placed(df: DataFrame) -> DataFrame:
-        """The bucket of a text: one for each task that stored texts, or for each n-th."""
-        return df.withColumn("b", F.get(slots, F.pmod(F.shiftright("doc", 33), F.lit(n)).cast("int")))
-
-    name = f"substrings_{uuid4().hex}"
-    writer = placed(rows.withColumn("doc", F.monotonically_increasing_id())).write.bucketBy(n, "b")
-    writer.option("compression", "zstd").option("path", scratch_path(spark, "texts")).saveAsTable(name)
-    texts = spark.table(name)
-
+    texts, placed, name = in_task_buckets(rows, n, "substrings")
     measures = "doc bigint, id bigint, sha string, n_words bigint"
     info = stored(texts.select("doc", "id", "text").mapInArrow(_measure, measures), "info")
     long_ = info.where((F.col("n_words") >= window) & F.col("id").isNotNull())

@@ -454,6 +454,19 @@ def test_repeats_against_all_windows(spark, piece):
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == wanted[r.doc_id], r.doc_id
 
 
+@pytest.mark.parametrize("piece", [2, 4096])
+def test_every_text_of_an_id_is_judged(spark, piece):
+    """Ids that several texts share, and texts without one: each is examined, and counts as earlier for others."""
+    passage = prose(77, 40, 500)
+    size = len(passage.encode())
+    texts = [(i, f"{prose(50 + k, 9, 500)} {passage} {prose(80 + k, 9, 500)}") for k, i in enumerate([3, 3, None, None, 9])]
+    found = repeats.repeated_passages(documents(spark, [*texts, (None, "short"), (3, "short")]), piece=piece).collect()
+    long_ = [r for r in found if r.n_bytes > 100]
+    whole = [r for r in long_ if r.n_removed == 0]
+    assert [r.doc_id for r in whole] == [None] and len(long_) == 5
+    assert all(size <= r.n_removed < size + 20 and r.n_spans == 1 for r in long_ if r.n_removed)
+
+
 def test_sliding_least():
     values = np.array([5, 3, 8, 1, 9, 2, 7], dtype=np.uint64)
     assert repeats.sliding_least(values, 3).tolist() == [3, 1, 1, 1, 2]
