@@ -263,6 +263,7 @@ def bronze_ingest(
             if move_watermark and not cantons:
                 sources[WATERMARK_SOURCE] = counted["newest"]
             move_marks(spark, base, sources, now, buffer_days)
+    # The names that the result of a load has.
     return {
         "run_id": run_id,
         "since_date": since,

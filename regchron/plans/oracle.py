@@ -50,7 +50,8 @@ def _strip(text: str) -> str:
     return f"trim(CAST({text} AS VARCHAR), {SPACES})"
 
 
-HASH = "sha256(" + " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in HASH_COLUMNS) + ")"
+# Fingerprint: the values as text, an empty one for NULL, in a list that is written with bars.
+HASH = f"sha256(array_to_string([{', '.join(f'ifnull({c}::VARCHAR, ' + repr('') + ')' for c in HASH_COLUMNS)}], '|'))"
 
 CANTON_LIST = "[" + ", ".join(_text(c.upper()) for c in CANTONS) + "]"
 
