@@ -18,9 +18,9 @@ than ``support`` documents has no such term, which leaves few documents whose en
 their words. Pairs are counted with partial aggregation, so an entity or term shared by a third of all
 documents sends one row per task; the joins on them have sides that adaptive execution splits.
 
-Defined results: a null text is empty and has no spans, and stays null when sanitised; rows with the
-same id (or a null id) share their terms, and each counts as a document; equal rows get equal results; no
-rows give no rows. Columns of the input named like a result are replaced by it, the rest is passed on.
+Defined results: a null text is empty and has no spans, and stays null when sanitised; every row counts as
+a document; the terms of a text are its own, also if other texts have its id or none has an id; equal rows get
+equal results; no rows give no rows. Columns of the input named like a result are replaced by it, the rest is passed on.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regchron.llm.common import read_table, stored
-from regchron.llm.spans import count_of, labelled, let, matches, ordered, written
+from regchron.llm.spans import count_of, gaps, labelled, let, matches, ordered, rest, with_reach, written
 
 # The four base kinds. Possessive repetitions and look-behinds keep matching linear on
 # long runs and change no match: a run that fails from its first character fails from every later one.
@@ -92,30 +92,27 @@ def _entity(span: Column) -> Column:
 
 def _words(text: Column, base: Column) -> Column:
     """Distinct lower-case words that no base span touches."""
+    # With one character of the spans (or a blank) on both sides, so that a word they cut stands at the end.
     padded = F.concat(F.lit(" "), text, F.lit(" "))
-    state = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<string>)").alias("out"))
 
-    def gap(at: Column, start: Column) -> Column:
-        # With one character of the spans (or a blank) on both sides, so that a word they cut stands at the end.
-        return F.when(start >= at, F.regexp_replace(F.substring(padded, at + 1, start - at + 2), _CUT, "")).otherwise("")
+    def between(reached: Column) -> Column:
+        stretches = F.concat(gaps(padded, reached, 1), F.array(rest(padded, reached)))
+        return F.array_join(F.transform(stretches, lambda g: F.regexp_replace(g, _CUT, "")), " ")
 
-    def step(s: Column, x: Column) -> Column:
-        out = F.concat(s.out, F.array(gap(s.at, x.start)))
-        return F.struct(F.greatest(s.at, x.end).alias("at"), out.alias("out"))
-
-    between = F.aggregate(
-        base, state, step, lambda s: F.array_join(F.concat(s.out, F.array(gap(s.at, F.length(text)))), " ")
-    )
-    free = F.when(F.size(base) > 0, between).otherwise(text)
+    free = F.when(F.size(base) > 0, let(with_reach(base), between)).otherwise(text)
     return F.array_distinct(F.regexp_extract_all(F.lower(free), F.lit(WORD), F.lit(0)))
 
 
 def disclosing_terms(documents: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """(id, terms): for documents (id, text, base) the distinct terms that disclose one of their entities."""
+    """(id, mark, terms): for documents (id, mark, text, base) the distinct terms that disclose one of their entities.
+
+    ``mark`` tells texts of one id, or without one, apart.
+    """
     text = F.coalesce("text", F.lit(""))
     held = stored(
         documents.select(
             "id",
+            "mark",
             F.monotonically_increasing_id().alias("row"),
             F.array_distinct(F.transform("base", _entity)).alias("entities"),
             _words(text, F.col("base")).alias("words"),
@@ -129,14 +126,16 @@ def disclosing_terms(documents: DataFrame, threshold: float = THRESHOLD, support
     of_entity = stored(of_entity.where((F.col("n_e") >= support) & (F.col("n_e") < every)), "entities")
     of_term = held.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     paired = own.join(of_entity.select("entity"), "entity").groupBy("row").agg(F.collect_list("entity").alias("entities"))
-    paired = stored(held.select("id", "row", "words").join(paired, "row").select("id", "entities", "words"), "paired")
-    pairs = paired.select("id", F.explode("entities").alias("entity"), "words").select("id", "entity", F.explode("words").alias("term"))
+    paired = stored(held.select("id", "mark", "row", "words").join(paired, "row").drop("row"), "paired")
+    pairs = paired.select("id", "mark", F.explode("entities").alias("entity"), "words")
+    pairs = pairs.select("id", "mark", "entity", F.explode("words").alias("term"))
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
     ic = F.log2(F.lit(every) / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * F.lit(float(every)) / (F.col("n_e") * F.col("n_t")))
     strong = together.join(of_entity, "entity").join(of_term, "term").where(pmi >= threshold * ic).select("entity", "term")
     strong = stored(strong, "strong")
-    return pairs.join(strong, ["entity", "term"]).groupBy("id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    found = pairs.join(strong, ["entity", "term"]).groupBy("id", "mark")
+    return found.agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
@@ -154,19 +153,13 @@ def _label(span: Column) -> Column:
 
 def sanitised(text: Column, spans: Column) -> Column:
     """The text with every span replaced; of overlapping spans the first labels the whole stretch."""
-    state = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<string>)").alias("out"))
 
-    def step(s: Column, x: Column) -> Column:
-        gap = F.substring(text, s.at + 1, x.start - s.at)
-        return F.when(
-            x.start >= s.at,
-            F.struct(x.end.alias("at"), F.concat(s.out, F.array(gap, _label(x))).alias("out")),
-        ).otherwise(F.struct(F.greatest(s.at, x.end).alias("at"), s.out.alias("out")))
+    def joined(reached: Column) -> Column:
+        labels = F.transform(reached, lambda x: F.when(x.span.start >= x.at, _label(x.span)).otherwise(""))
+        both = F.zip_with(gaps(text, reached), labels, lambda g, label: F.concat(g, label))
+        return F.concat(F.array_join(both, ""), rest(text, reached))
 
-    joined = F.aggregate(
-        spans, state, step, lambda s: F.array_join(F.concat(s.out, F.array(F.substring(text, s.at + 1, F.length(text)))), "")
-    )
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+    return F.when(F.size(spans) > 0, let(with_reach(spans), joined)).otherwise(text)
 
 
 def sanitise(
@@ -179,10 +172,12 @@ def sanitise(
     """The documents with ``base``, ``terms``, ``spans`` (base and term spans) and ``clean`` (sanitised text)."""
     kept = documents.drop(*[c for c in RESULTS if c not in (doc_id, text)])
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    found = kept.select(F.col(doc_id).alias("id"), own.alias("text"), base_spans(own).alias("base"))
-    terms = disclosing_terms(found, threshold, support).select(F.col("id").alias("__id"), "terms")
-    terms = stored(terms, "terms")
-    joined = kept.join(terms, kept[doc_id].eqNullSafe(terms["__id"]), "left").drop("__id")
+    mark = F.struct(F.xxhash64(own), F.xxhash64(own, F.lit(1)))
+    found = kept.select(F.col(doc_id).alias("id"), mark.alias("mark"), own.alias("text"), base_spans(own).alias("base"))
+    terms = disclosing_terms(found, threshold, support)
+    terms = stored(terms.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "terms"), "terms")
+    same = kept[doc_id].eqNullSafe(terms["__id"]) & (mark == terms["__mark"])
+    joined = kept.join(terms, same, "left").drop("__id", "__mark")
     joined = joined.withColumn("base", base_spans(own)).withColumn(
         "terms", F.coalesce("terms", F.expr("cast(array() AS array<string>)"))
     )

@@ -8,6 +8,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -164,6 +165,36 @@ def test_terms_that_disclose_an_entity_go(spark):
     assert found[100].clean == "[EMAIL] Zanzib common words"
 
 
+def test_texts_without_an_id_keep_to_themselves(spark):
+    """Terms of one text do not reach another one that shares its id, or has none either."""
+    rows = [(None, f"Zanzibar met ann@x.org number {i}") for i in range(4)]
+    rows += [(None, "Zanzibar island is nice"), (7, "Zanzibar met ann@x.org twice"), (7, "Zanzibar again")]
+    rows += [(100 + i, f"other words {i}") for i in range(60)]
+    found = {r.text: r.clean for r in pii.sanitise(documents(spark, rows), threshold=0.85).collect()}
+    assert found["Zanzibar island is nice"] == "Zanzibar island is nice"
+    assert found["Zanzibar again"] == "Zanzibar again"
+    assert found["Zanzibar met ann@x.org twice"] == "[NAME] [NAME] [EMAIL] twice".replace("[NAME] [NAME]", "[NAME] [TERM]")
+
+
+def test_many_spans_in_one_text(spark):
+    """Twenty thousand addresses in a text, and overlapping spans."""
+    texts = [" ".join(f"é ann{i}@x.org" for i in range(20_000)), "a@1.2.3.4 +41 44 668 18 00@x.org 1.2.3.4@b.org z" * 300, "1.2.3.4"]
+    df = documents(spark, list(enumerate(texts)))
+    pii.sanitise(df.filter("doc_id = 2")).collect()
+    began = time.monotonic()
+    found = {r.doc_id: r for r in pii.sanitise(df.filter("doc_id = 0")).collect()}
+    assert time.monotonic() - began < 20
+    assert found[0].clean == " ".join(["é [EMAIL]"] * 20_000) and len(found[0].spans) == 20_000
+    row = pii.sanitise(df.filter("doc_id = 1")).first()
+    spans = base_spans(texts[1])
+    out, at = [], 0
+    for start, _, end, kind in spans:
+        if start >= at:
+            out.append(texts[1][at:start] + f"[{kind.upper()}]")
+        at = max(at, end)
+    assert row.clean == "".join(out) + texts[1][at:] and len(spans) > 512
+
+
 def plain_terms(texts, threshold=pii.THRESHOLD, support=pii.SUPPORT):
     own = []
     for text in texts:
