@@ -39,6 +39,7 @@ ORACLE = {
     "op5_near_vectors": near_vectors.SQL,
     "op6_chat": chat.SQL,
     "op8_decontaminate": decontaminate.SQL,
+    "op9_repeats": repeats.SQL,
     "op11_substrings": substrings.SQL,
     "op12_phrases": phrases.SQL,
 }

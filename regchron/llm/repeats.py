@@ -476,3 +476,25 @@ def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str =
 def op9(spark, sf_dir: str) -> DataFrame:
     """All documents."""
     return repeated_passages(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+w AS (SELECT doc_id, i, array_slice(t, i + 1, i + 100) AS s
+      FROM (SELECT doc_id, t, unnest(range(0, octet_length(t) - 99)) AS i FROM d WHERE octet_length(t) >= 100)),
+e AS (SELECT s, min(doc_id::HUGEINT * 4294967296 + i) AS first FROM w GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT w.doc_id, w.i FROM w JOIN e ON e.s = w.s AND w.doc_id::HUGEINT * 4294967296 + w.i > e.first),
+marked AS (
+  SELECT doc_id, i, coalesce(i > 100 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS new FROM gone),
+numbered AS (SELECT doc_id, i, count(*) FILTER (new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run),
+kept AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+parts AS (
+  SELECT k.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(hex(array_slice(t, before + 1, a)), '' ORDER BY a) AS head
+  FROM kept k JOIN d ON d.doc_id = k.doc_id GROUP BY k.doc_id)
+SELECT d.doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || hex(array_slice(t, coalesce(last, 0) + 1, octet_length(t))))) AS kept_sha256
+FROM d LEFT JOIN parts p ON p.doc_id = d.doc_id
+"""
