@@ -61,13 +61,14 @@ class HistoryStore:
         buckets: int | None = None,
     ):
         self.spark = spark
-        self.base = base.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.buckets = buckets
-        self._name = f"regchron_{hashlib.sha256(self.base.encode()).hexdigest()[:24]}"
         self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.base).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs = self._path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+        # A relative path would mean one folder to the file system and another one to the catalog.
+        self.base = self._fs.makeQualified(self._path(base.rstrip("/"))).toString()
+        self._name = f"regchron_{hashlib.sha256(self.base.encode()).hexdigest()[:24]}"
 
     # -- commits: small files, one per merge --------------------------------------------------
 

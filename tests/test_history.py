@@ -285,6 +285,12 @@ def test_what_a_dead_merge_left_is_cleared(spark):
     assert sorted((r["egid"], r["gstat"], r["is_current"]) for r in again.read().collect()) == rows
 
 
+def test_a_relative_folder_is_the_same_to_all(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    store = HistoryStore(spark, "some/folder/", SCHEMA)
+    assert store.base.startswith("file:/") and store.base.endswith("/some/folder")
+
+
 def test_the_number_of_buckets_follows_from_the_size():
     assert buckets_for(0) == buckets_for(1 << 30) == 8
     assert buckets_for((1 << 30) + 1) == 16 and buckets_for(10**15) == 1 << 16
