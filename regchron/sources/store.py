@@ -81,8 +81,12 @@ class HistoryStore:
         numbers = [int(name) for name in names if name.isdigit()]
         if not numbers:
             return None
-        found = self.spark.read.text(f"{self.base}/commits/{max(numbers)}").first()
-        return json.loads(found["value"])
+        # A small file, read on the driver: a Spark job for it would take longer than the rest.
+        file = self._fs.open(self._path(f"{self.base}/commits/{max(numbers)}"))
+        try:
+            return json.loads(bytes(file.readAllBytes()).decode("utf-8"))
+        finally:
+            file.close()
 
     def commits(self) -> DataFrame:
         """All commits, as a table."""
@@ -211,8 +215,8 @@ class HistoryStore:
         placed = require_not_null(rows, self.schema).withColumns(
             {"v": F.lit(version).cast("bigint"), "bucket": self._bucket(count)}
         )
-        name = self._table(count, False)
-        placed.observe(seen, *measures).select(*self.spark.table(name).columns).write.insertInto(name)
+        columns = [c for c in self.schema.fieldNames() if c != "is_current"] + ["is_current", "v", "bucket"]
+        placed.observe(seen, *measures).select(*columns).write.insertInto(self._table(count, False))
         return {c: n or 0 for c, n in seen.get.items()}
 
     def merge(
