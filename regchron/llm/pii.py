@@ -118,6 +118,7 @@ def disclosing_terms(documents: DataFrame, threshold: float = THRESHOLD, support
             _words(text, F.col("base")).alias("words"),
         ),
         "held",
+        "zstd",
     )
     every = held.count()
     own = held.select("row", F.explode("entities").alias("entity"))
@@ -126,7 +127,7 @@ def disclosing_terms(documents: DataFrame, threshold: float = THRESHOLD, support
     of_entity = stored(of_entity.where((F.col("n_e") >= support) & (F.col("n_e") < every)), "entities")
     of_term = held.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     paired = own.join(of_entity.select("entity"), "entity").groupBy("row").agg(F.collect_list("entity").alias("entities"))
-    paired = stored(held.select("id", "mark", "row", "words").join(paired, "row").drop("row"), "paired")
+    paired = stored(held.select("id", "mark", "row", "words").join(paired, "row").drop("row"), "paired", "zstd")
     pairs = paired.select("id", "mark", F.explode("entities").alias("entity"), "words")
     pairs = pairs.select("id", "mark", "entity", F.explode("words").alias("term"))
     together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
