@@ -112,6 +112,17 @@ def test_response_files_and_key_range(spark, tmp_path):
     assert tuple(xml.range_counts(with_gaps).first()) == (2, 2)
 
 
+def test_key_range_does_not_broadcast_the_documents(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(GOOD, encoding="utf-8")
+    rows = xml.read_registry_xml(xml.read_response_files(spark, str(tmp_path)))
+    with_gaps = xml.lookup_range(rows, 123450, 123460, skip_missing=False)
+    # The estimate for one small file is far below any threshold, as it is for very many documents.
+    plan = with_gaps._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert {r["egid"] for r in with_gaps.filter("not _not_found").collect()} == {123456}
+    assert with_gaps.count() == 11
+
+
 RAW = dict(
     egid="123456", egrid="CH123456789012", gdekt="AG", ggdenr="4001", ggdename="Aarau",
     strname=" Bahnhofstrasse ", deinr="12", plz4="5000", plzname="Aarau", gstat="4", gkat="1021",
