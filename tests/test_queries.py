@@ -7,8 +7,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
+from regchron.plans import standin
 from regchron.plans.catalog import QUERIES
 from tools.compare import rows_of
 
@@ -40,3 +42,17 @@ def test_query(spark, duck, name):
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, result.fetchall())
+
+
+def test_responses_are_dealt_out_by_stored_bytes(spark, tmp_path, monkeypatch):
+    at = "timestamp '1999-01-01'"
+    orders = spark.range(3000).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "id * 1.0D AS o_totalprice",
+        f"{at} AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    [part] = [p for p in (tmp_path / "orders.parquet").iterdir() if p.suffix == ".parquet"]
+    monkeypatch.setattr(standin, "RESPONSE_BYTES", part.stat().st_size // 20)
+    texts = standin.responses(spark, str(tmp_path))
+    sizes = [r["count"] for r in texts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 20 and sum(sizes) == 3000 and max(sizes) <= 300
