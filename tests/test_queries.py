@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from regchron.plans import standin
+from regchron.plans import catalog, standin
 from regchron.plans.catalog import QUERIES
 from tools.compare import rows_of
 
@@ -44,13 +44,26 @@ def test_query(spark, duck, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, result.fetchall())
 
 
-def test_responses_are_dealt_out_by_stored_bytes(spark, tmp_path, monkeypatch):
-    at = "timestamp '1999-01-01'"
-    orders = spark.range(3000).selectExpr(
+def write_orders(spark, folder, n):
+    orders = spark.range(n).selectExpr(
         "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "id * 1.0D AS o_totalprice",
-        f"{at} AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+        "timestamp '2000-05-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
     )
-    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    orders.coalesce(1).write.parquet(f"{folder}/orders.parquet")
+
+
+def test_landed_responses_are_compressed(spark, tmp_path, monkeypatch):
+    write_orders(spark, tmp_path, 200)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    out = catalog.responses_job(spark, str(tmp_path)).first()
+    answered = [i for i in range(200) if i % 20 and i % 21 and i % 22]
+    assert (out["total_written"], out["watermark"]) == (len(answered), "2000-04-30")
+    landed = [p for p in (tmp_path / "jobs" / "responses").iterdir() if p.name.startswith("part-")]
+    assert landed and all(p.name.endswith(".txt.gz") for p in landed)
+
+
+def test_responses_are_dealt_out_by_stored_bytes(spark, tmp_path, monkeypatch):
+    write_orders(spark, tmp_path, 3000)
     [part] = [p for p in (tmp_path / "orders.parquet").iterdir() if p.suffix == ".parquet"]
     monkeypatch.setattr(standin, "RESPONSE_BYTES", part.stat().st_size // 20)
     texts = standin.responses(spark, str(tmp_path))
