@@ -145,6 +145,22 @@ def test_dqa_job(spark, tmp_path):
     assert json.loads(part.read_text())["run_id"] == "abc"
 
 
+def _some_results(spark):
+    rows = [("A", "eins", i % 3 != 0, "critical" if i % 2 else "warning", i) for i in range(40)]
+    rows += [("B", None, i % 5 == 0, "info", i) for i in range(7)] + [("B", "zwei", None, None, 1)]
+    return spark.createDataFrame(rows, "check_id string, check_name string, passed boolean, severity string, egid bigint")
+
+
+def test_written_results_are_compressed(spark, tmp_path):
+    results = _some_results(spark)
+    totals = jobs.write_report(results, f"{tmp_path}/out", "x", "r", datetime(2024, 5, 1)).first()
+    assert (totals["total_checks"], totals["passed"], totals["failed"], totals["critical_fails"]) == (48, 28, 19, 7)
+    parts = [p for p in (tmp_path / "out" / "results").iterdir() if p.name.startswith("part-")]
+    assert parts and all(p.name.endswith(".json.gz") for p in parts)
+    read = spark.read.schema(results.schema).json(f"{tmp_path}/out/results")
+    assert sorted(map(str, read.collect())) == sorted(map(str, results.collect()))
+
+
 def test_bulk_and_tsv_jobs(spark, tmp_path):
     base = scratch_path(spark, "base")
     header = "EGID\tGDEKT\tGSTAT\tGDAT\tGEXPDAT\n"
