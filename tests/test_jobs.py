@@ -8,7 +8,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from regchron.operators import watermark as M
+from regchron.operators import quality as Q, watermark as M
 from regchron.plans import gold, jobs
 from regchron.schema import REGISTRY_SCHEMA, WATERMARK_SCHEMA
 from regchron.session import scratch_path
@@ -161,6 +161,31 @@ def test_written_results_are_compressed(spark, tmp_path):
     assert sorted(map(str, read.collect())) == sorted(map(str, results.collect()))
 
 
+def test_reports_from_a_tally_equal_those_from_the_results(spark):
+    for results in (_some_results(spark), _some_results(spark).limit(0)):
+        counted = Q.tally(results)
+        assert counted.count() <= 8
+        assert Q.report(counted, "x", "r", weight="n").collect() == Q.report(results, "x", "r").collect()
+        one, two = (sorted(map(str, d.collect())) for d in (Q.report_by_check(counted, weight="n"), Q.report_by_check(results)))
+        assert one == two
+
+
+def test_dqa_reads_the_written_results_once(spark, tmp_path, monkeypatch):
+    base = scratch_path(spark, "base")
+    jobs.refresh(spark, base, registry(spark, dict(egid=1, gbauj=1985)), datetime(2024, 4, 1), full_load=True)
+    records = spark.createDataFrame([(1, 1985), (9, 1990)], "egid bigint, baujahr int")
+    read = []
+    real = type(spark.read).json
+
+    def json_(self, path, *args, **kwargs):
+        read.append(str(path))
+        return real(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark.read), "json", json_)
+    out = jobs.dqa(spark, base, records, date(2024, 5, 1), f"{tmp_path}/out")
+    assert sum(path.endswith("/results") for path in read) == 1 and out["total_checks"] == 10
+
+
 def test_bulk_and_tsv_jobs(spark, tmp_path):
     base = scratch_path(spark, "base")
     header = "EGID\tGDEKT\tGSTAT\tGDAT\tGEXPDAT\n"
