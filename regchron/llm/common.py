@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from regchron.session import scratch_path
 
-# Bytes of text handled at a time in a task; a single longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+# Bytes of text handled at a time in a task; a single longer text is handled alone. Arrays of words and
+# bytes take some fifty times as much, in every Python worker of an executor.
+CHUNK_BYTES = 1 << 20
 U = np.uint64
 BASE = 0x9E3779B97F4A7C17
 BASE_INVERSE = pow(BASE, -1, 2**64)

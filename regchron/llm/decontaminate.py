@@ -32,7 +32,7 @@ WINDOW = 10
 BLOCK = 50_000
 RESULTS = ("n_words", "hits", "items")
 # Candidate places expanded at a time.
-EXPAND = 1 << 20
+EXPAND = 1 << 18
 
 _WINDOWS = "item string, words array<bigint>"
 _COUNTS = "word bigint, n bigint"
