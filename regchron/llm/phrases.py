@@ -15,8 +15,8 @@ fixed, it misses none, and what it lets through beyond them is dropped after mer
 
 What bounds memory: texts are read ``CHUNK`` bytes at a time (a longer text alone), and a task sends its partial
 stripes on whenever it holds ``HELD`` counts. Stripes travel in buckets: a row holds a task's partial stripes of
-all prefixes of one bucket, and the rows of a bucket are merged as they arrive, so that it takes no more room than
-its distinct entries. There are enough buckets for about ``ENTRIES`` entries in each. A stripe has no more entries
+all prefixes of one bucket, and the rows of a bucket are merged as they arrive, ``HELD`` entries at a time however
+many a batch brings, so that it takes no more room than its distinct entries. There are enough buckets for about ``ENTRIES`` entries in each. A stripe has no more entries
 than its prefix has occurrences; the prefixes with more than 1 / HOT of all words, of which there are at most
 HOT, are dealt to many buckets by the next word. All counting happens before the shuffle, so a frequent
 prefix sends one stripe per ``HELD`` counts.
@@ -243,6 +243,18 @@ def _new_keys(table: pa.Table) -> np.ndarray:
     return new
 
 
+def by_entries(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut by rows so that each holds at most ``limit`` entries of stripes, or one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column("next")).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _summed(table: pa.Table, k: int) -> tuple[np.ndarray, ...]:
     """The distinct entries of rows that lie next to each other by bucket and language: first row of the group,
     the words, the count and the texts of each, ordered by group, prefix and next word."""
@@ -312,9 +324,7 @@ def merged(k: int, least: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[pa.RecordBatch] = []
         size, limit = 0, HELD
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in by_entries(batches, HELD):
             pending.append(batch)
             size += len(batch.column("next").flatten())
             if size < limit:

@@ -184,6 +184,24 @@ def test_stripes_merge_in_small_steps(monkeypatch):
     assert kept == Counter((r["w1"], r["total"], tuple(sorted(zip(r["next"], r["counts"], strict=True)))) for r in got)
 
 
+def test_a_batch_of_many_entries_is_merged_in_parts(monkeypatch):
+    """One batch with far more entries than a task may hold never reaches a merge as a whole."""
+    monkeypatch.setattr(phrases, "HELD", 40)
+    seen, summed = [], phrases._summed
+
+    def watched(table, k):
+        seen.append(len(table["next"].combine_chunks().flatten()))
+        return summed(table, k)
+
+    monkeypatch.setattr(phrases, "_summed", watched)
+    lists = {c: pa.array([v] * 200, pa.list_(pa.int64())) for c, v in (("w1", [1] * 9), ("next", [*range(2, 11)]), ("counts", [1] * 9))}
+    batch = pa.RecordBatch.from_pydict({"bucket": [i // 50 for i in range(200)], "lang": ["en"] * 200} | lists)
+    assert [b.num_rows for b in phrases.by_entries([batch, batch.slice(0, 0), batch.slice(0, 1)], 40)] == [4] * 50 + [1]
+    out = [r for b in phrases.merged(1, 1)([batch]) for r in b.to_pylist()]
+    assert [(r["w1"], r["total"], r["counts"]) for r in out] == [(1, 450, [50] * 9)] * 4
+    assert max(seen) <= 2 * 40
+
+
 def test_two_words_with_one_hash_are_an_error():
     batch = pa.RecordBatch.from_pydict({"bucket": [0, 0], "lang": ["en", "en"], "next": [[5], [5]], "counts": [[1], [1]], "texts": [["a"], ["b"]]})
     with pytest.raises(ValueError, match="same hash"):
