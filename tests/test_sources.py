@@ -9,6 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from regchron.operators.watermark import changed_since
 from regchron.plans import profile
 from regchron.schema import BRONZE_SCHEMA, CANTONS, REGISTRY_COLUMNS, REGISTRY_SCHEMA, bulk_columns, tsv_name
 from regchron.session import scratch_path
@@ -99,6 +100,38 @@ def test_xml_is_parsed_once(spark):
     assert plan.count("from_xml(") == 1
 
 
+def _dated(*dates, status="100", where="buildingList", more=""):
+    """A response with a building per date; ``None`` is one without a date."""
+    items = "".join(
+        f"<buildingItem><EGID>{i}</EGID><building><buildingStatus>1004</buildingStatus><recordModification>"
+        f"{'' if d is None else f'<updateDate>{d}</updateDate>'}</recordModification></building>{more}</buildingItem>"
+        for i, d in enumerate(dates, 1)
+    )
+    return f"<r><status><code>{status}</code></status><{where}>{items}</{where}></r>"
+
+
+def test_older_responses_are_left_out_before_the_whole_parse(spark):
+    """What a load since a date takes is the same, but older documents are not parsed as a whole."""
+    needed = [
+        GOOD, PLAIN, BARE, _dated("2024-05-02"), _dated(None), _dated("no date"), _dated("2024-05-02", "2024-01-01"),
+        _dated("2024-01-01", "2024-06-01"), _dated("2024-01-01", None), _dated("2024-05-02T07:00:00"),
+        _dated("<![CDATA[2024-05-02]]>"), _dated("2024-01-01", where="updateDate"), "<r><status/><buildingItem/></r>",
+        "<r><status><code>100</code></status><buildingItem/></r>", _dated("2024-01-01")[:-5], _dated("2024-01-01", more="&x;"),
+        *NONE[1:],
+    ]
+    older = [
+        _dated("2024-05-01"), _dated("2024-05-01", "2023-01-01"), _dated("2024-04-30", more="<!-- 2025 -->text"), _dated("<!-- -->2024-01-01"),
+        _dated("2024-01-01").replace("r>", "x:r>").replace("updateDate", "x:updateDate"), _dated("2025-01-01", status="200"),
+        _dated("2024-01-01").replace("<buildingList>", "").replace("</buildingList>", ""), _dated("<![CDATA[2024-01-01]]>"), _dated(""),
+    ]
+    docs = spark.createDataFrame(list(enumerate([*needed, *older])), "n int, response string")
+    assert {r["n"] for r in xml.newer_responses(docs, "2024-05-01").collect()} == set(range(len(needed)))
+    whole, pushed = (
+        sorted(map(str, changed_since(xml.read_registry_xml(docs, newer_than=d), "2024-05-01").collect())) for d in (None, "2024-05-01")
+    )
+    assert whole == pushed and len(whole) >= 9
+
+
 def test_response_files_and_key_range(spark, tmp_path):
     for name, text in (("a.xml", GOOD), ("b.xml", PLAIN), ("c.xml", BARE), ("d.xml", NONE[0])):
         (tmp_path / name).write_text(text, encoding="utf-8")
