@@ -16,11 +16,15 @@ whole level one monotone sequence; a lookup is a successor search for that value
 pointers. Logarithms of probabilities are rounded to multiples of 1 / STEPS and kept as 16-bit codes, none of
 which is clamped: counts below 2**63 need codes below 32 * 19.
 
-A batch of documents is reduced to its distinct bigrams, with the documents they stand in, before it is
-shuffled, packed into one row per batch and shard; a shard counts, builds its trie, looks up every
-distinct bigram once and returns sums per document. Words that are a large share of all tokens (a
-bounded number, by definition of the share) are spread over several shards by their successors. Words
-after unseen bigrams are joined with the word counts.
+A batch of documents is reduced to its distinct bigrams before it is shuffled, packed into one row per batch
+and shard; a shard counts, builds its trie and looks up every distinct bigram once. Its answer is a code of two
+bytes for each bigram of a batch and the count of each context, whatever the number of documents, so that
+answers grow with the bigrams alone and not with documents times shards. The documents are read once more to say
+in which of them the bigrams of a batch stand; with the batch's answers this gives the sums per document. Every
+word of a batch is a context there, so the answers also hold the counts of the words after unseen bigrams. Words
+that are a large share of all tokens (a bounded number, by definition of the share) are spread over several shards
+by their successors. Rows that do not come from files as they are read are stored first, since all readings must
+bring the same rows in the same order; a batch whose contexts are not those that were answered is an error.
 
 Defined results: null and empty texts have the end token alone; equal rows get equal scores, one result
 per row; a null id counts as the empty text in the choice of held-out rows; without training documents
@@ -30,15 +34,14 @@ within a context by 48 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regchron.llm.common import TOKEN_BYTES, U, Words, chunks, mix, parts, read_table, stored
+from regchron.llm.common import TOKEN_BYTES, U, Words, chunks, groups, mix, parts, read_table, stored
 
 FOLDS, HELD_OUT = 7, 2
 PRIOR = 2.0
@@ -52,14 +55,19 @@ START = int(mix(np.array([0xA11CE], dtype=U))[0])
 END = int(mix(np.array([0xB0B], dtype=U))[0])
 SHORT = U((1 << 48) - 1)
 
-# A row holds either bigrams of one shard or, with ``ids``, the documents of the batch.
-_PACKED = (
-    "shard int, task int, batch int, context binary, width binary, next binary, train binary, times binary, doc binary,"
-    " ids array<bigint>, tokens binary, held binary"
+# The code of a bigram that was not seen in training.
+UNSEEN = 0xFFFF
+CHANGED = "the documents were not the same at both readings"
+
+# Numbers that are mostly small go in two columns, their lowest bytes in the first, as shuffled blocks shrink by that.
+_PACKED = "shard int, task int, batch int, context binary, width binary, next binary, train binary, train2 binary"
+# Answers of the shards, and the layout of a batch: the row that precedes them, of shard -1.
+_ANSWERS = (
+    "task int, batch int, shard int, code binary, code2 binary, total binary, total2 binary, unseen binary, mark bigint"
 )
-_SUMS = (
-    "task int, batch int, doc binary, score binary, base binary, known binary, unseen array<struct<doc:int,word:bigint>>,"
-    " ids array<bigint>, tokens binary, held binary"
+_LAYOUT = (
+    "task int, batch int, shard int, ids array<bigint>, tokens binary, held binary,"
+    " context binary, width binary, times binary, doc binary"
 )
 _DOCUMENTS = (
     "task int, batch int, doc int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
@@ -211,17 +219,59 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
 
 
-def _pack(shards: int, spread: dict[int, int]):
-    """One row per shard with the distinct bigrams of a batch and the documents they stand in."""
+def _bytes(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values from an array cut at its ``ends``, the last of which is its length."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64) * values.itemsize
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), data]).cast(pa.binary())
+
+
+def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a binary column one after the other, and their number in each row."""
+    found, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for chunk in column.cast(pa.large_binary()).chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset : chunk.offset + len(chunk) + 1]
+        sizes.append(np.diff(offsets))
+        if offsets[-1] > offsets[0]:
+            found.append(np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]])
+    return np.concatenate(found).view(kind), np.concatenate(sizes) // np.dtype(kind).itemsize
+
+
+def _pressed(values: np.ndarray) -> bytes:
+    """The number of values, and their lowest bytes, next bytes and so on in zstd."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.ravel(), codec="zstd", asbytes=True)
+
+
+def _unpressed(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+
+def _wide(short: np.ndarray) -> np.ndarray:
+    """Words of six bytes as integers."""
+    wide = np.zeros((len(short), 8), dtype=np.uint8)
+    wide[:, :6] = short
+    return wide.view("<u8").ravel().astype(U)
+
+
+def _marks(names: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of each row's contexts; no row is empty."""
+    return np.add.reduceat(names, np.cumsum(sizes) - sizes).view(np.int64) if len(sizes) else np.zeros(0, np.int64)
+
+
+def _pack(shards: int, spread: dict[int, int], layout: bool = False) -> Callable:
+    """One row per shard with the distinct bigrams of a batch; or one row that says in which documents they stand."""
     hot = np.array(sorted(spread), dtype=U)
     ways = np.array([spread[int(h)] for h in hot], dtype=U)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
         number = 0
         for whole in chunks(batches, "text", BATCH_BYTES):
             for at in range(0, whole.num_rows, 1 << 16):
                 batch = whole.slice(at, 1 << 16)
+                task = batch.column("task")[0].as_py()
                 words = _tokens(batch.column("text"))
                 n = batch.num_rows
                 held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
@@ -236,6 +286,7 @@ def _pack(shards: int, spread: dict[int, int]):
                 following[place] = words.hashes
                 following[ends - 1] = END
                 doc = np.repeat(np.arange(n), size)
+                del words, place
                 shard = mix(context)
                 if len(hot):
                     where = np.minimum(np.searchsorted(hot, context), len(hot) - 1)
@@ -247,44 +298,41 @@ def _pack(shards: int, spread: dict[int, int]):
                 new = np.ones(len(context), dtype=bool)
                 new[1:] = (context[1:] != context[:-1]) | (following[1:] != following[:-1])
                 first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(context)))
-                train = np.add.reduceat((~held[doc]).astype(np.int64), first) if len(first) else first
                 newc = np.ones(len(first), dtype=bool)
-                newc[1:] = context[first][1:] != context[first][:-1]
+                newc[1:] = (context[first][1:] != context[first][:-1]) | (shard[first][1:] != shard[first][:-1])
                 firstc = np.flatnonzero(newc)
-                widths = np.diff(np.append(firstc, len(first)))
-                short = (following[first] & SHORT).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                cut = np.searchsorted(shard, np.arange(shards + 1))
-                cut_pair = np.searchsorted(first, cut)
-                cut_context = np.searchsorted(firstc, cut_pair)
+                widths = np.diff(np.append(firstc, len(first))).astype(np.uint32)
                 names = context[first][firstc]
-                documents = [task % shards, task, number, *[b""] * 6, batch.column("doc_id").to_pylist()]
-                documents += [size.astype(np.int64).tobytes(), held.tobytes()]
-                rows = [documents]
-                for s in np.flatnonzero(np.diff(cut_pair)).tolist():
-                    a, b = cut_pair[s], cut_pair[s + 1]
-                    c, d = cut_context[s], cut_context[s + 1]
-                    rows.append([
-                        s, task, number, names[c:d].tobytes(), widths[c:d].astype(np.uint32).tobytes(), short[a:b].tobytes(),
-                        train[a:b].astype(np.uint32).tobytes(), times[a:b].astype(np.uint32).tobytes(),
-                        doc[cut[s] : cut[s + 1]].astype(np.uint16).tobytes(), None, b"", b"",
-                    ])
-                kinds = [pa.int32()] * 3 + [pa.binary()] * 6 + [pa.list_(pa.int64())] + [pa.binary()] * 2
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=_names(_PACKED)
-                )
+                if layout:
+                    times = np.diff(np.append(first, len(context))).astype(np.uint32)
+                    row = [task, number, -1, batch.column("doc_id").to_pylist()]
+                    row += [_pressed(x) for x in (size.astype(np.int64), held, names, widths, times, doc.astype(np.uint16))]
+                    kinds = [pa.int32()] * 3 + [pa.list_(pa.int64())] + [pa.binary()] * 6
+                    columns = [pa.array([x], k) for x, k in zip(row, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=_names(_LAYOUT))
+                else:
+                    train = np.add.reduceat((~held[doc]).astype(np.int64), first)
+                    short = np.ascontiguousarray((following[first] & SHORT).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+                    cut_pair = np.flatnonzero(np.append(np.diff(shard[first]) != 0, True)) + 1
+                    cut_context = np.searchsorted(firstc, cut_pair)
+                    own = shard[first][cut_pair - 1].astype(np.int32)
+                    numbers = [pa.array(np.full(len(own), x, np.int32)) for x in (task, number)]
+                    columns = [pa.array(own), *numbers, _bytes(names, cut_context), _bytes(widths, cut_context)]
+                    columns += [_bytes(short.ravel(), cut_pair * 6), _bytes(train.astype(np.uint8), cut_pair)]
+                    columns += [_bytes((train >> 8).astype(np.uint32), cut_pair)]
+                    yield pa.RecordBatch.from_arrays(columns, names=_names(_PACKED))
                 number += 1
 
     return run
 
 
-def _shard(totals: dict[int, int], slice_size: int):
-    """Count, build the trie, look up every distinct bigram and sum per document."""
+def _shard(totals: dict[int, int], slice_size: int) -> Callable:
+    """Count, build the trie and look up every distinct bigram of each batch."""
     hot = np.array(sorted(totals), dtype=U)
     hot_total = np.array([totals[int(h)] for h in hot], dtype=np.int64)
 
-    def scored(context: np.ndarray, word: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For every bigram of a slice: the value, base and known of its distinct bigram, whether it was seen."""
+    def answered(context: np.ndarray, word: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The code of every bigram of a slice, its contexts and their counts."""
         order = np.lexsort((word, context))
         new = np.ones(len(order), dtype=bool)
         c, w = context[order], word[order]
@@ -297,161 +345,118 @@ def _shard(totals: dict[int, int], slice_size: int):
         trained = count > 0
         trie = Trie(c[trained], w[trained], count[trained], totals)
         found = trie.lookup(c, w)
-        head = np.ones(len(c), dtype=bool)
-        head[1:] = c[1:] != c[:-1]
-        names = c[head]
+        names = np.unique(c)
         total = trie.total(names)
         if len(hot):
             at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
             total = np.where(hot[at] == names, hot_total[at], total)
-        own = np.cumsum(head) - 1
-        seen = ~np.isnan(found)
-        value = np.where(seen, found, np.log10(PRIOR / (total + PRIOR))[own])
-        is_word = (names != U(START))[own]
-        base = np.where(is_word, np.log10(total + 1.0)[own], 0.0)
-        known = is_word & (total > 0)[own]
-        return value[pair], base[pair], known[pair], seen[pair]
-
-    def solve(rows: list[dict]) -> pa.RecordBatch:
+        code = np.where(np.isnan(found), UNSEEN, np.round(found * -STEPS)).astype(np.uint16)
+        return code[pair], names, total
+
+    def solve(rows: pa.Table) -> pa.RecordBatch:
         """One shard: its packed rows stay, and a slice of contexts at a time is unpacked, counted and looked up."""
-        packed = [_Packed(row) for row in rows]
-        slices = max(1, sum(p.bigrams for p in packed) // slice_size)
-        for number in range(slices):
-            bound = None if number == slices - 1 else U((number + 1) * (2**64 // slices))
-            parts_ = [p.take(bound) for p in packed]
-            context, word, train = (np.concatenate([x[i] for x in parts_]) for i in range(3))
-            if not len(context):
-                continue
-            scores = scored(context, word, train)
-            at = 0
-            for p, (_, own, _, times, doc) in zip(packed, parts_, strict=True):
-                p.add(*(x[at : at + len(own)] for x in scores), own, times, doc)
-                at += len(own)
-        out: list[list] = [[] for _ in range(10)]
-        for row, p in zip(rows, packed, strict=True):
-            values = [row["task"], row["batch"], *p.sums(), row["ids"], row["tokens"], row["held"]]
-            for column, x in zip(out, values, strict=True):
-                column.append(x)
-        lengths = [len(x) for x in out[6]]
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        kinds = [pa.int32()] * 2 + [pa.binary()] * 4 + [None, pa.list_(pa.int64())] + [pa.binary()] * 2
-        arrays = [
-            pa.ListArray.from_arrays(offsets, pa.concat_arrays(x)) if k is None else pa.array(x, k)
-            for x, k in zip(out, kinds, strict=True)
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=_names(_SUMS))
+        names, n_names = _flat(rows["context"], U)
+        width, short = _flat(rows["width"], np.uint32)[0].astype(np.int64), _flat(rows["next"], np.uint8)[0].reshape(-1, 6)
+        train, n_pairs = _flat(rows["train"], np.uint8)
+        train = train + (_flat(rows["train2"], np.uint32)[0].astype(np.int64) << 8)
+        starts = np.cumsum(width) - width
+        code, total = np.empty(len(train), dtype=np.uint16), np.empty(len(names), dtype=np.int64)
+        order = np.argsort(names, kind="stable")
+        # Contexts and bigrams up to the last row of each distinct context.
+        last = np.flatnonzero(np.append(names[order][1:] != names[order][:-1], True))
+        upto = np.cumsum(width[order])[last]
+        at = done = 0
+        while at < len(order):
+            to = max(int(np.searchsorted(upto, done + slice_size, side="right")) - 1, int(np.searchsorted(last, at)))
+            own, at, done = order[at : last[to] + 1], int(last[to]) + 1, int(upto[to])
+            wide = width[own]
+            pairs = np.repeat(starts[own] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+            found, known, counts = answered(np.repeat(names[own], wide), _wide(short[pairs]), train[pairs])
+            code[pairs] = found
+            total[own] = counts[np.searchsorted(known, names[own])]
+        end_names, end_pairs = np.cumsum(n_names), np.cumsum(n_pairs)
+        missed = code == UNSEEN
+        end_missed = np.concatenate([[0], np.cumsum(missed)])[end_pairs]
+        columns = [rows[c].combine_chunks() for c in ("task", "batch", "shard")]
+        columns += [_bytes(code.astype(np.uint8), end_pairs), _bytes((code >> 8).astype(np.uint8), end_pairs)]
+        columns += [_bytes(total.astype(np.uint16), end_names), _bytes(total >> 16, end_names)]
+        columns += [_bytes(short[missed].ravel(), end_missed * 6)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(_marks(names, n_names))], names=_names(_ANSWERS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come ordered by shard.
-        rows: list[dict] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if rows and row["shard"] != rows[0]["shard"]:
-                    yield solve(rows)
-                    rows = []
-                rows.append(row)
-        if rows:
+        for rows in groups(batches, ["shard"]):
             yield solve(rows)
 
     return run
 
 
-class _Packed:
-    """A packed row that is read from its lowest context to its highest, and the sums of its documents."""
-
-    def __init__(self, row: dict):
-        self.names = np.frombuffer(row["context"], dtype=U)
-        self.widths = np.frombuffer(row["width"], dtype=np.uint32)
-        self.next = np.frombuffer(row["next"], dtype=np.uint8).reshape(-1, 6)
-        self.train = np.frombuffer(row["train"], dtype=np.uint32)
-        self.times = np.frombuffer(row["times"], dtype=np.uint32)
-        self.docs = np.frombuffer(row["doc"], dtype=np.uint16)
-        self.bigrams = len(self.train)
-        self.at = (0, 0, 0)
-        size = int(self.docs.max()) + 1 if len(self.docs) else 0
-        self.score, self.base = np.zeros(size), np.zeros(size)
-        self.known, self.tokens = np.zeros(size, dtype=np.int32), np.zeros(size, dtype=np.int32)
-        self.unseen: list[pa.Array] = []
-
-    def take(self, bound: np.uint64 | None) -> tuple[np.ndarray, ...]:
-        """Context, next word, training count, times and documents of the bigrams below the next bound."""
-        c, e, d = self.at
-        to_c = len(self.names) if bound is None else int(np.searchsorted(self.names, bound))
-        widths = self.widths[c:to_c]
-        to_e = e + int(widths.sum())
-        times = self.times[e:to_e].astype(np.int64)
-        to_d = d + int(times.sum())
-        self.at = (to_c, to_e, to_d)
-        wide = np.zeros((to_e - e, 8), dtype=np.uint8)
-        wide[:, :6] = self.next[e:to_e]
-        word = wide.view("<u8").ravel().astype(U)
-        return np.repeat(self.names[c:to_c], widths), word, self.train[e:to_e].astype(np.int64), times, self.docs[d:to_d]
-
-    def add(self, value, base, known, seen, word, times, doc) -> None:
-        each = np.repeat(np.arange(len(value)), times)
+def _sum(endings: int, log_all: float) -> Callable:
+    """The sums of the documents of each batch; its layout comes first, then its answers in the order of the shards."""
+
+    def summed(rows: pa.Table) -> pa.RecordBatch:
+        layout, answers = rows.slice(0, 1), rows.slice(1)
+        if layout["tokens"].null_count:
+            raise ValueError(CHANGED)
+        tokens, held, names, width, times, doc = (
+            _unpressed(layout[c][0].as_py(), k)
+            for c, k in (("tokens", np.int64), ("held", bool), ("context", U), ("width", np.uint32), ("times", np.uint32), ("doc", np.uint16))
+        )
+        code = _flat(answers["code"], np.uint8)[0] + (_flat(answers["code2"], np.uint8)[0].astype(np.uint16) << 8)
+        total, n_names = _flat(answers["total"], np.uint16)
+        total = total + (_flat(answers["total2"], np.int64)[0] << 16)
+        same = len(names) == len(total) and len(times) == len(code)
+        if not same or (_marks(names, n_names) != answers["mark"].to_numpy()).any():
+            raise ValueError(CHANGED)
+        n = len(tokens)
+        own = np.repeat(np.arange(len(names)), width)
+        value = code / -STEPS
+        missed = np.flatnonzero(code == UNSEEN)
+        # Counts of the words after unseen bigrams, from their own entries as contexts.
+        word = _wide(_flat(answers["unseen"], np.uint8)[0].reshape(-1, 6))
+        short = names & SHORT
+        order = np.flatnonzero(names != U(START))
+        order = order[np.argsort(short[order], kind="stable")]
+        count = np.full(len(word), endings, dtype=np.int64)
+        inner = word != U(END) & SHORT
+        count[inner] = total[order[np.searchsorted(short[order], word[inner])]]
+        value[missed] = np.log10(PRIOR / (total[own[missed]] + PRIOR)) + (np.log10(count + 1.0) - log_all)
+        is_word = names != U(START)
+        base = np.where(is_word, np.log10(total + 1.0), 0.0)
+        known = (is_word & (total > 0)).astype(np.float64)
         doc = doc.astype(np.int64)
-        n = len(self.score)
-        self.score += np.bincount(doc, weights=value[each], minlength=n)
-        self.base += np.bincount(doc, weights=base[each], minlength=n)
-        self.known += np.bincount(doc, weights=known[each], minlength=n).astype(np.int32)
-        self.tokens += np.bincount(doc, minlength=n).astype(np.int32)
-        missed = np.flatnonzero(~seen[each])
-        words = pa.array(word[each[missed]].view(np.int64))
-        self.unseen.append(pa.StructArray.from_arrays([pa.array(doc[missed], pa.int32()), words], names=["doc", "word"]))
-
-    def sums(self) -> list:
-        docs = np.flatnonzero(self.tokens)
-        none = pa.StructArray.from_arrays([pa.nulls(0, pa.int32()), pa.nulls(0, pa.int64())], names=["doc", "word"])
-        return [
-            docs.astype(np.uint16).tobytes(), self.score[docs].tobytes(), self.base[docs].tobytes(),
-            self.known[docs].tobytes(), pa.concat_arrays([none, *self.unseen]),
+        sums = [np.bincount(doc, weights=np.repeat(x, times), minlength=n) for x in (value, base[own], known[own])]
+        key = [np.full(n, layout[c][0].as_py(), np.int32) for c in ("task", "batch")]
+        columns = [
+            pa.array(key[0]), pa.array(key[1]), pa.array(np.arange(n, dtype=np.int32)), layout["ids"].chunk(0).flatten(),
+            pa.array(held), pa.array(tokens), pa.array(sums[2].astype(np.int64)), pa.array(sums[1]), pa.array(sums[0]),
         ]
+        return pa.RecordBatch.from_arrays(columns, names=_names(_DOCUMENTS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come ordered by task, batch and shard.
+        for rows in groups(batches, ["task", "batch"]):
+            yield summed(rows)
 
+    return run
 
-def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents of each batch with the sums of all shards; rows come ordered by task and batch."""
 
-    def out(key: tuple, rows: list[tuple], ids: list, tokens: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
-        n = len(ids)
-        score, base, known = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64)
-        for doc, s, b, k in rows:
-            score[doc] += s
-            base[doc] += b
-            known[doc] += k
-        columns = [
-            pa.array(np.full(n, key[0], np.int32)), pa.array(np.full(n, key[1], np.int32)), pa.array(np.arange(n, dtype=np.int32)),
-            pa.array(ids, pa.int64()), pa.array(held), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=_names(_DOCUMENTS))
+def _from_files(rows: DataFrame) -> bool:
+    """Whether the rows are those of files, without a shuffle."""
+    plans = [rows._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() not in ("Project", "Filter", "Union") and "LogicalRelation" not in plan.getClass().getName():
+            return False
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return True
+
 
-    def added(rows: list[tuple]) -> list[tuple]:
-        """The rows so far as one, so that a batch never holds more than its documents."""
-        size = max(int(r[0].max()) for r in rows if len(r[0])) + 1 if any(len(r[0]) for r in rows) else 0
-        total = [np.zeros(size), np.zeros(size), np.zeros(size, dtype=np.int64)]
-        for doc, *values in rows:
-            for t, v in zip(total, values, strict=True):
-                t[doc] += v
-        return [(np.arange(size), *total)]
-
-    key, rows, found = None, [], None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if (row["task"], row["batch"]) != key:
-                if key is not None:
-                    yield out(key, rows, *found)
-                key, rows, found = (row["task"], row["batch"]), [], None
-            if row["ids"] is not None:
-                found = row["ids"], np.frombuffer(row["tokens"], np.int64), np.frombuffer(row["held"], bool)
-            rows.append(
-                (
-                    np.frombuffer(row["doc"], np.uint16).astype(np.int64), np.frombuffer(row["score"], np.float64),
-                    np.frombuffer(row["base"], np.float64), np.frombuffer(row["known"], np.int32),
-                )
-            )
-            if len(rows) >= 64:
-                rows = added(rows)
-    if key is not None:
-        yield out(key, rows, *found)
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with the number of their partition; files are read by splits that are decided once, here."""
+    jvm, spark = rows._jdf, rows.sparkSession
+    fixed = spark._jsparkSession.internalCreateDataFrame(jvm.queryExecution().toRdd(), jvm.schema(), False)
+    return DataFrame(fixed, spark).withColumn("task", F.spark_partition_id())
 
 
 def score_texts(
@@ -467,6 +472,8 @@ def score_texts(
     rows = documents.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), held.alias("held")
     )
+    if not _from_files(rows):
+        rows = stored(rows, "documents")
     counted = rows.where(~F.col("held")).select("text").mapInArrow(_count_words, "word bigint, n bigint")
     vocabulary = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
     whole = vocabulary.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
@@ -481,33 +488,23 @@ def score_texts(
         frequent[START] = endings
     spread = {h: -(-n // share) for h, n in frequent.items()}
 
-    packed = rows.mapInArrow(_pack(shards, spread), _PACKED).repartitionById(shards, F.col("shard"))
-    packed = packed.sortWithinPartitions("shard")
-    sums = stored(packed.mapInArrow(_shard(frequent, slice_size), _SUMS), "sums")
-    by_batch = sums.drop("unseen").repartition(shards, "task", "batch").sortWithinPartitions("task", "batch")
-    found = by_batch.mapInArrow(_sum, _DOCUMENTS)
+    numbered = _numbered(rows)
+    packed = numbered.mapInArrow(_pack(shards, spread), _PACKED).repartitionById(shards, F.col("shard"))
+    answers = packed.sortWithinPartitions("shard").mapInArrow(_shard(frequent, slice_size), _ANSWERS)
+    layout = numbered.mapInArrow(_pack(shards, spread, layout=True), _LAYOUT)
+    by_batch = layout.unionByName(answers, allowMissingColumns=True).repartition(shards, "task", "batch")
+    by_batch = by_batch.sortWithinPartitions("task", "batch", "shard")
 
     log_all = float(np.log10(tokens + distinct + 1.0))
-    unseen = sums.select("task", "batch", F.explode("unseen").alias("u")).select("task", "batch", "u.doc", "u.word")
-    unseen = unseen.groupBy("task", "batch", "doc", "word").agg(F.count("*").alias("times"))
-    mask = int(SHORT)
-    counts = vocabulary.groupBy(F.col("word").bitwiseAND(F.lit(mask)).alias("word")).agg(F.sum("n").alias("n"))
-    end_word = END & mask
-    count = F.when(F.col("word") == end_word, F.lit(endings)).otherwise(F.coalesce("n", F.lit(0)))
-    later = (
-        unseen.join(counts, "word", "left")
-        .groupBy("task", "batch", "doc")
-        .agg(F.sum(F.col("times") * (F.log10(count + 1.0) - log_all)).alias("later"))
-    )
-    out = found.join(later, ["task", "batch", "doc"], "left")
-    return out.select(
+    found = by_batch.mapInArrow(_sum(endings, log_all), _DOCUMENTS)
+    return found.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + (1 if endings else 0)).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + float(np.log10(endings + 1.0)) - F.col("n_tokens") * log_all).alias("base_score"),
-        (F.col("score") + F.coalesce("later", F.lit(0.0))).alias("score"),
+        "score",
     )
 
 

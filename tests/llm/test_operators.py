@@ -560,3 +560,50 @@ def test_words_of_a_batch():
     assert words.counts.tolist() == [2, 0, 0, 1, 0]
     assert words.hashes[0] == Words(pa.array(["aB"])).hashes[0]
     assert len(Words(pa.array([], pa.string())).hashes) == 0
+
+
+@pytest.mark.parametrize("text", ["a b c d e f g h", "b a"])
+def test_answers_of_shards_do_not_grow_with_documents_times_shards(spark, monkeypatch, text):
+    """A spread context may end one shard and begin the next; what is brought back has a size of its own."""
+    frame = type(spark.range(0))
+    plain, sizes = frame.repartition, []
+
+    def measured(self, n, *columns):
+        if columns:
+            binary = [F.coalesce(F.length(c), F.lit(0)) for c, kind in self.dtypes if kind == "binary"]
+            sizes.append(self.agg(F.sum(sum(binary, F.lit(0)))).first()[0])
+        return plain(self, n, *columns)
+
+    rows = documents(spark, [(i, f"{text} w{i % 20}") for i in range(400)])
+    scores = []
+    for shards in (2, 200):
+        monkeypatch.setattr(frame, "repartition", measured)
+        found = lm.score_texts(rows, shards=shards)
+        monkeypatch.setattr(frame, "repartition", plain)
+        scores.append(sorted((r.doc_id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in found.collect()))
+    assert scores[0] == scores[1]
+    assert sizes[1] < 1.5 * sizes[0]
+
+
+def test_documents_that_change_between_readings_are_an_error(spark, tmp_path):
+    source = str(tmp_path / "documents")
+    documents(spark, [(i, prose(i, 20)) for i in range(30)]).coalesce(1).write.parquet(source)
+    found = lm.score_texts(spark.read.parquet(source))
+    assert found.count() == 30
+    mark = pa.array([0, 0], pa.int32())
+    layout = {"task": mark, "batch": mark, "shard": pa.array([-1, 0], pa.int32())}
+    names = [x.split()[0] for x in lm._LAYOUT.split(", ") + lm._ANSWERS.split(", ")[3:]]
+    press = {"tokens": np.ones(1, np.int64), "held": np.zeros(1, bool), "context": np.array([7], np.uint64)}
+    press |= {"width": np.ones(1, np.uint32), "times": np.ones(1, np.uint32), "doc": np.zeros(1, np.uint16)}
+    answer = {"code": b"\1", "code2": b"\0", "total": b"\1\0", "total2": bytes(8), "unseen": b"", "mark": 7}
+    columns = {**layout, "ids": pa.array([[5], None], pa.list_(pa.int64()))}
+    columns |= {c: pa.array([lm._pressed(x), None], pa.binary()) for c, x in press.items()}
+    for given, right in ((7, True), (8, False)):
+        answer["mark"] = given
+        columns |= {c: pa.array([None, x]) for c, x in answer.items()}
+        batch = pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+        if right:
+            assert next(lm._sum(0, 0.0)([batch])).column("doc_id").to_pylist() == [5]
+        else:
+            with pytest.raises(ValueError):
+                next(lm._sum(0, 0.0)([batch]))
